@@ -38,47 +38,34 @@ def md_sections(text: Column) -> Column:
 def md_header_paths(text: Column) -> Column:
     """Sections at levels 1 to 3 as (h1, section_heading, subsection_heading, text).
 
-    A heading opens a section, stays in its text, and clears the deeper levels. One pass over
-    the lines notes where sections start; their texts are cut out at the end.
+    A heading opens a section, stays in its text, and clears the deeper levels. Splitting level by
+    level gives each piece its path without carrying anything from line to line.
     """
-    lines = F.split(text, "\n")
-    no_head = F.lit(None).cast("string")
-    start = F.struct(
-        F.array().cast("array<struct<h1:string,h2:string,h3:string,first:int>>").alias("open"),
-        F.lit(0).alias("i"),
-    )
 
-    def step(state: Column, line: Column) -> Column:
-        level = F.length(F.regexp_extract(line, r"^(#{1,3})\s+\S", 1))
-        title = strip(F.regexp_extract(line, r"^#{1,3}\s+(.*)$", 1))
-        last = F.try_element_at(state["open"], F.lit(-1))
-        opened = F.struct(
-            F.when(level == 1, title).otherwise(last["h1"]).alias("h1"),
-            F.when(level == 2, title).when(level == 1, no_head).otherwise(last["h2"]).alias("h2"),
-            F.when(level == 3, title).otherwise(no_head).alias("h3"),
-            state["i"].alias("first"),
-        )
-        lead = F.struct(
-            no_head.alias("h1"), no_head.alias("h2"), no_head.alias("h3"), state["i"].alias("first")
-        )
-        grown = F.when(level > 0, F.concat(state["open"], F.array(opened))).otherwise(
-            F.when(state["i"] == 0, F.array(lead)).otherwise(state["open"])
-        )
-        return F.struct(grown.alias("open"), (state["i"] + 1).alias("i"))
+    def blocks(part: Column, level: int) -> Column:
+        return F.split(part, rf"\n(?=#{{{level}}}\s+\S)")
 
-    heads = F.aggregate(lines, start, step, lambda s: s["open"])
+    def title(part: Column, level: int) -> Column:
+        return F.nullif(strip(F.regexp_extract(part, rf"^#{{{level}}}\s+([^\n]*)", 1)), F.lit(""))
 
-    def cut(head: Column, i: Column) -> Column:
-        following = F.get(heads, i + 1)["first"]
-        length = F.coalesce(following, F.size(lines)) - head["first"]
+    def section(one: Column, two: Column, three: Column) -> Column:
         return F.struct(
-            head["h1"].alias("h1"),
-            head["h2"].alias("section_heading"),
-            head["h3"].alias("subsection_heading"),
-            strip(F.array_join(F.slice(lines, head["first"] + 1, length), "\n")).alias("text"),
+            title(one, 1).alias("h1"),
+            title(two, 2).alias("section_heading"),
+            title(three, 3).alias("subsection_heading"),
+            strip(three).alias("text"),
         )
 
-    return F.filter(F.transform(heads, cut), lambda s: F.length(s["text"]) > 0)
+    nested = F.transform(
+        blocks(text, 1),
+        lambda one: F.flatten(
+            F.transform(
+                blocks(one, 2),
+                lambda two: F.transform(blocks(two, 3), lambda three: section(one, two, three)),
+            )
+        ),
+    )
+    return F.filter(F.flatten(nested), lambda s: F.length(s["text"]) > 0)
 
 
 def word_windows(text: Column, size: int = 100) -> Column:
@@ -154,51 +141,54 @@ def resplit_oversize(text: Column, size: int = 1500, overlap: int = 150) -> Colu
 def paragraph_chunks(text: Column, size: int = 1000, overlap: int = 100, separator: str = "\n\n") -> Column:
     """Paragraphs merged up to ``size``; a longer one stays whole.
 
-    A new chunk starts with the trailing paragraphs of the last one that fit in ``overlap``.
+    A new chunk starts with the trailing paragraphs of the last one that fit in ``overlap``. The
+    fold carries paragraph numbers and running lengths only; texts are joined at the end.
     """
     gap = len(separator)
     pieces = F.filter(F.transform(F.split(text, separator), strip), lambda p: F.length(p) > 0)
-    strings = "array<string>"
-    start = F.struct(
-        F.array().cast("array<array<string>>").alias("done"), F.array().cast(strings).alias("open")
-    )
 
-    def length_of(parts: Column) -> Column:
-        chars = F.aggregate(parts, F.lit(0), lambda total, p: total + F.length(p) + gap)
+    def span(first: Column, last: Column) -> Column:
+        """Length of paragraphs first..last joined, 0 when there is none."""
+        chars = F.aggregate(
+            F.slice(pieces, first, F.greatest(last - first + 1, F.lit(0))),
+            F.lit(0),
+            lambda total, p: total + F.length(p) + gap,
+        )
         return F.greatest(chars - gap, F.lit(0))
 
-    def joined_length(parts: Column, piece: Column) -> Column:
-        return length_of(F.concat(parts, F.array(piece)))
+    def carried_from(first: Column, i: Column) -> Column:
+        """First paragraph of the longest tail of first..i-1 that fits, or i for none."""
+        fits = lambda j: (span(j, i - 1) <= overlap) & (span(j, i) <= size)
+        return F.coalesce(F.get(F.filter(F.sequence(first, i - 1), fits), F.lit(0)), i)
 
-    def carried(parts: Column, piece: Column) -> Column:
-        tails = F.transform(
-            F.sequence(F.lit(1), F.size(parts) + 1),
-            lambda i: F.slice(parts, i, F.size(parts) - i + 1),
-        )
-        fitting = F.filter(
-            tails, lambda t: (length_of(t) <= overlap) & ((joined_length(t, piece) <= size) | (F.size(t) == 0))
-        )
-        return F.get(fitting, F.lit(0))
+    start = F.struct(
+        F.array().cast("array<struct<first:int,last:int>>").alias("done"), F.lit(1).alias("first")
+    )
 
-    def step(state: Column, piece: Column) -> Column:
-        full = (F.size(state["open"]) > 0) & (joined_length(state["open"], piece) > size)
+    def step(state: Column, i: Column) -> Column:
+        full = (i > state["first"]) & (span(state["first"], i) > size)
+        group = F.struct(state["first"].alias("first"), (i - 1).alias("last"))
         return F.when(
             full,
             F.struct(
-                F.concat(state["done"], F.array(state["open"])).alias("done"),
-                F.concat(carried(state["open"], piece), F.array(piece)).alias("open"),
+                F.concat(state["done"], F.array(group)).alias("done"),
+                carried_from(state["first"], i).alias("first"),
             ),
-        ).otherwise(
-            F.struct(state["done"].alias("done"), F.concat(state["open"], F.array(piece)).alias("open"))
-        )
+        ).otherwise(state)
 
+    numbers = F.when(F.size(pieces) > 0, F.sequence(F.lit(1), F.size(pieces)))
     groups = F.aggregate(
-        pieces,
+        numbers,
         start,
         step,
-        lambda s: F.when(F.size(s["open"]) > 0, F.concat(s["done"], F.array(s["open"]))).otherwise(s["done"]),
+        lambda s: F.concat(
+            s["done"], F.array(F.struct(s["first"].alias("first"), F.size(pieces).alias("last")))
+        ),
+    )
+    joined = F.transform(
+        groups, lambda g: F.array_join(F.slice(pieces, g["first"], g["last"] - g["first"] + 1), separator)
     )
-    return F.transform(groups, lambda g: F.array_join(g, separator))
+    return F.coalesce(joined, F.array().cast("array<string>"))
 
 
 def chunk_stats(chunks: DataFrame, kind: str, text: str = "chunk") -> DataFrame:
@@ -224,7 +214,7 @@ def compare_strategies(named: dict[str, DataFrame], by: str) -> DataFrame:
         every.groupBy(by)
         .pivot("strategy", list(named))
         .agg(
-            F.count("*").alias("chunks"),
+            F.count(F.lit(1)).alias("chunks"),
             F.floor(F.avg(chars)).alias("mean"),
             F.max(chars).alias("max"),
         )

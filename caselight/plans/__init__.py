@@ -6,6 +6,8 @@ MODULES = [
     "ticket_queries",
     "source_queries",
     "chunk_queries",
+    "vector_queries",
+    "retrieval_queries",
 ]
 
 

@@ -72,31 +72,32 @@ def md_header_path(spark, sf_dir):
     ).select("doc_id", "s.*")
 
 
-def _cut_sql(at: str, size: int, overlap: int) -> str:
+def _cut_sql(pos: str, size: int) -> str:
     half = size // 2
-    head = lambda sep: f"length(regexp_extract(substring(d.text, {at}, {size}), '(?s)^(.*{sep})', 1))"
+    head = lambda sep: f"length(regexp_extract(substring(d.text, {pos}, {size}), '(?s)^(.*{sep})', 1))"
     tests = " ".join(
         f"WHEN {head(sep)} > {half} THEN {head(sep)}" for sep in (r"\n\n", r"\n", r"[.] ", " ")
     )
     return (
-        f"CASE WHEN length(d.text) - ({at}) + 1 <= {size} THEN length(d.text) - ({at}) + 1 {tests} ELSE {size} END"
+        f"CASE WHEN length(d.text) - ({pos}) + 1 <= {size} THEN length(d.text) - ({pos}) + 1 {tests} ELSE {size} END"
     )
 
 
-def _recursive_sql(size: int, overlap: int) -> str:
-    following = f"c.at + c.chars - {overlap}"
-    return f"""RECURSIVE cuts AS (
-      SELECT d.doc_id, 0 AS ordinal, 1 AS at, {_cut_sql('1', size, overlap)} AS chars
-      FROM documents d WHERE length(d.text) > 0
+def recursive_sql(size: int, overlap: int, source: str = "documents", key: str = "doc_id") -> str:
+    """``cuts(key, ordinal, pos, chars)`` of a sub-query with ``key`` and ``text``."""
+    following = f"c.pos + c.chars - {overlap}"
+    return f"""cuts AS (
+      SELECT d.{key}, 0 AS ordinal, 1::BIGINT AS pos, ({_cut_sql('1', size)})::BIGINT AS chars
+      FROM {source} d WHERE length(d.text) > 0
       UNION ALL
-      SELECT d.doc_id, c.ordinal + 1, {following}, {_cut_sql(f'({following})', size, overlap)}
-      FROM cuts c JOIN documents d USING (doc_id) WHERE length(d.text) - c.at + 1 > {size})"""
+      SELECT d.{key}, c.ordinal + 1, {following}, {_cut_sql(f'({following})', size)}
+      FROM cuts c JOIN {source} d USING ({key}) WHERE length(d.text) - c.pos + 1 > {size})"""
 
 
 @query(
     "recursive_chunks",
-    f"""WITH {_recursive_sql(900, 120)}
-      SELECT doc_id, ordinal::BIGINT AS ordinal, substring(text, at, chars) AS chunk
+    f"""WITH RECURSIVE {recursive_sql(900, 120)}
+      SELECT doc_id, ordinal::BIGINT AS ordinal, substring(text, pos, chars) AS chunk
       FROM cuts JOIN documents USING (doc_id)""",
 )
 def recursive_chunks(spark, sf_dir):
@@ -107,8 +108,8 @@ def recursive_chunks(spark, sf_dir):
 
 @query(
     "oversize_resplit",
-    f"""WITH {_recursive_sql(1500, 150)}
-      SELECT doc_id, lang, ordinal::BIGINT AS ordinal, substring(text, at, chars) AS chunk
+    f"""WITH RECURSIVE {recursive_sql(1500, 150)}
+      SELECT doc_id, lang, ordinal::BIGINT AS ordinal, substring(text, pos, chars) AS chunk
       FROM cuts JOIN documents USING (doc_id)""",
 )
 def oversize_resplit(spark, sf_dir):

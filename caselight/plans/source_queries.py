@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from caselight.functions import text as tx
 from caselight.operators import chunking
+from caselight.plans.chunk_queries import recursive_sql
 from caselight.registry import query, table
 from caselight.session import scratch_path
 from caselight.sources import rows, stores
@@ -131,18 +132,17 @@ def kv_row_document(spark, sf_dir):
     )
 
 
-@query(
-    "html_to_text",
-    r"""WITH hidden AS (SELECT page_id, regexp_replace(html,
-        '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', chr(10), 'g') AS h FROM pages),
-      bare AS (SELECT page_id, regexp_replace(h, '<[/a-zA-Z!?][^>]*>', chr(10), 'g') AS t FROM hidden),
-      plain AS (SELECT page_id, replace(replace(replace(replace(replace(replace(replace(replace(replace(t,
-        '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''),
-        '&middot;', '·'), '&copy;', '©'), '&amp;', '&') AS t FROM bare)
-      SELECT page_id, array_to_string(list_filter(list_transform(string_split(t, chr(10)),
-        lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: length(x) > 0), chr(10)) AS text
-      FROM plain""",
-)
+_PAGE_TEXT = r"""hidden AS (SELECT page_id, url, regexp_replace(html,
+    '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', chr(10), 'g') AS h FROM pages),
+  bare AS (SELECT page_id, url, regexp_replace(h, '<[/a-zA-Z!?][^>]*>', chr(10), 'g') AS t FROM hidden),
+  plain AS (SELECT page_id, url, replace(replace(replace(replace(replace(replace(replace(replace(replace(t,
+    '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''),
+    '&middot;', '·'), '&copy;', '©'), '&amp;', '&') AS t FROM bare),
+  page_text AS (SELECT page_id, url, array_to_string(list_filter(list_transform(string_split(t, chr(10)),
+    lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: length(x) > 0), chr(10)) AS text FROM plain)"""
+
+
+@query("html_to_text", f"WITH {_PAGE_TEXT} SELECT page_id, text FROM page_text")
 def html_to_text(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", tx.html_to_text(F.col("html")).alias("text"))
 
@@ -276,12 +276,13 @@ def chunk_round_trip(spark, sf_dir):
       FROM embeddings GROUP BY label""",
 )
 def vector_store_round_trip(spark, sf_dir):
-    """Built once, read on the second call, written again on a rebuild."""
+    """Built once, written again on a rebuild, read as it is on a later call."""
     path = scratch_path(spark, "vectors")
     vectors = table(spark, sf_dir, "embeddings")
-    stores.persisted(spark, path, lambda: vectors.filter(F.col("label") < 0), by="label")
+    older = vectors.withColumn("label", F.lit(0))
+    stores.persisted(spark, path, lambda: older, by="label")
     stores.persisted(spark, path, lambda: vectors, rebuild=True, by="label")
-    kept = stores.persisted(spark, path, lambda: vectors.filter(F.col("label") < 0), by="label")
+    kept = stores.persisted(spark, path, lambda: older, by="label")
     return kept.groupBy("label").agg(
         F.count("*").alias("vectors"),
         F.round(F.sum(F.get("embedding", F.lit(0)).cast("double")), 6).alias("first_sum"),
@@ -348,7 +349,18 @@ def union_chunks(spark, sf_dir):
     )
 
 
-@query("ingest_job")
+@query(
+    "ingest_job",
+    rf"""WITH RECURSIVE {_PAGE_TEXT},
+      paths AS (SELECT *, regexp_extract(url, '^https?://[^/]+/([^?#]*)', 1) AS path FROM page_text),
+      inputs AS (
+        SELECT 'doc-' || doc_id::VARCHAR AS source, lang AS category, text FROM documents
+        UNION ALL SELECT 'page-' || page_id::VARCHAR,
+          coalesce(nullif(regexp_extract(path, '^([^/]+)/', 1), ''), 'general'), text FROM paths),
+      {recursive_sql(900, 120, "inputs", "source")}
+      SELECT category, count(DISTINCT source) AS documents, count(*) AS chunks
+      FROM cuts JOIN inputs USING (source) GROUP BY category""",
+)
 def ingest_job(spark, sf_dir):
     """Documents and web pages chunked, keyed, stored by category, and counted per category."""
     documents = table(spark, sf_dir, "documents").select(
