@@ -275,11 +275,12 @@ def plane_sign(plane: Column, dimension: Column) -> Column:
 
 def cell_of(vector: Column, planes: int, dimensions: int) -> Column:
     """Number of the cell: one bit per random plane, by the side the vector lies on."""
+    def signs_of(plane: int) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(dimensions - 1)), lambda d: plane_sign(F.lit(plane), d))
+
     cell = F.lit(0).cast("long")
     for plane in range(planes):
-        signs = F.transform(
-            F.sequence(F.lit(0), F.lit(dimensions - 1)), lambda d, p=plane: plane_sign(F.lit(p), d)
-        )
+        signs = signs_of(plane)
         cell = cell + F.when(vx.dot(vector, signs) >= 0, F.lit(1 << plane)).otherwise(F.lit(0)).cast("long")
     return cell
 

@@ -8,6 +8,10 @@ MODULES = [
     "chunk_queries",
     "vector_queries",
     "retrieval_queries",
+    "intake_queries",
+    "evaluation_queries",
+    "share_queries",
+    "stream_queries",
 ]
 
 
