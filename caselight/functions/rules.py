@@ -69,11 +69,19 @@ def occurs(text: Column, pattern: str) -> Column:
     return F.rlike(text, F.lit("(?d)" + pattern))
 
 
-def first_match(text: Column, rules: list[Rule], fallback: Column, value) -> Column:
-    """One CASE WHEN, in rule order, so evaluation stops at the first hit."""
+def issue(text: Column, rules: list[Rule] = ISSUE_RULES) -> Column:
+    """Struct (issue_type, confidence) of the first rule that occurs in the text.
+
+    One CASE WHEN in rule order, so evaluation stops at the first hit and no pattern runs twice.
+    """
+    low = F.lower(text)
+    short = word_count(text) < SHORT_TEXT_WORDS
+    confidence = F.when(short, DEFAULT_CONFIDENCE_SHORT).otherwise(DEFAULT_CONFIDENCE_LONG)
+    outcome = lambda label, sure: F.struct(label.alias("issue_type"), sure.alias("confidence"))
+    fallback = outcome(F.lit(DEFAULT_ISSUE), confidence)
     chain = None
     for rule in rules:
-        test, then = occurs(text, rule.pattern), F.lit(value(rule))
+        test, then = occurs(low, rule.pattern), outcome(F.lit(rule.issue_type), F.lit(rule.confidence))
         chain = F.when(test, then) if chain is None else chain.when(test, then)
     return fallback if chain is None else chain.otherwise(fallback)
 
@@ -83,17 +91,6 @@ def word_bounded(rules: list[Rule]) -> list[Rule]:
     return [Rule(rf"\b(?:{r.pattern})\b", r.issue_type, r.confidence) for r in rules]
 
 
-def issue_type(text: Column, rules: list[Rule] = ISSUE_RULES) -> Column:
-    return first_match(F.lower(text), rules, F.lit(DEFAULT_ISSUE), lambda r: r.issue_type)
-
-
-def issue_confidence(text: Column, rules: list[Rule] = ISSUE_RULES) -> Column:
-    fallback = F.when(
-        word_count(text) < SHORT_TEXT_WORDS, F.lit(DEFAULT_CONFIDENCE_SHORT)
-    ).otherwise(F.lit(DEFAULT_CONFIDENCE_LONG))
-    return first_match(F.lower(text), rules, fallback, lambda r: r.confidence)
-
-
 def sentiment(text: Column) -> Column:
     low = F.lower(text)
     return (

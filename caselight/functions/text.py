@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Two or more word characters make a token, as in the usual TF-IDF defaults.
-TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
+NON_WORD = r"[^\p{L}\p{N}_]+"
+TOKEN_CHARS = 2
 
 # The named HTML entities that are decoded, the ampersand last.
 HTML_ENTITIES = [
@@ -22,9 +25,22 @@ HTML_ENTITIES = [
 ]
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once per row.
+
+    Inside the lambdas of array functions a repeated expression is evaluated at every use.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def word_runs(text: Column) -> Column:
+    """Lower-cased runs of word characters of any length; the empty string where the text has none."""
+    return F.split(F.lower(text), NON_WORD)
+
+
 def tokens(text: Column) -> Column:
     """Lower-cased tokens in order, with repeats."""
-    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), F.lit(0))
+    return F.filter(word_runs(text), lambda w: F.length(w) >= TOKEN_CHARS)
 
 
 def words(text: Column) -> Column:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caselight.functions.text import strip, words
+from caselight.functions.text import let, strip, words
 
 # Break points by priority.
 SEPARATORS = ["\n\n", "\n", ". ", " "]
@@ -70,11 +70,15 @@ def md_header_paths(text: Column) -> Column:
 
 def word_windows(text: Column, size: int = 100) -> Column:
     """Consecutive windows of ``size`` words, joined by single blanks."""
-    pieces = words(text)
-    starts = F.when(F.size(pieces) > 0, F.sequence(F.lit(1), F.size(pieces), F.lit(size))).otherwise(
-        F.array().cast("array<int>")
-    )
-    return F.transform(starts, lambda s: F.array_join(F.slice(pieces, s, F.lit(size)), " "))
+    none = F.array().cast("array<int>")
+
+    def windows(pieces: Column) -> Column:
+        starts = F.when(
+            F.size(pieces) > 0, F.sequence(F.lit(1), F.size(pieces), F.lit(size))
+        ).otherwise(none)
+        return F.transform(starts, lambda s: F.array_join(F.slice(pieces, s, F.lit(size)), " "))
+
+    return let(words(text), windows)
 
 
 def char_windows(text: Column, size: int = 512, overlap: int = 50) -> Column:
@@ -95,36 +99,40 @@ def recursive_cuts(text: Column, size: int, overlap: int) -> Column:
     if overlap * 2 >= size:
         raise ValueError("the overlap must be under half the size")
     half = size // 2
-    total = F.length(text)
-    most = F.ceil(total / (half - overlap)).cast("int") + 1
 
     def cut_of(window: Column) -> Column:
-        at = None
-        for separator in SEPARATORS:
-            head = F.length(F.regexp_extract(window, f"(?s)^(.*{separator.replace('.', '[.]')})", 1))
-            at = F.when(head > half, head) if at is None else at.when(head > half, head)
-        return at.otherwise(F.lit(size))
-
-    start = F.struct(
-        F.lit(1).alias("at"), F.array().cast("array<struct<first:int,chars:int>>").alias("done")
-    )
-
-    def step(state: Column, _: Column) -> Column:
-        left = total - state["at"] + 1
-        window = F.substring(text, state["at"], F.lit(size))
-        chars = F.when(left <= size, left).otherwise(cut_of(window))
-        piece = F.array(F.struct(state["at"].alias("first"), chars.alias("chars")))
-        # A one-element array holds the cut, so that it is worked out once.
-        moved = F.transform(
-            piece,
-            lambda p: F.struct(
-                F.when(left <= size, total + 1).otherwise(p["first"] + p["chars"] - overlap).alias("at"),
-                F.concat(state["done"], F.array(p)).alias("done"),
-            ),
+        """Length up to the last break of the best kind, the whole window when there is none."""
+        heads = [
+            F.length(F.regexp_extract(window, f"(?s)^(.*{separator.replace('.', '[.]')})", 1))
+            for separator in SEPARATORS
+        ]
+        kept = [F.when(head > half, head) for head in heads]
+        return F.coalesce(*[let(k, lambda x: x) for k in kept], F.lit(size))
+
+    def cuts(total: Column) -> Column:
+        most = F.ceil(total / (half - overlap)).cast("int") + 1
+        start = F.struct(
+            F.lit(1).alias("at"), F.array().cast("array<struct<first:int,chars:int>>").alias("done")
         )
-        return F.when(state["at"] > total, state).otherwise(F.get(moved, F.lit(0)))
 
-    return F.aggregate(F.sequence(F.lit(1), most), start, step, lambda s: s["done"])
+        def grow(state: Column, chars: Column) -> Column:
+            piece = F.struct(state["at"].alias("first"), chars.alias("chars"))
+            ends = state["at"] + chars > total
+            return F.struct(
+                F.when(ends, total + 1).otherwise(state["at"] + chars - overlap).alias("at"),
+                F.concat(state["done"], F.array(piece)).alias("done"),
+            )
+
+        def step(state: Column, _: Column) -> Column:
+            left = total - state["at"] + 1
+            chars = F.when(left <= size, left).otherwise(
+                let(F.substring(text, state["at"], F.lit(size)), cut_of)
+            )
+            return F.when(left <= 0, state).otherwise(let(chars, lambda c: grow(state, c)))
+
+        return F.aggregate(F.sequence(F.lit(1), most), start, step, lambda s: s["done"])
+
+    return let(F.length(text), cuts)
 
 
 def recursive_chunks(text: Column, size: int = 900, overlap: int = 120) -> Column:
@@ -145,50 +153,47 @@ def paragraph_chunks(text: Column, size: int = 1000, overlap: int = 100, separat
     fold carries paragraph numbers and running lengths only; texts are joined at the end.
     """
     gap = len(separator)
-    pieces = F.filter(F.transform(F.split(text, separator), strip), lambda p: F.length(p) > 0)
-
-    def span(first: Column, last: Column) -> Column:
-        """Length of paragraphs first..last joined, 0 when there is none."""
-        chars = F.aggregate(
-            F.slice(pieces, first, F.greatest(last - first + 1, F.lit(0))),
-            F.lit(0),
-            lambda total, p: total + F.length(p) + gap,
-        )
-        return F.greatest(chars - gap, F.lit(0))
+    none = F.array().cast("array<string>")
+
+    def merged(pieces: Column) -> Column:
+        def span(first: Column, last: Column) -> Column:
+            """Length of paragraphs first..last joined, 0 when there is none."""
+            chars = F.aggregate(
+                F.slice(pieces, first, F.greatest(last - first + 1, F.lit(0))),
+                F.lit(0),
+                lambda total, p: total + F.length(p) + gap,
+            )
+            return F.greatest(chars - gap, F.lit(0))
 
-    def carried_from(first: Column, i: Column) -> Column:
-        """First paragraph of the longest tail of first..i-1 that fits, or i for none."""
-        fits = lambda j: (span(j, i - 1) <= overlap) & (span(j, i) <= size)
-        return F.coalesce(F.get(F.filter(F.sequence(first, i - 1), fits), F.lit(0)), i)
+        def carried_from(first: Column, i: Column) -> Column:
+            """First paragraph of the longest tail of first..i-1 that fits, or i for none."""
+            fits = lambda j: (span(j, i - 1) <= overlap) & (span(j, i) <= size)
+            return F.coalesce(F.get(F.filter(F.sequence(first, i - 1), fits), F.lit(0)), i)
 
-    start = F.struct(
-        F.array().cast("array<struct<first:int,last:int>>").alias("done"), F.lit(1).alias("first")
-    )
+        start = F.struct(
+            F.array().cast("array<struct<first:int,last:int>>").alias("done"), F.lit(1).alias("first")
+        )
 
-    def step(state: Column, i: Column) -> Column:
-        full = (i > state["first"]) & (span(state["first"], i) > size)
-        group = F.struct(state["first"].alias("first"), (i - 1).alias("last"))
-        return F.when(
-            full,
-            F.struct(
+        def step(state: Column, i: Column) -> Column:
+            full = (i > state["first"]) & (span(state["first"], i) > size)
+            group = F.struct(state["first"].alias("first"), (i - 1).alias("last"))
+            moved = F.struct(
                 F.concat(state["done"], F.array(group)).alias("done"),
                 carried_from(state["first"], i).alias("first"),
-            ),
-        ).otherwise(state)
-
-    numbers = F.when(F.size(pieces) > 0, F.sequence(F.lit(1), F.size(pieces)))
-    groups = F.aggregate(
-        numbers,
-        start,
-        step,
-        lambda s: F.concat(
-            s["done"], F.array(F.struct(s["first"].alias("first"), F.size(pieces).alias("last")))
-        ),
-    )
-    joined = F.transform(
-        groups, lambda g: F.array_join(F.slice(pieces, g["first"], g["last"] - g["first"] + 1), separator)
-    )
-    return F.coalesce(joined, F.array().cast("array<string>"))
+            )
+            return F.when(full, moved).otherwise(state)
+
+        def close(state: Column) -> Column:
+            rest = F.struct(state["first"].alias("first"), F.size(pieces).alias("last"))
+            return F.concat(state["done"], F.array(rest))
+
+        groups = F.aggregate(F.sequence(F.lit(1), F.size(pieces)), start, step, close)
+        text_of = lambda g: F.slice(pieces, g["first"], g["last"] - g["first"] + 1)
+        joined = F.transform(groups, lambda g: F.array_join(text_of(g), separator))
+        return F.when(F.size(pieces) > 0, joined).otherwise(none)
+
+    pieces = F.filter(F.transform(F.split(text, separator), strip), lambda p: F.length(p) > 0)
+    return let(pieces, merged)
 
 
 def chunk_stats(chunks: DataFrame, kind: str, text: str = "chunk") -> DataFrame:

@@ -1,34 +1,13 @@
-"""Joins that stay balanced when one key, or the missing key, holds a large part of the rows."""
+"""Joins by key: lookups with missing keys, parent checks, first-arrival inserts.
+
+A single hot key is split by adaptive execution, which ``session.tune`` forces for skewed joins.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_SALTS = 16
-
-
-def salted_join(
-    big: DataFrame,
-    small: DataFrame,
-    on: list[str],
-    spread_by: list[str],
-    how: str = "inner",
-    salts: int = DEFAULT_SALTS,
-) -> DataFrame:
-    """Equi-join where each key of ``big`` is spread over ``salts`` tasks and ``small`` is copied to all.
-
-    ``how`` is ``inner`` or ``left``: every row of ``big`` has one salt and meets every
-    matching row of ``small`` once. When ``small`` turns out small at run time,
-    adaptive execution broadcasts it instead.
-    """
-    if how not in ("inner", "left"):
-        raise ValueError("only inner and left joins can be salted on one side")
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    copied = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copied, [*on, "_salt"], how).drop("_salt")
-
-
 def spread_nulls(key: Column, *row_key: Column, buckets: int = 1024) -> Column:
     """``key``, or for a null key one of many values that match nothing.
 

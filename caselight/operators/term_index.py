@@ -10,8 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caselight.functions.text import tokens
-from caselight.operators.joins import salted_join
+from caselight.functions.text import TOKEN_CHARS, word_runs
 
 CHUNK_KEY = ["source", "ordinal"]
 
@@ -24,8 +23,9 @@ def default_stop_words() -> list[str]:
 
 
 def _token_rows(rows: DataFrame, key: list[str], text: str, stop_words: list[str] | None) -> DataFrame:
-    exploded = rows.select(*key, F.explode(tokens(F.col(text))).alias("term"))
-    return exploded.filter(~F.col("term").isin(stop_words)) if stop_words else exploded
+    runs = rows.select(*key, F.explode(word_runs(F.col(text))).alias("term"))
+    kept = runs.filter(F.length("term") >= TOKEN_CHARS)
+    return kept.filter(~F.col("term").isin(stop_words)) if stop_words else kept
 
 
 def term_frequency(
@@ -49,29 +49,44 @@ def smoothed_idf(postings: DataFrame, n_chunks: Column) -> DataFrame:
     return document_frequency(postings).withColumn("idf", idf)
 
 
+# A term of more than this share of the chunks is hot. As the shares of all terms add up to the mean
+# number of distinct terms D of a chunk, there are at most 1000 x D hot terms, whatever the corpus.
+HOT_SHARE = 0.001
+HOT_SALTS = 16
+
+
 @dataclass(frozen=True)
 class TermIndex:
-    """``vectors``: one row per chunk with its L2-normalised terms; ``idf``: one row per term."""
+    """``vectors``: one row per chunk with its L2-normalised terms; ``idf``: (term, df, idf, hot)."""
 
     vectors: DataFrame
     idf: DataFrame
 
     def weights(self) -> DataFrame:
-        """(source, ordinal, term, weight)."""
-        return self.vectors.select(*CHUNK_KEY, F.explode("terms").alias("t")).select(
-            *CHUNK_KEY, "t.term", "t.weight"
-        )
+        """(source, ordinal, term, weight, hot)."""
+        return self.vectors.select(*CHUNK_KEY, F.explode("terms").alias("t")).select(*CHUNK_KEY, "t.*")
+
+
+def _with_factors(postings: DataFrame, idf: DataFrame) -> DataFrame:
+    """Postings of known terms with ``idf`` and ``hot``.
+
+    Postings of hot terms, most of all, meet their idf in place; the bound on the number of hot terms
+    allows the broadcast. Only the rest is exchanged by term, and no term there is large.
+    """
+    factors = idf.select("term", "idf", "hot")
+    hot, cold = factors.filter("hot"), factors.filter(~F.col("hot"))
+    in_place = postings.join(F.broadcast(hot), "term")
+    exchanged = postings.join(F.broadcast(hot.select("term")), "term", "left_anti").join(cold, "term")
+    return in_place.unionByName(exchanged)
 
 
 def _unit_terms(weighted: DataFrame, key: list[str]) -> DataFrame:
     """Gather the terms of a row and divide by its norm; one row's own terms only."""
     gathered = weighted.groupBy(*key).agg(
-        F.collect_list(F.struct("term", "weight")).alias("raw"),
+        F.collect_list(F.struct("term", "weight", "hot")).alias("raw"),
         F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"),
     )
-    unit = F.transform(
-        "raw", lambda t: F.struct(t["term"].alias("term"), (t["weight"] / F.col("norm")).alias("weight"))
-    )
+    unit = F.transform("raw", lambda t: t.withField("weight", t["weight"] / F.col("norm")))
     return gathered.select(*key, unit.alias("terms"))
 
 
@@ -80,21 +95,25 @@ def build_term_index(
 ) -> TermIndex:
     postings = term_frequency(chunks, CHUNK_KEY, text, stop_words)
     n_chunks = chunks.agg(F.count("*").alias("n")).scalar()
-    idf = smoothed_idf(postings, n_chunks)
-    # A word of every third chunk is a hot key here, so the term join is salted by chunk.
-    weighted = salted_join(postings, idf.select("term", "idf"), ["term"], CHUNK_KEY).select(
-        *CHUNK_KEY, "term", (F.col("tf") * F.col("idf")).alias("weight")
-    )
+    idf = smoothed_idf(postings, n_chunks).withColumn("hot", F.col("df") > HOT_SHARE * n_chunks)
+    weighted = _with_factors(postings, idf).withColumn("weight", F.col("tf") * F.col("idf"))
     return TermIndex(_unit_terms(weighted, CHUNK_KEY), idf)
 
 
 def query_vectors(
     queries: DataFrame, index: TermIndex, text: str = "text", stop_words: list[str] | None = None
 ) -> DataFrame:
-    """(query_id, terms): normalised weights over known words; a query without one has no row."""
-    tf = term_frequency(queries, ["query_id"], text, stop_words)
-    weighted = salted_join(tf, index.idf.select("term", "idf"), ["term"], ["query_id"]).select(
-        "query_id", "term", (F.col("tf") * F.col("idf")).alias("weight")
+    """(query_id, terms): normalised weights over known words; a query without one has no row.
+
+    Unknown words are dropped before anything is exchanged; one exchange by query then serves the
+    counting and the gathering.
+    """
+    words = _with_factors(_token_rows(queries, ["query_id"], text, stop_words), index.idf)
+    weighted = (
+        words.repartition("query_id")
+        .groupBy("query_id", "term", "idf", "hot")
+        .agg(F.count("*").alias("tf"))
+        .withColumn("weight", F.col("tf") * F.col("idf"))
     )
     return _unit_terms(weighted, ["query_id"])
 
@@ -124,16 +143,21 @@ def rank_key(score: Column) -> Column:
 def score_pairs(query_terms: DataFrame, key: str, index: TermIndex) -> DataFrame:
     """(key, source, ordinal, score) for pairs that share a term; zero scores never arise.
 
-    All postings of a chunk leave ``explode`` in one task, so the partial sum already yields
-    one row per pair and hot terms do not travel. ``query_terms`` is the side that adaptive
-    execution broadcasts when its measured size allows; otherwise both sides meet on the
-    salted term.
+    Postings of hot terms are spread over salts by chunk, and only query terms that are hot are
+    copied to every salt. Where the query side is measured to be small, adaptive execution broadcasts
+    it; all postings of a chunk then leave ``explode`` in one task, so that the partial sum already
+    yields one row per pair.
     """
-    left = query_terms.select(key, F.explode("terms").alias("t")).select(
-        key, "t.term", F.col("t.weight").alias("w_query")
+    chunk_salt = F.pmod(F.xxhash64(*CHUNK_KEY), F.lit(HOT_SALTS)).cast("int")
+    postings = index.weights().withColumn("_salt", F.when(F.col("hot"), chunk_salt).otherwise(F.lit(0)))
+    salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))).otherwise(F.array(F.lit(0)))
+    asked = query_terms.select(key, F.explode("terms").alias("t")).select(
+        key, "t.term", F.col("t.weight").alias("w_query"), F.col("t.hot").alias("hot")
     )
+    copied = asked.withColumn("_salt", F.explode(salts)).drop("hot")
     return (
-        salted_join(index.weights(), left, ["term"], CHUNK_KEY)
+        postings.drop("hot")
+        .join(copied, ["term", "_salt"])
         .groupBy(key, *CHUNK_KEY)
         .agg(F.sum(F.col("weight") * F.col("w_query")).alias("score"))
     )

@@ -46,16 +46,17 @@ STEPS = [
 def classify(tickets: DataFrame, rule_list: list[rules.Rule] = rules.ISSUE_RULES) -> DataFrame:
     """Adds issue type, confidence, sentiment, urgency, ids found in the text and the summary."""
     text = F.col("text")
-    return tickets.withColumns(
+    judged = tickets.withColumns(
         {
-            "issue_type": rules.issue_type(text, rule_list),
-            "confidence": rules.issue_confidence(text, rule_list),
+            "_issue": rules.issue(text, rule_list),
             "sentiment": rules.sentiment(text),
             "extracted_order_id": rules.entity(text, "ORD"),
             "extracted_customer_id": rules.entity(text, "CUST"),
             "summary": rules.summary(text),
         }
-    ).withColumn("urgency", rules.urgency(F.col("issue_type"), F.col("sentiment")))
+    )
+    named = judged.select("*", "_issue.issue_type", "_issue.confidence").drop("_issue")
+    return named.withColumn("urgency", rules.urgency(F.col("issue_type"), F.col("sentiment")))
 
 
 def resolve_customer(classified: DataFrame) -> DataFrame:
@@ -104,6 +105,7 @@ def knowledge_query(tickets: DataFrame) -> DataFrame:
 
 def attach_knowledge(
     tickets: DataFrame,
+    asked: DataFrame,
     chunks: DataFrame,
     index: TermIndex,
     k: int = 3,
@@ -112,11 +114,10 @@ def attach_knowledge(
 ) -> DataFrame:
     """Adds ``hits``: up to k (rank, source, section, text, score), an empty array when none.
 
-    Tickets are scored per distinct set of known words, and joined to the hits by that.
+    ``asked`` holds the classified tickets before any join, so that the search does not repeat the
+    joins. Tickets are scored per distinct set of known words, and get their hits by that.
     """
-    named, hits = search_by_signature(
-        knowledge_query(tickets), index, k, internal_source, stop_words
-    )
+    named, hits = search_by_signature(knowledge_query(asked), index, k, internal_source, stop_words)
     detailed = hits.join(chunks.select(*CHUNK_KEY, "section", "text"), CHUNK_KEY)
     hit = F.struct(
         "rank", "source", "section", "text", F.round("score", 4).alias("relevance_score")
@@ -184,10 +185,14 @@ def evidence_labels(hits: Column) -> Column:
     return F.transform(hits, lambda h: F.concat_ws("#", h["source"], h["section"]))
 
 
+def with_account(classified: DataFrame, accounts: DataFrame, orders: DataFrame) -> DataFrame:
+    """Account and order amount of classified tickets."""
+    return relevant_order_amount(join_customer(resolve_customer(classified), accounts), orders)
+
+
 def triage_core(tickets: DataFrame, accounts: DataFrame, orders: DataFrame) -> DataFrame:
     """Classification, account and order amount: what the hard gate needs."""
-    known = join_customer(resolve_customer(classify(tickets)), accounts)
-    return relevant_order_amount(known, orders)
+    return with_account(classify(tickets), accounts, orders)
 
 
 def case_reports(
@@ -201,8 +206,9 @@ def case_reports(
     stop_words: list[str] | None = None,
 ) -> DataFrame:
     """One report row per ticket, as one lazy plan."""
-    core = triage_core(tickets, accounts, orders)
-    grounded = attach_knowledge(core, chunks, index, k, internal_source, stop_words)
+    classified = classify(tickets)
+    core = with_account(classified, accounts, orders)
+    grounded = attach_knowledge(core, classified, chunks, index, k, internal_source, stop_words)
     best = F.get("hits", F.lit(0))
     drafted = grounded.withColumns(
         {

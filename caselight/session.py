@@ -75,3 +75,20 @@ def rows_if_bounded(df: DataFrame, limit: int) -> list | None:
     """Collect ``df`` when it has at most ``limit`` rows, else None; reads ``limit + 1`` rows at most."""
     rows = df.limit(limit + 1).collect()
     return rows if len(rows) <= limit else None
+
+
+# Tables whose rows are worked on long enough to pay for spreading them.
+HEAVY_TABLES = ["documents", "pages", "embeddings", "events"]
+
+
+def spread_small_scan(df: DataFrame, name: str) -> DataFrame:
+    """Spread a table that arrives in fewer pieces than there are cores.
+
+    That is so for one small file with one row group. A large table has splits enough and is left
+    alone, so no exchange is added at scale.
+    """
+    if name not in HEAVY_TABLES:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores) if splits < cores else df
