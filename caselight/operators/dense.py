@@ -11,16 +11,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caselight.functions import vectors as vx
+from caselight.operators.ranking import STEP, keep_first, rank_key
 from caselight.session import rows_if_bounded
 
 MAX_SENT_QUERIES = 4096
 QUERY_BLOCK_ROWS = 2048
 BLOCK_ROWS = 32768
-STEP = 1e9  # scores are ranked in whole steps of 1e-9, so that ties do not hang on rounding
 HITS = "query_id string, id long, score double"
 
 
@@ -119,11 +119,9 @@ def meet_in_blocks(
     return left.groupBy(*block).cogroup(fresh(right).groupBy(*block)).applyInPandas(search, schema)
 
 
-def rank_hits(hits: DataFrame, k: int | Column, key: str = "query_id") -> DataFrame:
+def rank_hits(hits: DataFrame, k: int, key: str = "query_id") -> DataFrame:
     """Final ranks from partial hits: score falling, ties by id."""
-    order = Window.partitionBy(key).orderBy(F.floor(F.col("score") * STEP + 0.5).desc(), F.col("id"))
-    limit = F.lit(k) if isinstance(k, int) else k
-    return hits.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= limit)
+    return keep_first(hits, [key], [rank_key(F.col("score")).desc(), F.col("id")], k)
 
 
 def cosine_top_k(
@@ -187,14 +185,10 @@ def similarity_matrix(group: DataFrame, name: str, vector: str) -> DataFrame:
 def merge_variants(hits: DataFrame, k: int) -> DataFrame:
     """Hits of several variants of a query: (query_id, key, id, distance) to the best per key, nearest first."""
     best = hits.groupBy("query_id", "key").agg(
-        F.min_by(F.struct("id", "distance"), F.struct(F.floor(F.col("distance") * STEP + 0.5), "id")).alias("b")
-    )
-    order = Window.partitionBy("query_id").orderBy(F.floor(F.col("b.distance") * STEP + 0.5), "b.id")
-    return (
-        best.withColumn("rank", F.row_number().over(order).cast("long"))
-        .filter(F.col("rank") <= k)
-        .select("query_id", "key", "b.id", "b.distance", "rank")
+        F.min_by(F.struct("id", "distance"), F.struct(rank_key(F.col("distance")), "id")).alias("b")
     )
+    flat = best.select("query_id", "key", "b.id", "b.distance")
+    return keep_first(flat, ["query_id"], [rank_key(F.col("distance")), F.col("id")], k)
 
 
 def rerank(candidates: DataFrame, second_score: Column, keep: int) -> DataFrame:
@@ -261,7 +255,7 @@ def nearest_earlier(
     )
     best = partial.groupBy("id").agg(
         F.min_by(
-            F.struct("match_id", "distance"), F.struct(F.floor(F.col("distance") * STEP + 0.5), "match_id")
+            F.struct("match_id", "distance"), F.struct(rank_key(F.col("distance")), "match_id")
         ).alias("b")
     )
     return best.select("id", "b.match_id", "b.distance").unionByName(copies)

@@ -6,15 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caselight.operators.conversation import split_running
+from caselight.operators.ranking import keep_first
 from caselight.session import cut_lineage
 
 
-def _first_k(rows: DataFrame, group: str, order: list[Column], k: int) -> DataFrame:
-    """First k rows of each group; the limit is pushed below the exchange."""
-    place = F.row_number().over(Window.partitionBy(group).orderBy(*order))
-    return rows.withColumn("rank", place.cast("long")).filter(F.col("rank") <= k)
-
-
 def _with_total(rows: DataFrame, group: str, weight: str, total: str = "_total") -> DataFrame:
     """Adds the group's sum by a folded aggregate and a join, not by a window over the group."""
     totals = rows.groupBy(group).agg(F.sum(weight).alias(total))
@@ -23,7 +18,7 @@ def _with_total(rows: DataFrame, group: str, weight: str, total: str = "_total")
 
 def top_k_share(items: DataFrame, group: str, item: str, weight: str, k: int) -> DataFrame:
     """The k heaviest items per group with their renormalised ``share``."""
-    kept = _first_k(items, group, [F.col(weight).desc(), F.col(item)], k)
+    kept = keep_first(items, [group], [F.col(weight).desc(), F.col(item)], k)
     whole = Window.partitionBy(group)  # at most k rows
     return kept.withColumn("share", F.col(weight) / F.sum(weight).over(whole))
 
@@ -74,7 +69,7 @@ def weighted_sample(items: DataFrame, group: str, item: str, weight: str, n: int
     """n items per group without replacement, drawn in proportion to their weight."""
     u = seeded_uniform(seed, F.col(group).cast("string"), F.col(item).cast("string"))
     drawn = items.filter(F.col(weight) > 0).withColumn("_draw", -F.ln(u) / F.col(weight))
-    return _first_k(drawn, group, [F.col("_draw"), F.col(item)], n).drop("_draw")
+    return keep_first(drawn, [group], [F.col("_draw"), F.col(item)], n).drop("_draw")
 
 
 def budget_select(rows: DataFrame, group: str, order: str, cost: str, budget: int) -> DataFrame:
@@ -83,7 +78,8 @@ def budget_select(rows: DataFrame, group: str, order: str, cost: str, budget: in
     Every row costs at least 1, so no more than the first ``budget`` rows of a group can fit; that
     bound is exact and keeps a large group out of one task.
     """
-    first = _first_k(rows.withColumn(cost, F.greatest(F.col(cost), F.lit(1))), group, [F.col(order)], budget)
+    priced = rows.withColumn(cost, F.greatest(F.col(cost), F.lit(1)))
+    first = keep_first(priced, [group], [F.col(order)], budget)
     running = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return (
         first.withColumn(f"{cost}_so_far", F.sum(cost).over(running))

@@ -7,10 +7,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caselight.functions.text import TOKEN_CHARS, word_runs
+from caselight.operators.ranking import keep_first, rank_key
 
 CHUNK_KEY = ["source", "ordinal"]
 
@@ -135,11 +136,6 @@ def signatures(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     return signed.select("query_id", "signature"), distinct
 
 
-def rank_key(score: Column) -> Column:
-    """Score as a whole number of 1e-9 steps: ties do not depend on summation order."""
-    return F.floor(score * 1e9 + 0.5)
-
-
 def score_pairs(query_terms: DataFrame, key: str, index: TermIndex) -> DataFrame:
     """(key, source, ordinal, score) for pairs that share a term; zero scores never arise.
 
@@ -163,16 +159,9 @@ def score_pairs(query_terms: DataFrame, key: str, index: TermIndex) -> DataFrame
     )
 
 
-def top_k(scored: DataFrame, key: str, k: int | Column, *tie: str) -> DataFrame:
-    """First k rows per key by score, ties by ``tie``; the limit is pushed below the exchange."""
-    order = Window.partitionBy(key).orderBy(F.col("_rank_key").desc(), *[F.col(c) for c in tie])
-    limit = F.lit(k) if isinstance(k, int) else k
-    return (
-        scored.withColumn("_rank_key", rank_key(F.col("score")))
-        .withColumn("rank", F.row_number().over(order).cast("long"))
-        .filter(F.col("rank") <= limit)
-        .drop("_rank_key")
-    )
+def top_k(scored: DataFrame, key: str, k: int, *tie: str) -> DataFrame:
+    """First k rows per key by score, ties by ``tie``."""
+    return keep_first(scored, [key], [rank_key(F.col("score")).desc(), *[F.col(c) for c in tie]], k)
 
 
 def search(
