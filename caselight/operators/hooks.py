@@ -54,9 +54,10 @@ def classify_with(rows: DataFrame, text: str, classify_fn: Callable[[list[str]],
 
 def score_with(
     pairs: DataFrame, left: str, right: str, score_fn: Callable[[list[str], list[str]], list[float]],
-    name: str = "score", right_chars: int = 512,
+    name: str = "score", right_chars: int | None = None,
 ) -> DataFrame:
-    """Adds a second-stage score of (query, text) pairs; the model sees the text up to its input limit."""
+    """Adds a second-stage score of (query, text) pairs; ``right_chars`` is the input limit of a model
+    that has one."""
 
     @F.pandas_udf("double")
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:

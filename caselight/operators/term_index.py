@@ -41,7 +41,9 @@ def term_frequency(
 
 
 def document_frequency(postings: DataFrame) -> DataFrame:
-    return postings.groupBy("term").agg(F.count("*").alias("df"))
+    # Every posting counts 1; naming ``tf`` keeps the input equal to that of the weights, so that
+    # Spark works out and exchanges the postings once for both.
+    return postings.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
 
 
 def smoothed_idf(postings: DataFrame, n_chunks: Column) -> DataFrame:
@@ -77,7 +79,10 @@ def _with_factors(postings: DataFrame, idf: DataFrame) -> DataFrame:
     factors = idf.select("term", "idf", "hot")
     hot, cold = factors.filter("hot"), factors.filter(~F.col("hot"))
     in_place = postings.join(F.broadcast(hot), "term")
-    exchanged = postings.join(F.broadcast(hot.select("term")), "term", "left_anti").join(cold, "term")
+    # Not an anti-join: Spark would move that below the counting of postings, and do this twice.
+    found = F.broadcast(hot.select("term", F.lit(True).alias("_found")))
+    rest = postings.join(found, "term", "left").filter(F.col("_found").isNull()).drop("_found")
+    exchanged = rest.join(cold, "term")
     return in_place.unionByName(exchanged)
 
 

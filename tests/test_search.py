@@ -187,3 +187,19 @@ def test_top_k_is_cut_before_the_exchange(spark, vectors):
     scored = corpus.select(F.col("category").alias("query_id"), "id", F.col("vector")[0].alias("score"))
     plan = dense.rank_hits(scored, 3)._jdf.queryExecution().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_task_functions_travel_with_their_code(tmp_path):
+    """Executors have no copy of the package."""
+    import os
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    packed = tmp_path / "packed"
+    packed.write_bytes(cloudpickle.dumps(dense._block_hits))
+    code = f"import pickle; print(pickle.load(open({str(packed)!r}, 'rb')).__name__)"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    ran = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
+    assert ran.stdout.strip() == "_block_hits", ran.stderr

@@ -117,4 +117,6 @@ def test_hooks_run_in_batches(spark):
     labelled = hooks.classify_with(frame, "text", lambda texts: [str(len(t)) for t in texts], "n").collect()
     assert [r.n for r in labelled] == ["3", "3", "0", "0"]
     pairs = spark.createDataFrame([("q", "x" * 600)], "q string, d string")
-    assert hooks.score_with(pairs, "q", "d", lambda a, b: [float(len(x)) for x in b]).first().score == 512.0
+    length = lambda a, b: [float(len(x)) for x in b]
+    assert hooks.score_with(pairs, "q", "d", length).first().score == 600.0
+    assert hooks.score_with(pairs, "q", "d", length, right_chars=512).first().score == 512.0
