@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselight.functions.text import TOKEN_CHARS, word_runs
@@ -106,6 +106,25 @@ def build_term_index(
     return TermIndex(_unit_terms(weighted, CHUNK_KEY), idf)
 
 
+def save_term_index(
+    chunks: DataFrame, path: str, text: str = "text", stop_words: list[str] | None = None
+) -> TermIndex:
+    """Build the index once, write it below ``path`` and return it as read back."""
+    spark = chunks.sparkSession
+    build_term_index(chunks, text, stop_words).vectors.write.mode("overwrite").parquet(f"{path}/vectors")
+    # The written vectors hold each posting once, so the texts are not read again.
+    stored = spark.read.parquet(f"{path}/vectors").select(F.explode("terms").alias("t"))
+    postings = stored.select("t.term", F.lit(1).alias("tf"))
+    n_chunks = chunks.agg(F.count("*").alias("n")).scalar()
+    idf = smoothed_idf(postings, n_chunks).withColumn("hot", F.col("df") > HOT_SHARE * n_chunks)
+    idf.write.mode("overwrite").parquet(f"{path}/idf")
+    return load_term_index(spark, path)
+
+
+def load_term_index(spark: SparkSession, path: str) -> TermIndex:
+    return TermIndex(spark.read.parquet(f"{path}/vectors"), spark.read.parquet(f"{path}/idf"))
+
+
 def query_vectors(
     queries: DataFrame, index: TermIndex, text: str = "text", stop_words: list[str] | None = None
 ) -> DataFrame:

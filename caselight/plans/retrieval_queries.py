@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from caselight.functions import expansion
 from caselight.functions.text import fill_template
 from caselight.operators import evaluation, hits, term_index
+from caselight.plans.indexes import stored_index
 from caselight.plans.ticket_sql import TOKENS, ranked, tfidf
 from caselight.registry import query, table, text_literal
 from caselight.sources.rows import metadata
@@ -32,9 +33,14 @@ def questions(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
 
 
+def knowledge_index(spark, sf_dir) -> term_index.TermIndex:
+    return stored_index(
+        spark, "documents", f"{sf_dir}/documents.parquet", lambda: knowledge(spark, sf_dir)
+    )
+
+
 def found_chunks(spark, sf_dir, k: int = 3, exclude: str | None = None) -> DataFrame:
-    index = term_index.build_term_index(knowledge(spark, sf_dir))
-    return term_index.search(questions(spark, sf_dir), index, k, exclude)
+    return term_index.search(questions(spark, sf_dir), knowledge_index(spark, sf_dir), k, exclude)
 
 
 def _shown(found: DataFrame) -> DataFrame:
@@ -89,9 +95,10 @@ def tfidf_topk_external(spark, sf_dir):
       {ranked('scope', '2')} SELECT {_SHOWN} FROM hits""",
 )
 def tfidf_topk_scoped(spark, sf_dir):
-    chunks = knowledge(spark, sf_dir)
-    index = term_index.build_term_index(chunks)
-    return _shown(term_index.search_scoped(questions(spark, sf_dir), chunks, index, INTERNAL))
+    index = knowledge_index(spark, sf_dir)
+    return _shown(
+        term_index.search_scoped(questions(spark, sf_dir), knowledge(spark, sf_dir), index, INTERNAL)
+    )
 
 
 def _with_text(spark, sf_dir, k: int = 3) -> DataFrame:
@@ -171,7 +178,7 @@ def _lead_hits(spark, sf_dir, k: int = 3) -> DataFrame:
     children = knowledge(spark, sf_dir).withColumn(
         "text", F.coalesce(F.nullif(lead, F.lit("")), F.col("text"))
     )
-    index = term_index.build_term_index(children)
+    index = stored_index(spark, "leads", f"{sf_dir}/documents.parquet", lambda: children)
     return term_index.search(questions(spark, sf_dir), index, k)
 
 
@@ -277,7 +284,8 @@ def retrieve_context(spark, sf_dir):
     from caselight.plans.retrieve import retrieve_and_stuff
 
     return retrieve_and_stuff(
-        questions(spark, sf_dir), knowledge(spark, sf_dir), synonyms=[("tion", ["sion"])]
+        questions(spark, sf_dir), knowledge(spark, sf_dir), knowledge_index(spark, sf_dir),
+        synonyms=[("tion", ["sion"])],
     )
 
 

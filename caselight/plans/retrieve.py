@@ -14,6 +14,7 @@ from caselight.sources.rows import metadata
 def retrieve_and_stuff(
     queries: DataFrame,
     chunks: DataFrame,
+    index: term_index.TermIndex,
     synonyms: list = expansion.SYNONYMS,
     per_variant: int = 5,
     keep: int = 3,
@@ -22,7 +23,6 @@ def retrieve_and_stuff(
     variants = queries.select(
         "query_id", F.posexplode(expansion.variants(F.col("text"), synonyms)).alias("n", "text")
     ).select(F.concat_ws("/", "query_id", "n").alias("query_id"), "text")
-    index = term_index.build_term_index(chunks)
     found = term_index.search(variants, index, per_variant)
     id_type = queries.schema["query_id"].dataType
     keyed = found.select(

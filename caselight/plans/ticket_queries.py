@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from caselight.functions import rules
 from caselight.operators import conversation, joins, triage
-from caselight.operators.term_index import build_term_index
 from caselight.plans import tickets_data as data
 from caselight.plans import ticket_sql as sql
+from caselight.plans.indexes import stored_index
 from caselight.registry import query, table
 
 _TICKETS = f"WITH {data.EVENT_TICKETS}, {sql.CLASSIFIED}"
@@ -33,7 +33,7 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         data.accounts(spark, sf_dir),
         data.orders(spark, sf_dir),
         chunks,
-        build_term_index(chunks, stop_words=data.STOP_WORDS),
+        stored_index(spark, "catalogue", f"{sf_dir}/part.parquet", lambda: chunks, data.STOP_WORDS),
         internal_source=data.INTERNAL_SOURCE,
         stop_words=data.STOP_WORDS,
     )

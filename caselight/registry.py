@@ -33,7 +33,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread_small_scan(spark.read.parquet(f"{sf_dir}/{name}.parquet"), name)
+    return spread_small_scan(spark.read.parquet(f"{sf_dir}/{name}.parquet"), name, sf_dir)
 
 
 def text_literal(value: str) -> str:

@@ -79,16 +79,20 @@ def rows_if_bounded(df: DataFrame, limit: int) -> list | None:
 
 # Tables whose rows are worked on long enough to pay for spreading them.
 HEAVY_TABLES = ["documents", "pages", "embeddings", "events"]
+_splits: dict[tuple[str, str, str], int] = {}
 
 
-def spread_small_scan(df: DataFrame, name: str) -> DataFrame:
+def spread_small_scan(df: DataFrame, name: str, folder: str) -> DataFrame:
     """Spread a table that arrives in fewer pieces than there are cores.
 
     That is so for one small file with one row group. A large table has splits enough and is left
-    alone, so no exchange is added at scale.
+    alone, so no exchange is added at scale. The number of splits is looked up once per session.
     """
     if name not in HEAVY_TABLES:
         return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
-    return df.repartition(cores) if splits < cores else df
+    context = df.sparkSession.sparkContext
+    key = (context.applicationId, folder, name)
+    if key not in _splits:
+        _splits[key] = df._jdf.queryExecution().toRdd().getNumPartitions()
+    cores = context.defaultParallelism
+    return df.repartition(cores) if _splits[key] < cores else df

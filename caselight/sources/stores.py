@@ -14,6 +14,16 @@ def has_rows_at(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def stamp(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Size and time of change of a file or folder."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return (
+        files.getContentSummary(hadoop_path).getLength(),
+        files.getFileStatus(hadoop_path).getModificationTime(),
+    )
+
+
 def persisted(spark: SparkSession, path: str, build, rebuild: bool = False, **partition) -> DataFrame:
     """The stored table when there is one, else the result of ``build()`` written there."""
     if rebuild or not has_rows_at(spark, path):

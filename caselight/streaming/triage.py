@@ -8,17 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselight.operators import triage
-from caselight.operators.term_index import TermIndex, build_term_index
+from caselight.operators.term_index import save_term_index
 from caselight.streaming.ingest import file_stream
 
 
-def _stored_index(spark: SparkSession, index: TermIndex, path: str) -> TermIndex:
-    """The index written once, so that micro-batches read it instead of building it again."""
-    index.vectors.write.mode("overwrite").parquet(f"{path}/vectors")
-    index.idf.write.mode("overwrite").parquet(f"{path}/idf")
-    return TermIndex(spark.read.parquet(f"{path}/vectors"), spark.read.parquet(f"{path}/idf"))
-
-
 def _run(stream: DataFrame, path: str, mode: str, each: Callable[[DataFrame, int], None]) -> None:
     query = (
         stream.writeStream.outputMode(mode)
@@ -47,9 +40,7 @@ def triage_stream(
     Every micro-batch is one batch job with static tables. It writes the folder of its batch number,
     so a repeated batch replaces its own output.
     """
-    index = _stored_index(
-        spark, build_term_index(chunks, stop_words=options.get("stop_words")), f"{path}/index"
-    )
+    index = save_term_index(chunks, f"{path}/index", stop_words=options.get("stop_words"))
 
     def each(batch: DataFrame, number: int) -> None:
         reports = triage.case_reports(batch, accounts, orders, chunks, index, **options)

@@ -106,6 +106,13 @@ def test_equal_questions_share_their_hits(spark, corpus_texts):
     assert {tuple(r) for r in single.collect()} == {tuple(r) for r in shared.collect()}
 
 
+def test_stored_index_is_the_same(spark, corpus_texts, tmp_path):
+    chunks = chunk_table(spark, corpus_texts)
+    built, stored = term_index.build_term_index(chunks), term_index.save_term_index(chunks, str(tmp_path / "i"))
+    shown = lambda frame: sorted(tuple(round(v, 12) if isinstance(v, float) else v for v in r) for r in frame.collect())
+    assert shown(built.weights()) == shown(stored.weights()) and shown(built.idf) == shown(stored.idf)
+
+
 @pytest.fixture(scope="module")
 def vectors(spark):
     rng = np.random.default_rng(3)
