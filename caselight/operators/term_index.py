@@ -133,7 +133,10 @@ def query_vectors(
     Unknown words are dropped before anything is exchanged; one exchange by query then serves the
     counting and the gathering.
     """
-    words = _with_factors(_token_rows(queries, ["query_id"], text, stop_words), index.idf)
+    # The exchange ahead is read by both branches of the term join, so that whatever the query texts
+    # are derived from is worked out once.
+    asked = queries.select("query_id", text).repartition("query_id")
+    words = _with_factors(_token_rows(asked, ["query_id"], text, stop_words), index.idf)
     weighted = (
         words.repartition("query_id")
         .groupBy("query_id", "term", "idf", "hot")

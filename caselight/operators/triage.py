@@ -278,31 +278,31 @@ def summary_cube(reports: DataFrame) -> DataFrame:
     )
 
 
-def orders_newest_first(accounts: DataFrame, orders: DataFrame, block_days: int = 30) -> DataFrame:
+def orders_newest_first(accounts: DataFrame, orders: DataFrame, id_lead: int = 8) -> DataFrame:
     """Each order of a known customer with its place, newest first.
 
-    The place is found in two levels, by block of days and inside the block, so that a customer
-    who owns a large part of all orders is ranked by many tasks.
+    The place is found in two levels, so that a customer who owns a large part of all orders is
+    ranked by many tasks: over blocks, which are a day and the first characters of the id, and
+    inside each block. Both parts of a block follow the order.
     """
-    block = F.floor(F.datediff("order_date", F.lit("1970-01-01")) / block_days)
-    rows = orders.join(accounts.select("customer_id"), "customer_id", "left_semi").withColumn(
-        "_block", block
+    block = ["_age", "_lead"]
+    rows = orders.join(accounts.select("customer_id"), "customer_id", "left_semi").withColumns(
+        {
+            "_age": -F.datediff("order_date", F.lit("1970-01-01")),
+            "_lead": F.substring("order_id", 1, id_lead),
+        }
     )
-    counts = rows.groupBy("customer_id", "_block").agg(F.count("*").alias("_n"))
+    counts = rows.groupBy("customer_id", *block).agg(F.count("*").alias("_n"))
     before = (
-        Window.partitionBy("customer_id")
-        .orderBy(F.col("_block").desc())
-        .rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("customer_id").orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
     )
     starts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    inside = Window.partitionBy("customer_id", "_block").orderBy(
-        F.col("order_date").desc(), F.col("order_id")
-    )
+    inside = Window.partitionBy("customer_id", *block).orderBy("order_id")
     ranked = rows.withColumn("_inside", F.row_number().over(inside))
     return (
-        ranked.join(starts, ["customer_id", "_block"])
+        ranked.join(starts, ["customer_id", *block])
         .withColumn("place", F.col("_before") + F.col("_inside"))
-        .drop("_block", "_before", "_inside")
+        .drop(*block, "_before", "_inside")
     )
 
 

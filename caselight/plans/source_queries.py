@@ -235,7 +235,8 @@ def load_text_folder(spark, sf_dir):
     path = scratch_path(spark, "texts")
     documents = table(spark, sf_dir, "documents")
     flat = F.replace("text", F.lit("\n"), F.lit(" "))
-    documents.select("lang", flat.alias("value")).repartition("lang").write.partitionBy("lang").text(path)
+    written = documents.select("lang", flat.alias("value")).write.partitionBy("lang")
+    written.option("maxRecordsPerFile", 500).text(path)  # a file is one row when it is read back
     read, _ = rows.ingest_folder(spark, path)
     lines = read.select("category", F.explode(F.split("text", "\n")).alias("line")).filter(F.length("line") > 0)
     return lines.groupBy(F.replace("category", F.lit("lang="), F.lit("")).alias("lang")).agg(
