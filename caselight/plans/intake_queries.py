@@ -121,7 +121,7 @@ def session_complete(spark, sf_dir):
 )
 def stream_slot_fill(spark, sf_dir):
     """The same completions, found by a stateful stream over the events."""
-    return slots.completed_stream(spark, sf_dir, "events.parquet", turns_of, scratch_path(spark, "slots"))
+    return slots.completed_stream(spark, f"{sf_dir}/events.parquet", turns_of, scratch_path(spark, "slots"))
 
 
 _RECORDS = "records AS (SELECT event_id, " + ", ".join(

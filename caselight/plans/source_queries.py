@@ -389,7 +389,7 @@ def ingest_job(spark, sf_dir):
 )
 def stream_ingest(spark, sf_dir):
     """Documents arrive as a file stream and are chunked without overlap into a store."""
-    store = ingest_stream(spark, sf_dir, "documents.parquet", scratch_path(spark, "stream-ingest"))
+    store = ingest_stream(spark, f"{sf_dir}/documents.parquet", scratch_path(spark, "stream-ingest"))
     return store.groupBy("category").agg(
         F.count_distinct("doc_id").alias("documents"), F.sum(F.length("chunk").cast("long")).alias("chars")
     )

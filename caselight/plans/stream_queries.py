@@ -18,7 +18,7 @@ def stream_triage(spark, sf_dir):
     """Case reports of tickets that arrive as a stream."""
     chunks = data.catalogue_chunks(spark, sf_dir)
     reports = triage.triage_stream(
-        spark, sf_dir, "events.parquet", data.event_tickets_of, scratch_path(spark, "stream-triage"),
+        spark, f"{sf_dir}/events.parquet", data.event_tickets_of, scratch_path(spark, "stream-triage"),
         accounts=data.accounts(spark, sf_dir), orders=data.orders(spark, sf_dir), chunks=chunks,
         internal_source=data.INTERNAL_SOURCE, stop_words=data.STOP_WORDS,
     )
@@ -41,7 +41,7 @@ def stream_triage(spark, sf_dir):
 def stream_volume(spark, sf_dir):
     """Tickets per hour and issue type, counted on the stream under a watermark."""
     counts = triage.volume_stream(
-        spark, sf_dir, "events.parquet", data.event_tickets_of, scratch_path(spark, "stream-volume")
+        spark, f"{sf_dir}/events.parquet", data.event_tickets_of, scratch_path(spark, "stream-volume")
     )
     return counts.select(F.date_format("hour", "yyyy-MM-dd HH:mm:ss").alias("hour"), "issue_type", "tickets")
 

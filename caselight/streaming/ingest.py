@@ -8,13 +8,12 @@ from pyspark.sql import functions as F
 from caselight.operators.chunking import char_windows, explode_chunks
 
 
-def file_stream(spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None) -> DataFrame:
-    """A stream over the Parquet files of a folder whose names match."""
-    schema = spark.read.option("pathGlobFilter", name).parquet(folder).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", name)
+def file_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """A stream over Parquet files: one file, a folder, or a glob of them."""
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    return reader.parquet(path)
 
 
 def run_to_end(stream: DataFrame, path: str, **options: str) -> DataFrame:
@@ -35,8 +34,8 @@ def run_to_end(stream: DataFrame, path: str, **options: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/data")
 
 
-def ingest_stream(spark: SparkSession, folder: str, name: str, path: str, size: int = 512) -> DataFrame:
-    """Chunk store of a document folder: (doc_id, category, ordinal, chunk)."""
-    documents = file_stream(spark, folder, name).withColumn("category", F.col("lang"))
+def ingest_stream(spark: SparkSession, source: str, path: str, size: int = 512) -> DataFrame:
+    """Chunk store of document files: (doc_id, category, ordinal, chunk)."""
+    documents = file_stream(spark, source).withColumn("category", F.col("lang"))
     chunks = explode_chunks(documents, char_windows(F.col("text"), size, 0), "doc_id", "category")
     return run_to_end(chunks, path)

@@ -61,8 +61,7 @@ def _advance(gap_ms: int):
 
 def completed_stream(
     spark: SparkSession,
-    folder: str,
-    name: str,
+    source: str,
     to_turns: Callable[[DataFrame], DataFrame],
     path: str,
     late: str = "1 hour",
@@ -74,7 +73,7 @@ def completed_stream(
     Sessions silent for ``gap_hours`` of event time lose their state. A batch holds a session's
     narrow rows in one task; ``files_per_batch`` bounds that.
     """
-    stream = _with_validity(to_turns(file_stream(spark, folder, name, files_per_batch)))
+    stream = _with_validity(to_turns(file_stream(spark, source, files_per_batch)))
     done = (
         stream.withWatermark("ts", late)
         .groupBy("session_id")

@@ -25,8 +25,7 @@ def _run(stream: DataFrame, path: str, mode: str, each: Callable[[DataFrame, int
 
 def triage_stream(
     spark: SparkSession,
-    folder: str,
-    name: str,
+    source: str,
     to_tickets: Callable[[DataFrame], DataFrame],
     path: str,
     accounts: DataFrame,
@@ -46,14 +45,13 @@ def triage_stream(
         reports = triage.case_reports(batch, accounts, orders, chunks, index, **options)
         reports.write.mode("overwrite").parquet(f"{path}/data/batch={number}")
 
-    _run(to_tickets(file_stream(spark, folder, name, files_per_batch)), path, "append", each)
+    _run(to_tickets(file_stream(spark, source, files_per_batch)), path, "append", each)
     return spark.read.parquet(f"{path}/data").drop("batch")
 
 
 def volume_stream(
     spark: SparkSession,
-    folder: str,
-    name: str,
+    source: str,
     to_tickets: Callable[[DataFrame], DataFrame],
     path: str,
     late: str = "1 hour",
@@ -63,7 +61,7 @@ def volume_stream(
 
     Changed counts are written per micro-batch; the newest count of an hour holds.
     """
-    tickets = to_tickets(file_stream(spark, folder, name, files_per_batch))
+    tickets = to_tickets(file_stream(spark, source, files_per_batch))
     counts = (
         triage.classify(tickets)
         .withWatermark("created_at", late)

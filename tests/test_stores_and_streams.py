@@ -74,7 +74,7 @@ def event_folder(spark, tmp_path_factory):
 
 def test_slot_stream_equals_batch_over_micro_batches(spark, event_folder, tmp_path):
     stream = slots.completed_stream(
-        spark, event_folder, "*.parquet", intake_queries.turns_of, str(tmp_path / "s"), late="400 days", files_per_batch=1
+        spark, event_folder, intake_queries.turns_of, str(tmp_path / "s"), late="400 days", files_per_batch=1
     )
     filled = intake.fill_slots(intake_queries.turns(spark, SF), ["ts", "event_id"], time_block("ts"))
     batch = intake.completed_sessions(filled)
@@ -85,7 +85,7 @@ def test_slot_stream_equals_batch_over_micro_batches(spark, event_folder, tmp_pa
 def test_triage_stream_equals_batch(spark, event_folder, tmp_path):
     chunks = tickets_data.catalogue_chunks(spark, SF)
     stream = triage.triage_stream(
-        spark, event_folder, "*.parquet", tickets_data.event_tickets_of, str(tmp_path / "t"),
+        spark, event_folder, tickets_data.event_tickets_of, str(tmp_path / "t"),
         accounts=tickets_data.accounts(spark, SF), orders=tickets_data.orders(spark, SF), chunks=chunks,
         files_per_batch=2, internal_source=tickets_data.INTERNAL_SOURCE, stop_words=tickets_data.STOP_WORDS,
     )
@@ -95,7 +95,7 @@ def test_triage_stream_equals_batch(spark, event_folder, tmp_path):
 
 def test_volume_stream_counts_every_ticket(spark, event_folder, tmp_path):
     counts = triage.volume_stream(
-        spark, event_folder, "*.parquet", tickets_data.event_tickets_of, str(tmp_path / "v"), late="400 days", files_per_batch=1
+        spark, event_folder, tickets_data.event_tickets_of, str(tmp_path / "v"), late="400 days", files_per_batch=1
     )
     assert counts.agg(F.sum("tickets")).first()[0] == spark.read.parquet(event_folder).count()
 
@@ -104,10 +104,10 @@ def test_ingest_stream_takes_each_file_once(spark, tmp_path):
     documents = spark.read.parquet(f"{SF}/documents.parquet").limit(20)
     folder, store = str(tmp_path / "in"), str(tmp_path / "out")
     documents.write.parquet(folder)
-    first = ingest.ingest_stream(spark, folder, "*.parquet", store).count()
-    again = ingest.ingest_stream(spark, folder, "*.parquet", store).count()
+    first = ingest.ingest_stream(spark, folder, store).count()
+    again = ingest.ingest_stream(spark, folder, store).count()
     documents.withColumn("doc_id", F.col("doc_id") + 1000).write.mode("append").parquet(folder)
-    assert first == again and ingest.ingest_stream(spark, folder, "*.parquet", store).count() == 2 * first
+    assert first == again and ingest.ingest_stream(spark, folder, store).count() == 2 * first
 
 
 def test_hooks_run_in_batches(spark):
