@@ -14,6 +14,11 @@ def has_rows_at(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).isFile(hadoop_path)
+
+
 def stamp(spark: SparkSession, path: str) -> tuple[int, int]:
     """Size and time of change of a file or folder."""
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselight.operators.chunking import char_windows, explode_chunks
+from caselight.sources.stores import is_file
 
 
 def file_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -13,6 +14,9 @@ def file_stream(spark: SparkSession, path: str, files_per_batch: int | None = No
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if is_file(spark, path):  # a file source watches folders only
+        folder, name = path.rsplit("/", 1)
+        return reader.option("pathGlobFilter", name).parquet(folder)
     return reader.parquet(path)
 
 
