@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caselight.llm import byte_bpe
-from caselight.llm.common import prepare, table
+from caselight.llm import byte_bpe, packing, token_file
+from caselight.llm.common import prepare, stored, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -28,3 +28,23 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     model = byte_bpe.model_from_ranks(ranks)
     return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"), model, public_tokenizers.PATTERN)
+
+
+def _json_vocabulary() -> tuple[str, str]:
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        return file.read(), public_tokenizers.PATTERN
+
+
+@query("op5_best_fit_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, pattern = _json_vocabulary()
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), model, pattern, capacity=2048, end_id=0)
+    return packing.pack(stored(pieces, "pieces"), capacity=2048)
+
+
+@query("op10_plane_token_files")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, pattern = _json_vocabulary()
+    return token_file.read_token_files(token_file.write_token_files(table(spark, sf_dir, "documents"), model, pattern))
