@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselight.llm import byte_bpe, chat_format, language_id, packing, token_file, toxicity
+from caselight.llm import byte_bpe, chat_format, html_extract, language_id, packing, token_file, toxicity
 from caselight.llm.common import prepare, stored, table
 
 QUERIES: dict = {}
@@ -33,6 +33,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"), model, public_tokenizers.PATTERN)
 
 
+@query("op2_html_main_text")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def _json_vocabulary() -> tuple[str, str]:
     import public_tokenizers
 
