@@ -134,7 +134,8 @@ def train(
     third = F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(3)) == 0  # a third calibrates, the rest gives words
     share = F.when(F.col("toxic") == 1, min(1.0, 1.5 * sample / n_toxic)).otherwise(min(1.0, 1.5 * sample / (n_all - n_toxic)))
     texts = documents.select("doc_id", "text")
-    for_words = texts.join(known.filter(~third & (draw < share)), "doc_id")
+    # The drawn ids are bounded by ``sample`` and ``calibrate``, so they go to the texts and no text is exchanged.
+    for_words = texts.join(F.broadcast(known.filter(~third & (draw < share))), "doc_id")
     contexts = stored(
         _word_contexts(for_words).groupBy("word").agg(
             F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")
@@ -155,7 +156,7 @@ def train(
     model.ordinary = (b" " + b" ".join(bytes(r.word) for r in plain) + b" ")[: dictionary_bytes // 4]
     model.toxic = model.ordinary + (b" " + b" ".join(bytes(r.word) for r in reversed(toxic)) + b" ")[-dictionary_bytes:]
 
-    for_fit = texts.join(known.filter(third & (draw < min(1.0, 3 * calibrate / n_all))), "doc_id")
+    for_fit = texts.join(F.broadcast(known.filter(third & (draw < min(1.0, 3 * calibrate / n_all)))), "doc_id")
     seen = _inputs(for_fit, model, ["toxic"]).select("toxic", "inputs").collect()  # about ``calibrate`` rows of a few numbers
     targets = np.array([r.toxic for r in seen], dtype=float)
     if 0 < targets.sum() < len(targets):
