@@ -7,7 +7,9 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselight.llm import byte_bpe, chat_format, html_extract, language_id, packing, token_file, toxicity
+from caselight.llm import (
+    ann_search, byte_bpe, chat_format, embedding_dedup, html_extract, language_id, packing, token_file, toxicity,
+)
 from caselight.llm.common import prepare, stored, table
 
 QUERIES: dict = {}
@@ -114,3 +116,13 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(learned, 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@query("op6_embedding_near_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.link(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+@query("op8_posting_list_search")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_search.search(table(spark, sf_dir, "embeddings"), is_query=F.col("vec_id") % 100 == 0, k=10)
