@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselight.llm import (
-    ann_search, byte_bpe, chat_format, embedding_dedup, html_extract, language_id, packing, token_file, toxicity,
+    ann_search, byte_bpe, chat_format, embedding_dedup, html_extract, language_id, minhash_dedup, packing, token_file,
+    toxicity,
 )
 from caselight.llm.common import prepare, stored, table
 
@@ -35,6 +36,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"), model, public_tokenizers.PATTERN)
 
 
+@query("op1_minhash_near_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=75)
+
+
 @query("op2_html_main_text")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
