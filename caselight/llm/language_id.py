@@ -176,16 +176,28 @@ def train(documents: DataFrame, learn: Column, sample: int = 8000, epochs: int =
     return fit(np.concatenate([windows(p)[:1] for _, p in rows]), [lang for lang, _ in rows], epochs)
 
 
-def classify(documents: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
-    """(key, lang_pred, score) of every whole text."""
-    kind = dict(documents.dtypes)[key]
+def classify(documents: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keep``, lang_pred and score of every whole text; kept columns win over these two names."""
+    kinds = dict(documents.dtypes)
 
     def make():
         def work(batch):
-            found = predict(model, batch.column(1).to_pylist())
-            return {"key": batch.column(0), "lang_pred": [f[0] for f in found], "score": [f[1] for f in found]}
+            found = predict(model, batch.column(len(keep)).to_pylist())
+            out = {f"k{i}": batch.column(i) for i in range(len(keep))}
+            return out | {"lang_pred": [f[0] for f in found], "score": [f[1] for f in found]}
 
         return work
 
-    rows = map_rows(documents.select(key, "text"), f"key {kind}, lang_pred string, score double", make)
-    return rows.withColumnRenamed("key", key)
+    schema = "".join(f"k{i} {kinds[c]}, " for i, c in enumerate(keep)) + "lang_pred string, score double"
+    rows = map_rows(documents.select(*keep, F.col("text").alias("_text")), schema, make)
+    named = [F.col(f"k{i}").alias(c) for i, c in enumerate(keep)]
+    return rows.select(*named, *[c for c in ("lang_pred", "score") if c not in keep])
+
+
+def keep_known(documents: DataFrame, model: Model, least_score: float) -> DataFrame:
+    """The rows whose language is found with at least ``least_score``, with the columns they came with."""
+    names = documents.columns
+    plain = documents.toDF(*[f"c{i}" for i in range(len(names))]).withColumn("text", F.col(f"c{names.index('text')}"))
+    found = classify(plain, model, tuple(f"c{i}" for i in range(len(names))))
+    kept = found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
+    return kept.drop("lang_pred", "score").toDF(*names)

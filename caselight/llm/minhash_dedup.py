@@ -300,3 +300,13 @@ def near_duplicates(
         F.when(F.col(key).isNotNull(), F.coalesce(usable, F.col(key))).alias("component_id"),
         (F.col(key) == F.coalesce(usable, F.col(key))).alias("kept"),
     )
+
+
+def keep_one(documents: DataFrame, percent: int = 75, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component, the one with the least id, with the columns it came with; rows without id stay.
+
+    Ids are taken for keys: of rows that repeat both id and text one stays.
+    """
+    chosen = near_duplicates(documents, percent, key, text).filter("kept").select(key).distinct()
+    kept = documents.filter(F.col(key).isNotNull()).join(chosen, key, "left_semi").dropDuplicates([key, text])
+    return kept.unionByName(documents.filter(F.col(key).isNull()))

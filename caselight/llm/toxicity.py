@@ -157,37 +157,49 @@ def train(
     model.toxic = model.ordinary + (b" " + b" ".join(bytes(r.word) for r in reversed(toxic)) + b" ")[-dictionary_bytes:]
 
     for_fit = texts.join(F.broadcast(known.filter(third & (draw < min(1.0, 3 * calibrate / n_all)))), "doc_id")
-    seen = _inputs(for_fit, model, ["toxic"]).select("toxic", "inputs").collect()  # about ``calibrate`` rows of a few numbers
+    seen = _inputs(for_fit, model, ["toxic"]).collect()  # about ``calibrate`` rows of a few numbers
     targets = np.array([r.toxic for r in seen], dtype=float)
     if 0 < targets.sum() < len(targets):
-        model.centre, model.scale, model.weights = _fit(np.array([r.inputs for r in seen]), targets)
+        model.centre, model.scale, model.weights = _fit(np.array([r._inputs for r in seen]), targets)
     return model
 
 
 def _inputs(df: DataFrame, model: Model, keep: list[str]) -> DataFrame:
+    """``keep`` and ``_inputs`` of every whole text."""
     kinds = dict(df.dtypes)
 
     def make():
         gains = Gains(model)
 
         def work(batch):
-            out = {k: batch.column(i) for i, k in enumerate(keep)}
-            return out | {"inputs": [gains.inputs(t) for t in batch.column(len(keep)).to_pylist()]}
+            out = {f"k{i}": batch.column(i) for i in range(len(keep))}
+            return out | {"_inputs": [gains.inputs(t) for t in batch.column(len(keep)).to_pylist()]}
 
         return work
 
-    schema = "".join(f"`{k}` {kinds[k]}, " for k in keep) + "inputs array<double>"
-    return map_rows(df.select(*keep, "text"), schema, make)
+    schema = "".join(f"k{i} {kinds[c]}, " for i, c in enumerate(keep)) + "_inputs array<double>"
+    rows = map_rows(df.select(*keep, F.col("text").alias("_text")), schema, make)
+    return rows.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "_inputs")
 
 
-def score(documents: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
-    """(key, score): from 0 to 1, higher where label 1 is likelier; every whole text."""
+def with_score(documents: DataFrame, model: Model, keep: list[str], name: str = "score") -> DataFrame:
+    """``keep`` and the score: from 0 to 1, higher where label 1 is likelier; every whole text."""
     if not model.weights:
-        return documents.select(key, F.lit(model.base).alias("score"))
-    found = _inputs(documents, model, [key])
+        return documents.select(*keep, F.lit(model.base).alias(name))
+    found = _inputs(documents, model, keep)
     scaled = [
-        F.greatest(F.lit(-REACH), F.least(F.lit(REACH), (F.col("inputs")[i] - c) / s)) * w
+        F.greatest(F.lit(-REACH), F.least(F.lit(REACH), (F.col("_inputs")[i] - c) / s)) * w
         for i, (c, s, w) in enumerate(zip(model.centre, model.scale, model.weights))
     ]
     logit = sum(scaled[1:], scaled[0]) + model.weights[-1]
-    return found.select(key, (1 / (1 + F.exp(-logit))).alias("score"))
+    return found.select(*keep, (1 / (1 + F.exp(-logit))).alias(name))
+
+
+def score(documents: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
+    """(key, score) of every row."""
+    return with_score(documents, model, [key])
+
+
+def keep_clean(documents: DataFrame, model: Model, threshold: float) -> DataFrame:
+    """The rows that score under ``threshold``, with the columns they came with."""
+    return with_score(documents, model, documents.columns, "_toxicity").filter(F.col("_toxicity") < threshold).drop("_toxicity")
