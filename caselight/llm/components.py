@@ -26,7 +26,8 @@ def connected(edges: DataFrame) -> DataFrame:
     sign = _sign(now)
     while sign[0]:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.first("a"), F.min("b")).alias("m"))
+        # Written apart, so that the join below meets two plain exchanges and can split an id with very many links.
+        least = stored(both.groupBy("a").agg(F.least(F.first("a"), F.min("b")).alias("m")), "least")
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         lower = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(lower, "a").select(
