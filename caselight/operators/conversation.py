@@ -10,33 +10,51 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caselight.functions.text import collapse_space
-
-
-def time_block(column: str, seconds: int = 60) -> Column:
-    """Number of the time slot; grows with the column."""
-    return F.floor(F.unix_micros(F.col(column).cast("timestamp")) / (seconds * 1_000_000))
+from caselight.session import cut_lineage
 
 
 def number_block(column: str, size: int = 1000) -> Column:
     return F.floor(F.col(column) / size)
 
 
+def join_nulls_too(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join in which null keys match; the columns of ``left``, then the others of ``right``."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(renamed, same).drop(*[f"_r_{k}" for k in keys])
+
+
+def in_parts(rows: DataFrame, keys: list[str], order: list[str], parts: int | None = None) -> DataFrame:
+    """Range-partition by ``keys`` and ``order`` and fix the result; ``_part`` numbers the parts.
+
+    A long session spans as many parts as its rows fill, a burst of rows with one time included, if ``order`` ends in
+    something unique. The result is fixed because both levels of a running value must see the same borders.
+    """
+    count = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = rows.repartitionByRange(count, *keys, *order)
+    return cut_lineage(ranged.withColumn("_part", F.spark_partition_id()))
+
+
 def split_running(
     rows: DataFrame,
     keys: list[str],
     order: list[str],
-    block: Column,
+    block: Column | None = None,
     lasts: list[str] = (),
     sums: list[str] = (),
     number: str | None = None,
 ) -> DataFrame:
-    """Running values up to and with each row, per ``keys`` in ``order``.
+    """Running values up to and with each row, per ``keys`` in ``order``; null keys are a session, null times come first.
 
     ``lasts``: ``<c>_so_far``, the last non-null value; ``sums``: ``<c>_running``;
     ``number``: a column for the place of the row, from 1. ``block`` must not decrease along
-    ``order`` and should split long sessions; only summaries of blocks meet in one task.
+    ``order`` and should split long sessions; only summaries of blocks meet in one task. Without it the
+    blocks are range partitions, so their size is measured and not guessed.
     """
-    blocked = rows.withColumn("_block", block)
+    if block is None:
+        blocked = in_parts(rows, keys, order).withColumnRenamed("_part", "_block")
+    else:
+        blocked = rows.withColumn("_block", block)
     inside = Window.partitionBy(*keys, "_block").orderBy(*order)
     up_to = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = {f"_l_{c}": F.last(c, ignorenulls=True).over(up_to) for c in lasts}
@@ -59,10 +77,10 @@ def split_running(
     carried += [F.sum(f"_bs_{c}").over(earlier).alias(f"_c_s_{c}") for c in sums]
     carry = blocks.select(*keys, "_block", *carried)
 
-    joined = blocked.withColumns(local).join(carry, [*keys, "_block"]) if local else blocked
+    joined = join_nulls_too(blocked.withColumns(local), carry, [*keys, "_block"]) if local else blocked
     result = {f"{c}_so_far": F.coalesce(f"_l_{c}", f"_c_l_{c}") for c in lasts}
     result |= {
-        f"{c}_running": F.col(f"_s_{c}") + F.coalesce(F.col(f"_c_s_{c}"), F.lit(0)) for c in sums
+        f"{c}_running": F.coalesce(F.col(f"_s_{c}") + F.col(f"_c_s_{c}"), f"_s_{c}", f"_c_s_{c}") for c in sums
     }
     if number:
         result[number] = F.col("_n") + F.col("_c_n")
@@ -107,38 +125,71 @@ def memory_window(messages: DataFrame, k: int = 5, block_size: int = 1000) -> Da
 EMPTY_HISTORY = "No previous conversation."  # fixed value
 
 
-def _open_page(rows: DataFrame, page: Column, line: str) -> DataFrame:
-    """Adds ``history``: the lines before each row on its own page."""
-    frame = (
-        Window.partitionBy("conv_id", "pages_before").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+def _with_history(rows: DataFrame, at: str, page_size: int) -> DataFrame:
+    """Adds ``pages_before`` and ``history``: the number of full pages before a row, and the lines after those.
+
+    ``at`` counts the lines before the row. Only row 0 has no line to show: a row that follows a full page shows
+    that page, which is lent to it by its first line, and names the pages before it.
+    """
+    group = F.floor((F.col(at) - 1) / page_size)
+    home = rows.withColumn("_group", group).withColumn("_own", F.lit(True))
+    lent = rows.filter(F.pmod(at, F.lit(page_size)) == 0).withColumn("_group", F.floor(F.col(at) / page_size))
+    frame = Window.partitionBy("conv_id", "_group").orderBy(at, "_own").rowsBetween(Window.unboundedPreceding, -1)
+    seen = home.unionByName(lent.withColumn("_own", F.lit(False))).withColumn(
+        "history", F.array_join(F.collect_list("line").over(frame), "\n")
+    )
+    pages = F.greatest(F.col("_group"), F.lit(0))
+    return seen.filter("_own").withColumn("pages_before", pages).drop("_own", "_group")
+
+
+def _full_pages(rows: DataFrame, at: str, page_size: int) -> DataFrame:
+    pages = rows.groupBy("conv_id", F.floor(F.col(at) / page_size).alias("page")).agg(
+        F.count("*").alias("lines"), F.array_sort(F.collect_list(F.struct(at, "line"))).alias("_items")
     )
-    return rows.withColumn("pages_before", page).withColumn(
-        "history", F.array_join(F.collect_list(line).over(frame), "\n")
+    return pages.filter(F.col("lines") == page_size).select(
+        "conv_id", "page", F.array_join(F.transform("_items", lambda i: i["line"]), "\n").alias("text")
     )
 
 
+def _lined(messages: DataFrame, page_size: int) -> DataFrame:
+    return numbered(messages, page_size).withColumn("line", spoken_line(F.col("role"), F.col("text")))
+
+
 def memory_full(messages: DataFrame, page_size: int = 1000) -> DataFrame:
     """The whole history before each message, as pages.
 
     Repeating it in every row would grow with the square of the session. A row names the number
     of full pages before it (``history_pages``) and holds the rest; sessions up to
-    ``page_size`` messages have the whole text in ``history``.
+    ``page_size`` messages have the whole text in ``history``. ``with_pages`` puts both together.
     """
-    rows = numbered(messages, page_size).withColumn("line", spoken_line(F.col("role"), F.col("text")))
-    opened = _open_page(rows, F.floor(F.col("n") / page_size), "line")
+    opened = _with_history(_lined(messages, page_size), "n", page_size)
     text = F.when(F.col("n") == 0, F.lit(EMPTY_HISTORY)).otherwise(F.col("history"))
     return opened.withColumn("history", text).drop("line")
 
 
 def history_pages(messages: DataFrame, page_size: int = 1000) -> DataFrame:
     """(conv_id, page, text): the full pages that later messages refer to."""
-    rows = numbered(messages, page_size).withColumn("line", spoken_line(F.col("role"), F.col("text")))
-    pages = rows.groupBy("conv_id", F.floor(F.col("n") / page_size).alias("page")).agg(
-        F.count("*").alias("lines"), F.array_sort(F.collect_list(F.struct("n", "line"))).alias("_items")
+    return _full_pages(_lined(messages, page_size), "n", page_size)
+
+
+def with_pages(rows: DataFrame, pages: DataFrame) -> DataFrame:
+    """Rows of ``memory_full`` or ``memory_switch`` with the whole text in ``history``, their pages put before it.
+
+    The texts together grow with the square of a session; meant for the sessions that are looked at.
+    """
+    keyed = rows.withColumn("_row", F.struct("conv_id", "n"))
+    asked = keyed.filter("pages_before > 0").select(
+        "_row", "conv_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pages_before") - 1)).alias("page")
     )
-    return pages.filter(F.col("lines") == page_size).select(
-        "conv_id", "page", F.array_join(F.transform("_items", lambda i: i["line"]), "\n").alias("text")
+    found = join_nulls_too(asked, pages, ["conv_id", "page"]).groupBy("_row").agg(
+        F.array_sort(F.collect_list(F.struct("page", "text"))).alias("_pages")
+    )
+    before = F.transform("_pages", lambda p: p["text"])
+    whole = F.when(F.col("_pages").isNull(), F.col("history")).otherwise(
+        F.array_join(F.concat(before, F.array("history")), "\n")
     )
+    joined = keyed.join(found.withColumnRenamed("_row", "_asked"), F.col("_row").eqNullSafe(F.col("_asked")), "left")
+    return joined.withColumn("history", whole).select(*rows.columns)
 
 
 def first_sentence(text: Column) -> Column:
@@ -147,21 +198,31 @@ def first_sentence(text: Column) -> Column:
     return F.coalesce(F.nullif(found, F.lit("")), flat)
 
 
+def _switched(messages: DataFrame, limit: int, page_size: int) -> DataFrame:
+    """Numbered messages with the line stored of each: verbatim up to turn ``limit``, then its first sentence."""
+    rows = numbered(messages, page_size)
+    stored = F.when(
+        F.col("n") + 1 < limit, spoken_line(F.col("role"), F.col("text"))
+    ).otherwise(first_sentence(F.col("text")))
+    return rows.withColumn("line", stored).withColumn("m", F.col("n") - (limit - 1))
+
+
 def memory_switch(messages: DataFrame, limit: int = 10, page_size: int = 1000) -> DataFrame:
     """History before each message, where turn ``limit`` starts the condensed memory afresh.
 
     Up to turn ``limit`` the earlier turns stand verbatim; later, only turns from ``limit`` on
-    count, each by its first sentence. Pages as in ``memory_full``.
+    count, each by its first sentence. Pages as in ``memory_full``, from ``condensed_pages``; the turns up to
+    ``limit`` are one page.
     """
-    rows = numbered(messages, page_size)
-    turn_no = F.col("n") + 1
+    lined = _switched(messages, limit, page_size)
     # A row sees what was stored before it; turn ``limit`` itself is the first condensed one.
-    condensed = turn_no > limit
-    stored = F.when(
-        turn_no < limit, spoken_line(F.col("role"), F.col("text"))
-    ).otherwise(first_sentence(F.col("text")))
-    lined = rows.withColumn("line", stored).withColumn("mode", F.when(condensed, "summary").otherwise("buffer"))
-    kept = F.floor((F.col("n") - (limit - 1)) / page_size)
-    early = _open_page(lined.filter(turn_no <= limit), F.lit(0), "line")
-    late = _open_page(lined.filter(turn_no >= limit), kept, "line").filter(condensed)
-    return early.unionByName(late).drop("line")
+    late = F.col("m") >= 1
+    lined = lined.withColumn("mode", F.when(late, "summary").otherwise("buffer"))
+    early = _with_history(lined.filter("m <= 0"), "n", max(limit, page_size))
+    after = _with_history(lined.filter("m >= 0"), "m", page_size).filter(late)
+    return early.unionByName(after).drop("line", "m")
+
+
+def condensed_pages(messages: DataFrame, limit: int = 10, page_size: int = 1000) -> DataFrame:
+    """(conv_id, page, text): the full pages of condensed lines that later rows of ``memory_switch`` refer to."""
+    return _full_pages(_switched(messages, limit, page_size).filter("m >= 0"), "m", page_size)

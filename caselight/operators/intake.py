@@ -71,7 +71,7 @@ def is_out_of_domain(text: Column) -> Column:
     return F.coalesce(F.get_json_object(bare, "$.error") == NON_DOMAIN_MARKER, F.lit(False))
 
 
-def fill_slots(turns: DataFrame, order: list[str], block: Column) -> DataFrame:
+def fill_slots(turns: DataFrame, order: list[str], block: Column | None = None) -> DataFrame:
     """After each turn: the last non-blank value of each field, what fails, what to ask, the turn number."""
     known = turns.withColumns({f: blank_to_null(F.col(f)) for f in INTAKE_FIELDS})
     running = split_running(known, ["session_id"], order, block, lasts=INTAKE_FIELDS, number="turn")

@@ -5,15 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caselight.operators.conversation import split_running
+from caselight.operators.conversation import in_parts, join_nulls_too, split_running
 from caselight.operators.ranking import keep_first
-from caselight.session import cut_lineage
 
 
 def _with_total(rows: DataFrame, group: str, weight: str, total: str = "_total") -> DataFrame:
     """Adds the group's sum by a folded aggregate and a join, not by a window over the group."""
     totals = rows.groupBy(group).agg(F.sum(weight).alias(total))
-    return rows.join(totals, group)
+    return join_nulls_too(rows, totals, [group])
 
 
 def top_k_share(items: DataFrame, group: str, item: str, weight: str, k: int) -> DataFrame:
@@ -31,11 +30,7 @@ def nucleus_share(items: DataFrame, group: str, item: str, weight: str, p: float
     range partitioning is fixed first, because both levels must see the same borders.
     """
     shared = _with_total(items, group, weight).withColumn("_share", F.col(weight) / F.col("_total"))
-    count = blocks or int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = shared.withColumn("_falling", -F.col(weight)).repartitionByRange(
-        count, group, "_falling", item
-    )
-    fixed = cut_lineage(ranged.withColumn("_part", F.spark_partition_id()))
+    fixed = in_parts(shared.withColumn("_falling", -F.col(weight)), [group], ["_falling", item], blocks)
     running = split_running(fixed, [group], ["_falling", item], F.col("_part"), sums=["_share"])
     # Kept while the items before have not reached p; the first one always is.
     # One part in 1e12 absorbs the error of summing in blocks.
@@ -50,7 +45,7 @@ def temperature_share(items: DataFrame, group: str, weight: str, temperature: fl
         "_log", F.ln(F.greatest(F.col(weight) / F.col("_total"), F.lit(1e-10))) / temperature
     )
     peaks = shared.groupBy(group).agg(F.max("_log").alias("_peak"))
-    scaled = shared.join(peaks, group).withColumn("_scaled", F.exp(F.col("_log") - F.col("_peak")))
+    scaled = join_nulls_too(shared, peaks, [group]).withColumn("_scaled", F.exp(F.col("_log") - F.col("_peak")))
     return (
         _with_total(scaled, group, "_scaled", "_sum")
         .withColumn("share", F.col("_scaled") / F.col("_sum"))

@@ -6,10 +6,11 @@ orders have ``order_id, customer_id, amount, order_date``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caselight.functions import rules
+from caselight.operators.conversation import in_parts, split_running
 from caselight.operators.joins import left_lookup
 from caselight.operators.term_index import (
     CHUNK_KEY,
@@ -278,32 +279,17 @@ def summary_cube(reports: DataFrame) -> DataFrame:
     )
 
 
-def orders_newest_first(accounts: DataFrame, orders: DataFrame, id_lead: int = 8) -> DataFrame:
-    """Each order of a known customer with its place, newest first.
+def orders_newest_first(accounts: DataFrame, orders: DataFrame, parts: int | None = None) -> DataFrame:
+    """Each order of a known customer with its place, newest first; orders without a date come last.
 
-    The place is found in two levels, so that a customer who owns a large part of all orders is
-    ranked by many tasks: over blocks, which are a day and the first characters of the id, and
-    inside each block. Both parts of a block follow the order.
+    Orders are range-partitioned by customer, date and id, so a customer who owns a large part of all
+    orders is spread over many tasks; places are counted inside the parts and over one row per part.
     """
-    block = ["_age", "_lead"]
-    rows = orders.join(accounts.select("customer_id"), "customer_id", "left_semi").withColumns(
-        {
-            "_age": -F.datediff("order_date", F.lit("1970-01-01")),
-            "_lead": F.substring("order_id", 1, id_lead),
-        }
-    )
-    counts = rows.groupBy("customer_id", *block).agg(F.count("*").alias("_n"))
-    before = (
-        Window.partitionBy("customer_id").orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    starts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    inside = Window.partitionBy("customer_id", *block).orderBy("order_id")
-    ranked = rows.withColumn("_inside", F.row_number().over(inside))
-    return (
-        ranked.join(starts, ["customer_id", *block])
-        .withColumn("place", F.col("_before") + F.col("_inside"))
-        .drop(*block, "_before", "_inside")
-    )
+    known = orders.join(accounts.select("customer_id"), "customer_id", "left_semi")
+    aged = known.withColumn("_age", F.coalesce(-F.datediff("order_date", F.lit("1970-01-01")), F.lit(2**31 - 1)))
+    fixed = in_parts(aged, ["customer_id"], ["_age", "order_id"], parts)
+    placed = split_running(fixed, ["customer_id"], ["_age", "order_id"], F.col("_part"), number="place")
+    return placed.drop("_age", "_part")
 
 
 def customer_context(accounts: DataFrame, orders: DataFrame, page_size: int = 1000) -> DataFrame:

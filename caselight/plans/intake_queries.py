@@ -50,7 +50,7 @@ def turns(spark, sf_dir) -> DataFrame:
 
 
 def _filled(spark, sf_dir) -> DataFrame:
-    return intake.fill_slots(turns(spark, sf_dir), ["ts", "event_id"], conversation.time_block("ts"))
+    return intake.fill_slots(turns(spark, sf_dir), ["ts", "event_id"])
 
 
 _K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
@@ -312,26 +312,49 @@ def memory_full(spark, sf_dir):
     return conversation.memory_full(_messages(spark, sf_dir)).select("conv_id", "turn", "pages_before", "history")
 
 
+@query(
+    "memory_full_paged",
+    f"""WITH {_SPOKEN} SELECT conv_id, turn, greatest((n - 1) // 2, 0)::BIGINT AS pages_before,
+      coalesce(array_to_string(list(line) OVER (PARTITION BY conv_id ORDER BY n
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), chr(10)), {text_literal(conversation.EMPTY_HISTORY)})
+        AS history FROM spoken""",
+)
+def memory_full_paged(spark, sf_dir):
+    """The whole history again, put together from pages of two lines, which most given sessions fill."""
+    messages = _messages(spark, sf_dir)
+    whole = conversation.with_pages(conversation.memory_full(messages, 2), conversation.history_pages(messages, 2))
+    return whole.select("conv_id", "turn", "pages_before", "history")
+
+
 _FLAT = r"regexp_replace(regexp_replace(text, '\s+', ' ', 'g'), '^\s+|\s+$', '', 'g')"
 
 
-@query(
-    "memory_switch",
-    rf"""WITH {_SPOKEN}, flat AS (SELECT *, {_FLAT} AS flat FROM spoken),
+_SWITCH_SQL = rf"""WITH {_SPOKEN}, flat AS (SELECT *, {_FLAT} AS flat FROM spoken),
       stored AS (SELECT *, CASE WHEN n + 1 < 4 THEN line
           ELSE coalesce(nullif(regexp_extract(flat, '^(.*?[.!?])(\s|$)', 1), ''), flat) END AS kept FROM flat)
       SELECT a.conv_id, a.turn, CASE WHEN a.n + 1 > 4 THEN 'summary' ELSE 'buffer' END AS mode,
         coalesce(string_agg(b.kept, chr(10) ORDER BY b.n), '') AS history
       FROM stored a LEFT JOIN stored b ON b.conv_id = a.conv_id AND b.n < a.n
         AND ((a.n + 1 <= 4) OR b.n + 1 >= 4)
-      GROUP BY a.conv_id, a.turn, a.n""",
-)
+      GROUP BY a.conv_id, a.turn, a.n"""
+
+
+@query("memory_switch", _SWITCH_SQL)
 def memory_switch(spark, sf_dir):
     """The switch is set at turn 4, because no given session has more than eight messages."""
     switched = conversation.memory_switch(_messages(spark, sf_dir), limit=4)
     return switched.select("conv_id", "turn", "mode", "history")
 
 
+@query("memory_switch_paged", _SWITCH_SQL)
+def memory_switch_paged(spark, sf_dir):
+    """The same, put together from condensed pages of two lines."""
+    messages = _messages(spark, sf_dir)
+    switched = conversation.memory_switch(messages, limit=4, page_size=2)
+    whole = conversation.with_pages(switched, conversation.condensed_pages(messages, limit=4, page_size=2))
+    return whole.select("conv_id", "turn", "mode", "history")
+
+
 @query(
     "token_usage",
     r"""WITH calls AS (SELECT role, len(regexp_extract_all(text, '\S+')) AS words FROM conversations)

@@ -100,22 +100,21 @@ def relevant_order_amount(spark, sf_dir):
     )
 
 
-@query(
-    "customer_context",
-    f"WITH {data.ACCOUNTS}, {data.ORDER_HISTORY} "
-    """, placed AS (
+def _context_sql(page_size: int) -> str:
+    return f"""WITH {data.ACCOUNTS}, {data.ORDER_HISTORY}, placed AS (
       SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY order_date DESC, order_id) AS place
       FROM history),
     pages AS (
-      SELECT customer_id, (place - 1) // 1000 AS page, count(*) AS n,
+      SELECT customer_id, (place - 1) // {page_size} AS page, count(*) AS n,
              string_agg(order_id || '@' || order_date::VARCHAR, ',' ORDER BY place) AS listed
       FROM placed GROUP BY ALL)
     SELECT a.customer_id, a.name, coalesce(p.page, 0) AS page, coalesce(p.n, 0) AS orders_on_page,
            coalesce(p.listed, '') AS recent_orders
-    FROM accounts a LEFT JOIN pages p USING (customer_id)""",
-)
-def customer_context(spark, sf_dir):
-    nested = triage.customer_context(data.accounts(spark, sf_dir), data.orders(spark, sf_dir))
+    FROM accounts a LEFT JOIN pages p USING (customer_id)"""
+
+
+def _context(spark, sf_dir, page_size: int):
+    nested = triage.customer_context(data.accounts(spark, sf_dir), data.orders(spark, sf_dir), page_size)
     listed = F.transform(
         "recent_orders", lambda o: F.concat_ws("@", o["order_id"], o["order_date"].cast("string"))
     )
@@ -126,6 +125,17 @@ def customer_context(spark, sf_dir):
     )
 
 
+@query("customer_context", _context_sql(1000))
+def customer_context(spark, sf_dir):
+    return _context(spark, sf_dir, 1000)
+
+
+@query("customer_context_paged", _context_sql(3))
+def customer_context_paged(spark, sf_dir):
+    """Pages of three orders, which most given customers fill."""
+    return _context(spark, sf_dir, 3)
+
+
 @query(
     "draft_response",
     f"{_DRAFTED} SELECT ticket_id, draft, best_source, evidence FROM drafted",
@@ -310,7 +320,7 @@ def suite_result(spark, sf_dir):
 def prior_ticket_count(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
     counted = conversation.split_running(
-        events, ["user_id"], ["ts", "event_id"], conversation.time_block("ts"), number="_place"
+        events, ["user_id"], ["ts", "event_id"], number="_place"
     )
     return counted.select("event_id", "user_id", (F.col("_place") - 1).alias("prior_tickets"))
 
@@ -361,13 +371,13 @@ def orphan_orders(spark, sf_dir):
 @query(
     "customers_without_orders",
     """SELECT c_custkey, c_name FROM customer
-      WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""",
+      WHERE c_custkey NOT IN (SELECT o_custkey + 50 FROM orders)""",
 )
 def customers_without_orders(spark, sf_dir):
-    """Customers without an urgent order (every customer has some order)."""
-    urgent = table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    """Order owners are shifted by 50, so that some customers are left without any order."""
+    shifted = table(spark, sf_dir, "orders").select((F.col("o_custkey") + 50).alias("o_custkey"))
     return joins.without_children(
-        table(spark, sf_dir, "customer").select("c_custkey", "c_name"), urgent, "c_custkey", "o_custkey"
+        table(spark, sf_dir, "customer").select("c_custkey", "c_name"), shifted, "c_custkey", "o_custkey"
     )
 
 

@@ -38,12 +38,18 @@ STOP_WORDS = [
 INTERNAL_SOURCE = "catalogue_promo.md"
 
 
+def _padded(key: Column, width: int) -> Column:
+    """Zeros up to the width; a longer number stays whole, which plain ``lpad`` would cut."""
+    digits = key.cast("string")
+    return F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), "0")
+
+
 def customer_code(key: Column) -> Column:
-    return F.concat(F.lit("CUST"), F.lpad(key.cast("string"), 6, "0"))
+    return F.concat(F.lit("CUST"), _padded(key, 6))
 
 
 def order_code(key: Column) -> Column:
-    return F.concat(F.lit("ORD"), F.lpad(key.cast("string"), 7, "0"))
+    return F.concat(F.lit("ORD"), _padded(key, 7))
 
 
 def _choose(values: list[str], number: Column) -> Column:
@@ -143,12 +149,16 @@ def _sql_ticket_text(number: str, order: str, customer: str, product: str) -> st
     )
 
 
+def _sql_padded(key: str, width: int) -> str:
+    return f"lpad(({key})::VARCHAR, greatest(length(({key})::VARCHAR), {width})::INTEGER, '0')"
+
+
 def _sql_cust(key: str) -> str:
-    return f"('CUST' || lpad({key}::VARCHAR, 6, '0'))"
+    return f"('CUST' || {_sql_padded(key, 6)})"
 
 
 def _sql_order(key: str) -> str:
-    return f"('ORD' || lpad(({key})::VARCHAR, 7, '0'))"
+    return f"('ORD' || {_sql_padded(key, 7)})"
 
 
 _K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"

@@ -175,3 +175,43 @@ def test_lexical_share(spark):
     frame = spark.createDataFrame([("alpha beta beta gamma", "Beta and alpha"), ("", "x")], "a string, b string")
     shown = frame.select(evaluation.lexical_share(F.col("a"), F.col("b")).alias("s")).collect()
     assert [round(r.s, 6) for r in shown] == [round(2 / 3, 6), 0.0] and math.isfinite(shown[1].s)
+
+
+@pytest.mark.parametrize("block", [None, "n"])
+def test_rows_with_null_keys_and_times_stay(spark, block):
+    rows = [(None, None, 1, 5), (None, 3, 2, None), (1, None, 3, 7), (1, 4, 4, None), (1, None, 5, 2)]
+    frame = spark.createDataFrame(rows, "k long, ts long, id long, v long")
+    cut = F.col("ts") if block else None
+    found = conversation.split_running(frame, ["k"], ["ts", "id"], cut, lasts=["v"], sums=["v"], number="place").collect()
+    assert {r.id: (r.v_so_far, r.v_running, r.place) for r in found} == {
+        1: (5, 5, 1), 2: (5, 5, 2), 3: (7, 7, 1), 5: (2, 9, 2), 4: (2, 9, 3),
+    }
+
+
+def test_shares_of_the_null_group(spark):
+    frame = spark.createDataFrame([(None, "a", 3.0), (None, "b", 1.0), ("g", "a", 1.0)], "g string, item string, w double")
+    for found in (shares.nucleus_share(frame, "g", "item", "w", 1.0), shares.temperature_share(frame, "g", "w", 1.0)):
+        assert sorted((str(r.g), r.item, round(r.share, 6)) for r in found.collect()) == [("None", "a", 0.75), ("None", "b", 0.25), ("g", "a", 1.0)]
+
+
+def test_one_busy_session_is_spread_over_tasks(spark):
+    rows = [(0 if i % 10 else i, 5, i) for i in range(5000)]  # nine tenths are one session, all at one time
+    frame = spark.createDataFrame(rows, "k long, ts long, id long")
+    sizes = conversation.in_parts(frame, ["k"], ["ts", "id"], 8).groupBy("_part").count().collect()
+    assert max(r["count"] for r in sizes) < 1500
+    found = conversation.split_running(frame, ["k"], ["ts", "id"], number="place").filter("k = 0").collect()
+    assert sorted(r.place for r in found) == list(range(1, len(found) + 1))
+
+
+@pytest.mark.parametrize("page", [2, 3, 1000])
+def test_paged_histories_are_whole(messages, page):
+    rows, frame = messages
+    said = spoken(rows)
+    full = conversation.memory_full(frame, page)
+    assert full.filter("history = ''").count() == 0
+    for r in conversation.with_pages(full, conversation.history_pages(frame, page)).collect():
+        before = [line for turn, line, _ in said[r.conv_id] if turn < r.turn]
+        assert r.history == ("\n".join(before) if before else conversation.EMPTY_HISTORY)
+    once = {(r.conv_id, r.turn): r.history for r in conversation.memory_switch(frame, 6, 1000).collect()}
+    paged = conversation.with_pages(conversation.memory_switch(frame, 6, page), conversation.condensed_pages(frame, 6, page))
+    assert {(r.conv_id, r.turn): r.history for r in paged.collect()} == once

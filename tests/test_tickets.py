@@ -158,3 +158,20 @@ def test_insert_or_ignore_keeps_first(spark):
     once = joins.insert_or_ignore(target, incoming, "k", "seq")
     assert {tuple(r) for r in once.collect()} == {("a", 1), ("b", 2)}
     assert {tuple(r) for r in joins.insert_or_ignore(once, incoming, "k", "seq").collect()} == {("a", 1), ("b", 2)}
+
+
+def test_long_ids_stay_whole(spark):
+    from caselight.plans import tickets_data
+
+    rows = spark.createDataFrame([(7,), (123456,), (1234567,), (12345678,)], "k long")
+    made = rows.select(tickets_data.customer_code(F.col("k")).alias("c"), tickets_data.order_code(F.col("k")).alias("o")).collect()
+    assert [r.c for r in made] == ["CUST000007", "CUST123456", "CUST1234567", "CUST12345678"]
+    assert [r.o for r in made] == ["ORD0000007", "ORD0123456", "ORD1234567", "ORD12345678"]
+
+
+def test_orders_without_a_date_come_last(spark):
+    accounts = spark.createDataFrame([("c", "n")], "customer_id string, name string")
+    orders = spark.sql("""SELECT * FROM VALUES ('o1', 'c', 1.0, DATE'2024-01-01'), ('o2', 'c', 2.0, NULL),
+        ('o3', 'c', 3.0, DATE'2024-02-01'), ('o4', 'x', 3.0, NULL) AS t(order_id, customer_id, amount, order_date)""")
+    placed = triage.orders_newest_first(accounts, orders, parts=3).collect()
+    assert [r.order_id for r in sorted(placed, key=lambda r: r.place)] == ["o3", "o1", "o2"]
