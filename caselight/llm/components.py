@@ -8,6 +8,7 @@ grouped by partial aggregates and joins only, so an id with very many links is n
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,3 +39,14 @@ def connected(edges: DataFrame) -> DataFrame:
         if sign == before:
             break
     return now.select(F.col("a").alias("id"), F.col("b").alias("component"))
+
+
+def forest(linked: np.ndarray) -> list[tuple[int, int]]:
+    """(row, least row of its component) of a symmetric boolean matrix, for rows that are not the least."""
+    own = np.arange(len(linked))
+    while True:
+        least = np.minimum(own, np.where(linked, own[None, :], len(own)).min(axis=1, initial=len(own)))
+        least = least[least]
+        if (least == own).all():
+            return [(i, int(least[i])) for i in np.flatnonzero(least != np.arange(len(own)))]
+        own = least

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caselight.llm.common import map_groups, map_rows, matrix, stored
-from caselight.llm.components import connected
+from caselight.llm.components import connected, forest
 
 TABLES, PROBES, BLOCKS, SCALE, CELL_ROWS = 8, 8, 4, 0.35, 1024
 
@@ -98,17 +98,6 @@ def unit_rows(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
 
-def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
-    """(row, least row of its component) of a symmetric boolean matrix, for rows that are not the least."""
-    own = np.arange(len(linked))
-    while True:
-        least = np.minimum(own, np.where(linked, own[None, :], len(own)).min(axis=1, initial=len(own)))
-        least = least[least]
-        if (least == own).all():
-            return [(i, int(least[i])) for i in np.flatnonzero(least != np.arange(len(own)))]
-        own = least
-
-
 def link(
     df: DataFrame, threshold: float = 0.98, key: str = "vec_id", vector: str = "embedding", label: str = "label",
     tables: int = TABLES, probes: int = PROBES, blocks: int = BLOCKS, scale: float = SCALE, cell_rows: int = CELL_ROWS,
@@ -192,12 +181,12 @@ def link(
                         first &= ~(x_to_y & y_to_x) | (np.minimum(own_x, own_y) == code)
                 links += np.bincount(x[first], n[y[first]], len(reps_)).astype(np.int64)
                 links += np.bincount(y[first], n[x[first]], len(reps_)).astype(np.int64)
-            forest = _forest(linked)
+            tree = forest(linked)
             counted = np.flatnonzero(links)
             return {
-                "rep": reps_[counted].tolist() + [int(reps_[i]) for i, _ in forest],
-                "links": links[counted].tolist() + [None] * len(forest),
-                "other": [None] * len(counted) + [int(reps_[j]) for _, j in forest],
+                "rep": reps_[counted].tolist() + [int(reps_[i]) for i, _ in tree],
+                "links": links[counted].tolist() + [None] * len(tree),
+                "other": [None] * len(counted) + [int(reps_[j]) for _, j in tree],
             }
 
         return work

@@ -13,7 +13,9 @@ several components then branch, and only pairs across components are compared. A
 about n comparisons, and no link between components is left out.
 
 Nodes over ``NODE_ROWS`` members branch in Spark, level by level, smaller ones inside a task. A node that does not
-shrink by ``DEPTH`` levels is compared in blocks. No group is ever held whole.
+shrink by ``DEPTH`` levels is compared in blocks. No group is ever held whole. In a crowd, a node of many members that
+are alike throughout, branching would part nothing and the candidates would be nearly all pairs; its members' full sets are
+compared in one task (at most two blocks) and a spanning forest of the links is handed on.
 
 Defined results: a null text and a text without words have an empty set and link with nothing, nor do rows without id;
 texts under five words are one shingle, the whole sequence; rows that repeat an id are rows of their own; an empty table
@@ -29,13 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caselight.llm.common import map_groups, map_rows, stored
-from caselight.llm.components import connected
+from caselight.llm.components import connected, forest
 
 WORDS = 5
 COORDINATES = 128
 ROOTS = (2, 1, 1, 2, 1, 1, 2, 1, 1)  # coordinates chosen at the root of each tree
 SLACK = 0.13  # candidates are estimated within this of the least similarity: 3.4 standard deviations of the sketch
 SMALL_NODE, NODE_ROWS, DEPTH = 48, 2048, 10
+CROWD = 0.5  # a larger node whose pairs are this alike on average is a crowd
 BROADCAST_IDS = 1_000_000
 WORD_MEMORY = 400_000
 
@@ -135,36 +138,49 @@ def _star(least_equal: int):
     return make
 
 
-def compare_across(ids, parts, sketch, least_equal: int, sides=None) -> list[tuple[int, int]]:
-    """Pairs of different components whose sketches agree in enough places (of different sides, if given)."""
-    found = []
+def _candidates(ids, parts, sketch, least_equal: int) -> np.ndarray:
+    """Which members agree in enough places and are of different components."""
+    near = np.zeros((len(ids), len(ids)), dtype=bool)
     step = max(1, (1 << 23) // (len(ids) * COORDINATES))
     for start in range(0, len(ids), step):
         end = start + step
         equal = (sketch[start:end, None, :] == sketch[None, :, :]).sum(axis=2, dtype=np.int16)
-        near = (equal >= least_equal) & (parts[start:end, None] != parts[None, :]) & (ids[start:end, None] < ids[None, :])
-        if sides is not None:
-            near &= sides[start:end, None] != sides[None, :]
-        found += [(int(ids[start + i]), int(ids[j])) for i, j in zip(*np.nonzero(near))]
-    return found
+        near[start:end] = (equal >= least_equal) & (parts[start:end, None] != parts[None, :])
+    return near
 
 
-def branch(ids, parts, sketch, least_equal: int, seed: int, small: int = SMALL_NODE, depth: int = DEPTH) -> set[tuple[int, int]]:
-    """The subtree of one node: branch until nodes are small, hold one component, or are alike throughout."""
+def compare_across(ids, parts, sketch, least_equal: int) -> set[tuple[int, int]]:
+    """The candidates of a node as pairs of ids."""
+    pairs = np.nonzero(_candidates(ids, parts, sketch, least_equal) & (ids[:, None] < ids[None, :]))
+    return {(int(ids[i]), int(ids[j])) for i, j in zip(*pairs)}
+
+
+def branch(ids, parts, sketch, least_equal: int, seed: int, small: int = SMALL_NODE, depth: int = DEPTH):
+    """(pairs, crowds) of the subtree of one node: branch until nodes are small or hold one component.
+
+    A node of many members that are alike throughout is a crowd: its members that have a candidate are named, to be
+    compared on their full sets in one place, for their pairs would be too many to hand on.
+    """
     rng = np.random.default_rng(seed)
     waiting = [(np.arange(len(ids)), 0)]
-    found: set[tuple[int, int]] = set()
+    pairs: set[tuple[int, int]] = set()
+    crowds: list[np.ndarray] = []
     while waiting:
         own, level = waiting.pop()
         if (parts[own] == parts[own[0]]).all():
             continue
-        alike = len(own) <= small or level >= depth
+        if len(own) <= small:
+            pairs |= compare_across(ids[own], parts[own], sketch[own], least_equal)
+            continue
+        alike = level >= depth
         if not alike:  # the mean similarity of the node's pairs, from the counts of equal bytes
             looked = sketch[own][:, rng.choice(COORDINATES, 16, replace=False)]
             same = sum(float((np.bincount(c).astype(float) ** 2).sum()) for c in looked.T) / 16 - len(own)
-            alike = same >= 0.9 * len(own) * (len(own) - 1)
+            alike = same >= CROWD * len(own) * (len(own) - 1)
         if alike:
-            found.update(compare_across(ids[own], parts[own], sketch[own], least_equal))
+            met = _candidates(ids[own], parts[own], sketch[own], least_equal).any(axis=1)
+            if met.any():
+                crowds.append(ids[own[met]])
             continue
         for coordinate in rng.choice(COORDINATES, 1 + (rng.random() < 1 / 3), replace=False):
             values = sketch[own, coordinate]
@@ -172,19 +188,69 @@ def branch(ids, parts, sketch, least_equal: int, seed: int, small: int = SMALL_N
             for child in np.split(own[order], np.flatnonzero(np.diff(values[order])) + 1):
                 if len(child) > 1:
                     waiting.append((child, level + 1))
-    return found
+    return pairs, crowds
 
 
 def _subtrees(least_equal: int):
+    """Rows (a, b, null) for pairs and (a, null, crowd) for members of crowds."""
+
     def make():
         def work(group):
             ids, parts, sketch = group.column("cls").to_numpy(), group.column("part").to_numpy(), _sketch_rows(group.column("sketch"))
+            node, low, high = (group.column(c)[0].as_py() for c in ("node", "low", "high"))
             if group.column("whole")[0].as_py():
-                pairs = branch(ids, parts, sketch, least_equal, abs(group.column("node")[0].as_py()))
+                pairs, crowds = branch(ids, parts, sketch, least_equal, abs(node))
             else:
-                low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
-                pairs = compare_across(ids, parts, sketch, least_equal, group.column("block").to_numpy() if low != high else None)
-            return {"a": [p[0] for p in pairs], "b": [p[1] for p in pairs]}
+                met = _candidates(ids, parts, sketch, least_equal).any(axis=1)
+                pairs, crowds = set(), [ids[met]] if met.any() else []
+            out = {"a": [p[0] for p in pairs], "b": [p[1] for p in pairs], "crowd": [None] * len(pairs)}
+            for i, members in enumerate(crowds):
+                name = (node * 31 + low * 1_000_003 + high * 7_919 + i) * 0x9E3779B97F4A7C15 % (1 << 63)
+                out["a"] += members.tolist()
+                out["b"] += [None] * len(members)
+                out["crowd"] += [name] * len(members)
+            return out
+
+        return work
+
+    return make
+
+
+def common_counts(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """The sizes of all intersections, as a matrix product over the shingles that several sets hold."""
+    rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    values, places, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = counts > 1
+    column = (np.cumsum(shared) - 1)[places]
+    keep = shared[places]
+    rows, column = rows[keep], column[keep]
+    order = np.argsort(column, kind="stable")
+    rows, column = rows[order], column[order]
+    total = np.zeros((len(sets), len(sets)), dtype=np.float64)
+    for start in range(0, int(shared.sum()), columns):
+        low, high = np.searchsorted(column, [start, start + columns])
+        part = np.zeros((len(sets), columns), dtype=np.float32)
+        part[rows[low:high], column[low:high] - start] = 1
+        total += part @ part.T
+    np.fill_diagonal(total, [len(x) for x in sets])
+    return total
+
+
+def _crowd_links(percent: int, words: int):
+    """Links of a crowd on the full sets: a spanning forest of those across components."""
+
+    def make():
+        shingler = Shingler(words)
+
+        def work(group):
+            ids, first = np.unique(group.column("cls").to_numpy(), return_index=True)
+            parts = group.column("part").to_numpy()[first]
+            sets = [shingler.shingles(t) for t in group.column("text").take(first).to_pylist()]
+            sizes, common = np.array([len(x) for x in sets], dtype=float), common_counts(sets)
+            linked = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
+            linked &= parts[:, None] != parts[None, :]
+            edges = forest(linked)
+            return {"a": [int(ids[i]) for i, _ in edges], "b": [int(ids[j]) for _, j in edges]}
 
         return work
 
@@ -194,7 +260,8 @@ def _subtrees(least_equal: int):
 def _live(nodes: DataFrame) -> DataFrame:
     """Only nodes of several components, with their number of members ``_m``."""
     counts = nodes.groupBy("node").agg(F.count("*").alias("_m"), F.min("part").alias("_lo"), F.max("part").alias("_hi"))
-    return nodes.join(counts.filter("_lo < _hi").select("node", "_m"), "node")
+    # Written apart, so that the join meets two plain exchanges and can split a crowded node.
+    return nodes.join(stored(counts.filter("_lo < _hi").select("node", "_m"), "counts"), "node")
 
 
 def _children(nodes: DataFrame) -> DataFrame:
@@ -208,12 +275,9 @@ def _children(nodes: DataFrame) -> DataFrame:
     return split.select(F.xxhash64("node", "_c", token).alias("node"), "cls", "part", "sketch")
 
 
-def _confirm(documents: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int, key: str, text: str, words: int) -> DataFrame:
-    """The pairs (a, b) of classes with 100 * intersection >= percent * union, on the full sets of their texts."""
-    needed = stored(
-        pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(classes.select("cls", "least", "m0", "m1"), "cls"),
-        "needed",
-    )
+def _texts(documents: DataFrame, classes: DataFrame, needed: DataFrame, key: str, text: str, words: int) -> DataFrame:
+    """(cls, text) of the classes in ``needed`` (cls)."""
+    needed = stored(needed.distinct().join(classes.select("cls", "least", "m0", "m1"), "cls"), "needed")
     ids = needed.select(F.col("least").alias(key)).distinct()
     if needed.count() <= BROADCAST_IDS:  # beyond it the texts are exchanged
         ids = F.broadcast(ids)
@@ -229,7 +293,12 @@ def _confirm(documents: DataFrame, classes: DataFrame, pairs: DataFrame, percent
         return work
 
     kind = dict(documents.dtypes)[key]
-    texts = map_rows(held, f"least {kind}, m0 bigint, m1 bigint, text string", marked).join(needed, ["least", "m0", "m1"]).select("cls", "text")
+    found = map_rows(held, f"least {kind}, m0 bigint, m1 bigint, text string", marked)
+    return found.join(needed, ["least", "m0", "m1"]).select("cls", "text")
+
+
+def _confirm(texts: DataFrame, pairs: DataFrame, percent: int, words: int) -> DataFrame:
+    """The pairs (a, b) of classes with 100 * intersection >= percent * union, on the full sets of their texts."""
     sides = pairs.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a").join(
         texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b"
     )
@@ -270,7 +339,8 @@ def near_duplicates(
     pair = "a bigint, b bigint"
     blocks = level.withColumn("block", F.expr(f"pmod(xxhash64(cls, node), (_m + {node_rows - 1}) div {node_rows})"))
     starred = stored(map_groups(blocks.select("node", "block", "cls", "sketch"), ["node", "block"], pair, _star(least_equal), least=2).distinct(), "stars")
-    joined = _confirm(documents, classes, starred, percent, key, text, words)
+    ends = F.explode(F.array("a", "b")).alias("cls")
+    joined = _confirm(_texts(documents, classes, starred.select(ends), key, text, words), starred, percent, words)
 
     parts = connected(joined).select(F.col("id").alias("cls"), F.col("component").alias("part"))
     nodes = level.drop("_m").join(parts, "cls", "left").withColumn("part", F.coalesce("part", "cls"))
@@ -286,9 +356,13 @@ def near_duplicates(
     left = now.filter(F.col("_m") > node_rows).withColumn("_n", F.expr(f"(_m + {node_rows - 1}) div {node_rows}"))
     left = left.withColumn("block", F.expr("pmod(xxhash64(cls, node), _n)")).withColumn("_o", F.explode(F.expr("sequence(0L, _n - 1)")))
     left = left.select("node", F.least("block", "_o").alias("low"), F.greatest("block", "_o").alias("high"), "block", F.lit(False).alias("whole"), "cls", "part", "sketch")
-    across = map_groups(whole.unionByName(left), ["node", "low", "high"], pair, _subtrees(least_equal), least=2).distinct()
-    fresh = stored(across.join(starred, ["a", "b"], "left_anti"), "across")
-    joined = joined.unionByName(_confirm(documents, classes, fresh, percent, key, text, words))
+    across = stored(map_groups(whole.unionByName(left), ["node", "low", "high"], f"{pair}, crowd bigint", _subtrees(least_equal), least=2), "across")
+    pairs = stored(across.filter("crowd is null").select("a", "b").distinct().join(starred, ["a", "b"], "left_anti"), "pairs")
+    crowds = across.filter("crowd is not null").select("crowd", F.col("a").alias("cls"))
+    texts = _texts(documents, classes, pairs.select(ends).unionByName(crowds.select("cls")), key, text, words)
+    held = crowds.join(texts, "cls").join(parts, "cls", "left").select("crowd", "cls", F.coalesce("part", "cls").alias("part"), "text")
+    in_crowds = stored(map_groups(held, ["crowd"], pair, _crowd_links(percent, words), least=2), "crowds")
+    joined = joined.unionByName(_confirm(texts, pairs, percent, words)).unionByName(in_crowds)
 
     named = classes.join(connected(joined).select(F.col("id").alias("cls"), "component"), "cls", "left")
     named = named.select("m0", "m1", "least", F.coalesce("component", "cls").alias("_class"))

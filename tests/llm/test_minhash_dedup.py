@@ -96,8 +96,10 @@ def test_branching_finds_pairs_in_a_crowded_node():
     ids = np.arange(800)
     hits = set()
     for tree in range(len(M.ROOTS)):
-        hits |= M.branch(ids, ids, sketch.astype(np.uint8), 80, seed=tree)
-    want = {(int(i), int(j)) for i, j in M.compare_across(ids, ids, sketch.astype(np.uint8), 80)}
+        pairs, crowds = M.branch(ids, ids, sketch.astype(np.uint8), 80, seed=tree)
+        hits |= pairs
+        assert not crowds
+    want = M.compare_across(ids, ids, sketch.astype(np.uint8), 80)
     assert hits <= want and len(hits) >= 0.98 * len(want)
 
 
@@ -120,3 +122,20 @@ def test_registered_query(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     got = QUERIES["op1_minhash_near_dedup"](spark, sf).collect()
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows)
+
+
+def test_common_counts():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 60, n).astype(np.uint64)) for n in (1, 5, 30, 40, 50)]
+    want = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    assert M.common_counts(sets, columns=7).tolist() == want
+
+
+def test_crowd_of_loosely_alike_documents(spark):
+    """Most pairs are just under the border, so that stars join little and the crowd is compared on full sets."""
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(900)}" for _ in range(140)]
+    rows = [(i, " ".join(edited(rng, base, rng.choice([0.01, 0.02, 0.03, 0.04])))) for i in range(260)]
+    frame = spark.createDataFrame([(k, t, 0, "") for k, t in rows], SCHEMA)
+    for node_rows in (2048, 64):
+        assert found(frame, node_rows=node_rows) == brute(rows)
