@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -11,20 +13,6 @@ from pyspark.sql import functions as F
 NON_WORD = r"[^\p{L}\p{N}_]+"
 TOKEN_CHARS = 2
 
-# The named HTML entities that are decoded, the ampersand last.
-HTML_ENTITIES = [
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&middot;", "·"),
-    ("&copy;", "©"),
-    ("&amp;", "&"),
-]
-
-
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with the value worked out once per row.
 
@@ -80,10 +68,44 @@ def title_case(text: Column) -> Column:
     )
 
 
+def named_references() -> dict[str, str]:
+    """Names of HTML character references with their text, as the standard library lists them.
+
+    Numbers 128 to 159 are read as Windows-1252, as browsers do; they are listed as ``#number``.
+    """
+    from html.entities import html5
+
+    named = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
+    for code in range(128, 160):
+        named[f"#{code}"] = bytes([code]).decode("cp1252", "ignore") or chr(code)
+    return named
+
+
+_REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+
+def _code_point(code: Column) -> Column:
+    """The character of a number; what is no character becomes U+FFFD."""
+    bad = (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+    safe = F.when(bad, F.lit(0xFFFD)).otherwise(code)
+    return F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")
+
+
 def decode_entities(text: Column) -> Column:
-    for entity, character in HTML_ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(character))
-    return text
+    """Every character reference that ends in a semicolon, decoded once; unknown names stay as they are."""
+    names = F.from_json(F.lit(json.dumps(named_references())), "map<string,string>")
+
+    def part(piece: Column, place: Column) -> Column:
+        name = F.regexp_extract(piece, "^" + _REFERENCE, 1)
+        is_hex = F.lower(F.substring(name, 2, 1)) == "x"
+        code = F.when(is_hex, F.conv(F.substring(name, 3, 6), 16, 10)).otherwise(F.substring(name, 2, 7)).try_cast("int")
+        key = F.when(F.startswith(name, F.lit("#")), F.concat(F.lit("#"), code.cast("string"))).otherwise(name)
+        found = F.coalesce(F.try_element_at(names, key), F.when(F.startswith(name, F.lit("#")), _code_point(code)))
+        rest = F.substr(piece, F.length(name) + 3)
+        return F.when((name == "") | found.isNull(), piece).otherwise(F.concat(found, rest))
+
+    pieces = F.split(text, f"(?={_REFERENCE})")
+    return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(pieces, part), "")).otherwise(text)
 
 
 def drop_hidden(html: Column) -> Column:

@@ -182,6 +182,16 @@ def similarity_matrix(group: DataFrame, name: str, vector: str) -> DataFrame:
     )
 
 
+def content_key(text: Column, product_id: Column | None = None, prefix_chars: int | None = None) -> Column:
+    """What makes two hits the same: the product id, else a hash of the whole content.
+
+    ``prefix_chars`` compares that many first characters only, for sources that repeat a long head.
+    """
+    content = text if prefix_chars is None else F.substring(text, 1, prefix_chars)
+    hashed = F.sha2(content, 256)
+    return hashed if product_id is None else F.coalesce(product_id.cast("string"), hashed)
+
+
 def merge_variants(hits: DataFrame, k: int) -> DataFrame:
     """Hits of several variants of a query: (query_id, key, id, distance) to the best per key, nearest first."""
     best = hits.groupBy("query_id", "key").agg(

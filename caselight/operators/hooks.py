@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import zlib
+import hashlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,26 +17,34 @@ EmbedFn = Callable[[list[str]], np.ndarray]
 
 
 def hashed_words(texts: list[str], dimensions: int = 64) -> np.ndarray:
-    """Signed word counts by hash, unit length: needs no model and no network."""
+    """Signed word counts by hash, unit length: needs no model and no network.
+
+    The first 32 bits of a word's MD5 give its place, and their highest bit its sign. Words are hashed once per batch.
+    """
+    counts = [Counter(text.lower().split()) for text in texts]
+    codes = {w: int(hashlib.md5(w.encode("utf-8")).hexdigest()[:8], 16) for w in set().union(*counts)}
     out = np.zeros((len(texts), dimensions))
-    for row, text in enumerate(texts):
-        for word in text.lower().split():
-            code = zlib.crc32(word.encode("utf-8"))
-            out[row, code % dimensions] += 1.0 if code & 0x80000000 else -1.0
-    norms = np.linalg.norm(out, axis=1, keepdims=True)
+    for row, held in enumerate(counts):
+        known = np.fromiter((codes[w] for w in held), dtype=np.int64, count=len(held))
+        sign = np.where(known & 0x80000000, 1.0, -1.0)
+        np.add.at(out[row], known % dimensions, sign * np.fromiter(held.values(), dtype=float, count=len(held)))
+    norms = np.sqrt((out * out).sum(axis=1, keepdims=True))
     return np.divide(out, norms, out=np.zeros_like(out), where=norms > 0)
 
 
-def embed(rows: DataFrame, text: str, embed_fn: EmbedFn = hashed_words, batch_rows: int = BATCH_ROWS) -> DataFrame:
-    """Adds ``embedding``. ``embed_fn`` is sent to the tasks and called once per batch."""
+def embed(
+    rows: DataFrame, text: str, embed_fn: EmbedFn = hashed_words, batch_rows: int = BATCH_ROWS, number: str = "float"
+) -> DataFrame:
+    """Adds ``embedding``, an array of ``number``. ``embed_fn`` is sent to the tasks and called once per batch."""
+    kind = np.float32 if number == "float" else np.float64
 
-    @F.pandas_udf("array<float>")
+    @F.pandas_udf(f"array<{number}>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             vectors = []
             for start in range(0, len(batch), batch_rows):
                 part = batch.iloc[start : start + batch_rows].fillna("").tolist()
-                vectors.extend(np.asarray(embed_fn(part), dtype=np.float32))
+                vectors.extend(np.asarray(embed_fn(part), dtype=kind))
             yield pd.Series(vectors, index=batch.index)
 
     return rows.withColumn("embedding", run(F.col(text)))

@@ -256,29 +256,31 @@ def template_select(spark, sf_dir):
     )
 
 
-_RETRIEVE = f"""WITH {_INPUTS},
+def _retrieve_sql(chunks: str) -> str:
+    return f"""WITH {chunks}, questions AS (SELECT item_id AS query_id, text FROM benchmark),
   variants AS (SELECT query_id || '/0' AS query_id, text FROM questions
     UNION ALL SELECT query_id || '/1', regexp_replace(text, 'tion', 'sion', 'gi') FROM questions
       WHERE contains(lower(text), 'tion') AND regexp_replace(text, 'tion', 'sion', 'gi') <> text),
   {tfidf('chunks', 'variants', False)}, {ranked('pairs', '5', name='variant_hits')},
-  best AS (SELECT split_part(query_id, '/', 1)::BIGINT AS query_id, source, ordinal,
-      sqrt(greatest(2 * (1 - score), 0)) AS distance FROM variant_hits
-    QUALIFY row_number() OVER (PARTITION BY split_part(query_id, '/', 1), ordinal
-      ORDER BY floor(sqrt(greatest(2 * (1 - score), 0)) * 1e9 + 0.5), query_id) = 1),
+  told AS (SELECT split_part(h.query_id, '/', 1)::BIGINT AS query_id, source, ordinal, c.text,
+      sqrt(greatest(2 * (1 - score), 0)) AS distance FROM variant_hits h JOIN chunks c USING (source, ordinal)),
+  best AS (SELECT * FROM told
+    QUALIFY row_number() OVER (PARTITION BY query_id, text ORDER BY floor(distance * 1e9 + 0.5), source, ordinal) = 1),
   merged AS (SELECT * FROM best
-    QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY floor(distance * 1e9 + 0.5), ordinal) <= 5),
-  second AS (SELECT m.query_id, m.source, m.ordinal, c.text,
-      len(list_intersect(list_distinct({TOKENS.format(text='q.text')}), {TOKENS.format(text='c.text')}))
+    QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY floor(distance * 1e9 + 0.5), source, ordinal) <= 5),
+  second AS (SELECT m.query_id, m.source, m.ordinal, m.text,
+      len(list_intersect(list_distinct({TOKENS.format(text='q.text')}), {TOKENS.format(text='m.text')}))
         / len(list_distinct({TOKENS.format(text='q.text')}))::DOUBLE AS score
-    FROM merged m JOIN questions q USING (query_id) JOIN chunks c USING (source, ordinal)),
-  kept AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY floor(score * 1e9 + 0.5) DESC, ordinal) AS rank
+    FROM merged m JOIN questions q USING (query_id)),
+  kept AS (SELECT *, row_number() OVER (PARTITION BY query_id
+      ORDER BY floor(score * 1e9 + 0.5) DESC, source, ordinal) AS rank
     FROM second QUALIFY rank <= 3)
   SELECT query_id, string_agg(text, chr(10) || chr(10) ORDER BY rank) AS context,
     string_agg(source || ' [Product: ' || ordinal::VARCHAR || ']', ' | ' ORDER BY rank) AS citations
   FROM kept GROUP BY query_id"""
 
 
-@query("retrieve_context", _RETRIEVE)
+@query("retrieve_context", _retrieve_sql("chunks AS (SELECT source, doc_id AS ordinal, text FROM documents)"))
 def retrieve_context(spark, sf_dir):
     """Expand, search per variant, merge, re-rank by word overlap, stuff and cite."""
     from caselight.plans.retrieve import retrieve_and_stuff
@@ -289,6 +291,25 @@ def retrieve_context(spark, sf_dir):
     )
 
 
+@query(
+    "retrieve_repeated_ordinals",
+    _retrieve_sql(
+        "chunks AS (SELECT 'book' || (doc_id % 7)::VARCHAR AS source, doc_id // 7 AS ordinal, text FROM documents)"
+    ),
+)
+def retrieve_repeated_ordinals(spark, sf_dir):
+    """The same over seven sources that count their chunks alike: an ordinal alone names no chunk."""
+    from caselight.plans.retrieve import retrieve_and_stuff
+
+    chunks = table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("book"), (F.col("doc_id") % 7).cast("string")).alias("source"),
+        F.expr("doc_id div 7").alias("ordinal"),
+        "text",
+    )
+    index = stored_index(spark, "books", f"{sf_dir}/documents.parquet", lambda: chunks)
+    return retrieve_and_stuff(questions(spark, sf_dir), chunks, index, synonyms=[("tion", ["sion"])])
+
+
 @query(
     "lexical_faithfulness",
     f"""{_HITS}, stuffed AS (SELECT query_id, string_agg(c.text, chr(10) || chr(10) ORDER BY rank) AS context

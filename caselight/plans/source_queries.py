@@ -147,6 +147,20 @@ def html_to_text(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", tx.html_to_text(F.col("html")).alias("text"))
 
 
+_REFERENCES = "<p>caf&eacute; &#8217;x&#x2019; &mdash; &#150; &notin; &bogus; a&ampb &lt;b&gt; &amp;amp; &#0;</p>"
+
+
+@query(
+    "html_entities",
+    f"""WITH {_PAGE_TEXT} SELECT page_id, CASE WHEN text = '' THEN '' ELSE text || chr(10) END
+      || 'café ’x’ — – ∉ &bogus; a&ampb <b> &amp; \ufffd' AS text FROM page_text""",
+)
+def html_entities(spark, sf_dir):
+    """Pages with a paragraph of named and numbered references put after them."""
+    html = F.concat("html", F.lit(_REFERENCES))
+    return table(spark, sf_dir, "pages").select("page_id", tx.html_to_text(html).alias("text"))
+
+
 @query(
     "boilerplate_filter",
     r"""WITH hidden AS (SELECT page_id, regexp_replace(html,

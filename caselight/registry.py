@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caselight.session import spread_small_scan, tune
+from caselight.session import SPREAD_SETTING, spread_small_scan, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,7 +33,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread_small_scan(spark.read.parquet(f"{sf_dir}/{name}.parquet"), name, sf_dir)
+    found = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread_small_scan(found, name, sf_dir) if spark.conf.get(SPREAD_SETTING, "false") == "true" else found
 
 
 def text_literal(value: str) -> str:

@@ -17,6 +17,10 @@ RUNTIME_SETTINGS = {
 }
 
 
+# Only for one machine with small single-block files, as in tests and the benchmark; never set on a cluster.
+SPREAD_SETTING = "caselight.spread.small.scans"
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Set the runtime options every job here relies on; returns the same session."""
     for key, value in RUNTIME_SETTINGS.items():
@@ -35,7 +39,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, **extra: str) ->
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for key, value in {**RUNTIME_SETTINGS, **extra}.items():
+    for key, value in {**RUNTIME_SETTINGS, SPREAD_SETTING: "true", **extra}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -137,27 +139,42 @@ def is_hidden(path: Column) -> Column:
 
 
 def load_text_folder(spark: SparkSession, folder: str, pattern: str = "*.md") -> DataFrame:
-    """Whole files of a folder as (source, text)."""
+    """Whole files of a folder as (source, text), in the order of their names."""
     files = spark.read.option("pathGlobFilter", pattern).text(folder, wholetext=True)
-    return files.select(F.col("_metadata.file_name").alias("source"), F.col("value").alias("text"))
+    named = files.select(F.col("_metadata.file_name").alias("source"), F.col("value").alias("text"))
+    return named.orderBy("source")
 
 
-def ingest_folder(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
-    """(documents, rejects) below a folder. Kinds other than text go to the rejects."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(base)
-        .select("path", "length", "content")
-    )
-    below = F.regexp_replace(F.col("path"), "^.*?" + base.rstrip("/").replace(".", r"\.") + "/", "")
-    named = files.withColumn("source", below).filter(~is_hidden(F.col("source")))
-    kind = file_kind(F.col("source"))
-    text = F.try_validate_utf8(F.col("content").cast("string"))
-    read = named.withColumn("kind", kind).withColumn("text", F.when(kind.isin(TEXT_KINDS), text))
+MOST_TEXT_BYTES = 64 << 20
+
+
+def _any_case(kind: str) -> str:
+    return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in kind)
+
+
+def ingest_folder(spark: SparkSession, base: str, most_bytes: int = MOST_TEXT_BYTES) -> tuple[DataFrame, DataFrame]:
+    """(documents, rejects) below a folder; hidden files are neither.
+
+    Rejected are other kinds than text, files over ``most_bytes`` and text that is no UTF-8. Only the content of
+    text files of accepted size is read; the rest is judged by name and size.
+    """
+    below = F.regexp_replace(F.col("path"), "^.*?" + re.escape(base.rstrip("/")) + "/", "")
+
+    def files(*columns: str, pattern: str = "*") -> DataFrame:
+        read = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+        listed = read.load(base).select("path", "length", *columns).withColumn("source", below)
+        return listed.filter(~is_hidden(F.col("source"))).withColumn("kind", file_kind(F.col("source")))
+
+    kinds = "*.{" + ",".join(map(_any_case, TEXT_KINDS)) + "}"
+    texts = files("content", pattern=kinds).filter(F.col("length") <= most_bytes)
+    read = texts.withColumn("text", F.try_validate_utf8(F.col("content").cast("string")))
     documents = read.filter(F.col("text").isNotNull()).select(
         "source", category_of(F.col("source")).alias("category"), "text"
     )
-    reason = F.when(F.col("kind").isin(TEXT_KINDS), "unreadable text").otherwise("unsupported kind")
-    rejects = read.filter(F.col("text").isNull()).select("source", "kind", reason.alias("reason"))
+    is_text = F.col("kind").isin(TEXT_KINDS)
+    unread = files().filter(~is_text | (F.col("length") > most_bytes))
+    reason = F.when(is_text, "too large").otherwise("unsupported kind")
+    rejects = unread.select("source", "kind", reason.alias("reason")).unionByName(
+        read.filter(F.col("text").isNull()).select("source", "kind", F.lit("unreadable text").alias("reason"))
+    )
     return documents, rejects

@@ -61,17 +61,6 @@ def test_pca_against_numpy(spark):
     assert np.allclose(np.abs(found["pc1"]), np.abs(first), atol=1e-6)
 
 
-def test_word_vectors_cover_the_vocabulary(spark):
-    from pyspark.sql import functions as F
-
-    from caselight.functions.text import tokens
-
-    found = QUERIES["word2vec_vectors"](spark, SF)
-    words = spark.read.parquet(f"{SF}/documents.parquet").select(F.explode(tokens(F.col("text"))).alias("w")).distinct()
-    assert found.count() == words.count()
-    assert found.filter(F.size("vector") != 10).count() == 0
-
-
 def test_paragraph_query_keeps_every_paragraph(spark):
     from pyspark.sql import functions as F
 

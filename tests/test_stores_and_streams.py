@@ -5,7 +5,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from caselight.operators import hooks, intake
-from caselight.operators.conversation import time_block
 from caselight.plans import intake_queries, tickets_data
 from caselight.plans.ticket_queries import reports
 from caselight.sources import rows, stores
@@ -76,7 +75,7 @@ def test_slot_stream_equals_batch_over_micro_batches(spark, event_folder, tmp_pa
     stream = slots.completed_stream(
         spark, event_folder, intake_queries.turns_of, str(tmp_path / "s"), late="400 days", files_per_batch=1
     )
-    filled = intake.fill_slots(intake_queries.turns(spark, SF), ["ts", "event_id"], time_block("ts"))
+    filled = intake.fill_slots(intake_queries.turns(spark, SF), ["ts", "event_id"])
     batch = intake.completed_sessions(filled)
     columns = ["session_id", *intake.INTAKE_FIELDS]
     assert {tuple(r) for r in stream.select(columns).collect()} == {tuple(r) for r in batch.select(columns).collect()}
@@ -120,3 +119,26 @@ def test_hooks_run_in_batches(spark):
     length = lambda a, b: [float(len(x)) for x in b]
     assert hooks.score_with(pairs, "q", "d", length).first().score == 600.0
     assert hooks.score_with(pairs, "q", "d", length, right_chars=512).first().score == 512.0
+
+
+def test_folder_with_rejects_of_each_kind(spark, tmp_path):
+    base = tmp_path / "kb (v1.0)+"
+    (base / "faq").mkdir(parents=True)
+    (base / "faq" / "a.md").write_text("alpha")
+    (base / "b.TXT").write_text("beta")
+    (base / "big.txt").write_text("x" * 500)
+    (base / "bad.md").write_bytes(b"\xff\xfe\xff")
+    (base / "c.pdf").write_bytes(b"%PDF")
+    (base / ".hidden.md").write_text("no")
+    documents, rejects = rows.ingest_folder(spark, str(base), most_bytes=100)
+    assert sorted(map(tuple, documents.collect())) == [("b.TXT", "general", "beta"), ("faq/a.md", "faq", "alpha")]
+    assert sorted((r.source, r.reason) for r in rejects.collect()) == [
+        ("bad.md", "unreadable text"), ("big.txt", "too large"), ("c.pdf", "unsupported kind"),
+    ]
+
+
+def test_text_folder_in_name_order(spark, tmp_path):
+    for name in ("b.md", "a.md", "c.txt"):
+        (tmp_path / name).write_text(f"text of {name}\nsecond line")
+    found = rows.load_text_folder(spark, str(tmp_path)).collect()
+    assert [(r.source, r.text) for r in found] == [(n, f"text of {n}\nsecond line") for n in ("a.md", "b.md")]

@@ -165,3 +165,18 @@ def test_log_safe_refuses_raw_text(spark):
     assert "text" not in intake.log_safe(turns, "id").columns
     with pytest.raises(ValueError):
         intake.log_safe(turns, "id", "text")
+
+
+def test_character_references_as_the_standard_library_decodes_them(spark):
+    import html
+    from html.entities import html5
+
+    names = sorted(n for n in html5 if n.endswith(";"))
+    texts = [" ".join(f"&{n}" for n in names[i : i + 40]) for i in range(0, len(names), 40)]
+    texts += ["caf&eacute; &#8217;x&#x2019;", "&#150;&#x80;&#129;", "&#0;&#xD800;&#1114112;", "&amp;lt; && &; &#; &bogus; a&b;", "", "none", "&#128512;", "&ngE;x"]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    found = {r.id: r.t for r in frame.select("id", tx.decode_entities(F.col("t")).alias("t")).collect()}
+    for i, t in enumerate(texts):
+        if "&amp;lt;" not in t:
+            assert found[i] == html.unescape(t), t
+    assert found[len(texts) - 5] == "&lt; && &; &#; &bogus; a&b;"
