@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 
 from caselight.llm.common import map_rows
 
-MEMORY = 600_000
+MEMORY = 1_000_000  # entries of some 200 bytes
 LONG_PIECE = 64
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
@@ -171,19 +171,27 @@ class ByteBPE:
         return [(int(character[a]), int(character[b - 1]) + 1) for a, b in zip(starts, ends)]
 
 
-def _sent(df: DataFrame, tokenizer_json: str):
-    return df.sparkSession.sparkContext.broadcast(tokenizer_json)  # as large as the vocabulary file
+def send_bpe(df: DataFrame, tokenizer_json: str, pattern: str):
+    """A vocabulary for the tasks; as large as its file. Use ``task_bpe`` on its value there."""
+    return df.sparkSession.sparkContext.broadcast({"json": tokenizer_json, "pattern": pattern})
+
+
+def task_bpe(sent: dict) -> ByteBPE:
+    """The encoder, made once per worker: a broadcast value stays with the worker, and so do the words it has met."""
+    if "bpe" not in sent:
+        sent["bpe"] = ByteBPE(sent["json"], sent["pattern"])
+    return sent["bpe"]
 
 
 def encode_texts(
     df: DataFrame, tokenizer_json: str, pattern: str, key: str = "doc_id", text: str = "text", with_offsets: bool = False
 ) -> DataFrame:
     """(key, ids binary, n_tokens[, starts, ends]): ids of each whole text; offsets in code points where asked for."""
-    sent, kind = _sent(df, tokenizer_json), dict(df.dtypes)[key]
+    sent, kind = send_bpe(df, tokenizer_json, pattern), dict(df.dtypes)[key]
     extra = ", starts array<int>, ends array<int>" if with_offsets else ""
 
     def make():
-        bpe = ByteBPE(sent.value, pattern)
+        bpe = task_bpe(sent.value)
 
         def work(batch):
             texts = batch.column(1).to_pylist()
@@ -202,10 +210,10 @@ def encode_texts(
 
 def decode_ids(df: DataFrame, tokenizer_json: str, pattern: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """(key, raw binary, text): bytes and text of each row of ids; null ids count as none."""
-    sent, kind = _sent(df, tokenizer_json), dict(df.dtypes)[key]
+    sent, kind = send_bpe(df, tokenizer_json, pattern), dict(df.dtypes)[key]
 
     def make():
-        bpe = ByteBPE(sent.value, pattern)
+        bpe = task_bpe(sent.value)
 
         def work(batch):
             raw = [bpe.decode_bytes(i or b"") for i in batch.column(1).to_pylist()]
@@ -221,10 +229,10 @@ def round_trip_digests(df: DataFrame, tokenizer_json: str, pattern: str, key: st
 
     Done in one pass so that ids need not leave the task.
     """
-    sent, kind = _sent(df, tokenizer_json), dict(df.dtypes)[key]
+    sent, kind = send_bpe(df, tokenizer_json, pattern), dict(df.dtypes)[key]
 
     def make():
-        bpe = ByteBPE(sent.value, pattern)
+        bpe = task_bpe(sent.value)
         written = [str(i) for i in range(len(bpe.token_bytes()))]
 
         def work(batch):

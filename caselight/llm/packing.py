@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caselight.llm.byte_bpe import ByteBPE
+from caselight.llm.byte_bpe import send_bpe, task_bpe
 from caselight.llm.common import map_rows, stored
 
 RANK_BLOCK = 4096
@@ -45,11 +45,11 @@ def token_pieces(
     key: str = "doc_id", text: str = "text", with_ids: bool = False,
 ) -> DataFrame:
     """(key, piece, start, length, ids_crc32[, ids]) of each document's ids and the end id after them."""
-    sent, kind = df.sparkSession.sparkContext.broadcast(tokenizer_json), dict(df.dtypes)[key]
+    sent, kind = send_bpe(df, tokenizer_json, pattern), dict(df.dtypes)[key]
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def make():
-        bpe = ByteBPE(sent.value, pattern)
+        bpe = task_bpe(sent.value)
 
         def work(batch):
             out = {c: [] for c in ("key", "piece", "start", "length", "ids_crc32", "ids")}

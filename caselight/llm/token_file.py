@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from caselight.llm.byte_bpe import ByteBPE
+from caselight.llm.byte_bpe import send_bpe, task_bpe
 from caselight.llm.common import map_rows, stored
 from caselight.session import scratch_path
 
@@ -179,7 +179,7 @@ def write_token_files(
     """Write the files and return the manifest (part, path, documents, ids), itself stored beside them."""
     spark = df.sparkSession
     folder = folder or scratch_path(spark, "tokens")
-    sent = spark.sparkContext.broadcast(tokenizer_json)
+    sent = send_bpe(df, tokenizer_json, pattern)
     end = np.array([end_id], dtype="<u4").tobytes()
     rows = df.select(F.col(key).cast("bigint"), text).repartitionByRange(F.asc_nulls_first(key)).sortWithinPartitions(key)
 
@@ -193,7 +193,7 @@ def write_token_files(
             return
         part = TaskContext.get().partitionId()
         path = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.tpl"
-        bpe, writer = ByteBPE(sent.value, pattern), Writer(open_path(path, "w"), planes, block)
+        bpe, writer = task_bpe(sent.value), Writer(open_path(path, "w"), planes, block)
         while batch is not None:
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 writer.add(k, bpe.encode(t) + end)
