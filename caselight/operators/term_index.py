@@ -52,8 +52,7 @@ def smoothed_idf(postings: DataFrame, n_chunks: Column) -> DataFrame:
     return document_frequency(postings).withColumn("idf", idf)
 
 
-# A term of more than this share of the chunks is hot. As the shares of all terms add up to the mean
-# number of distinct terms D of a chunk, there are at most 1000 x D hot terms, whatever the corpus.
+# A term of more than this share of the chunks is hot: its postings are spread over salts when they are scored.
 HOT_SHARE = 0.001
 HOT_SALTS = 16
 
@@ -70,22 +69,6 @@ class TermIndex:
         return self.vectors.select(*CHUNK_KEY, F.explode("terms").alias("t")).select(*CHUNK_KEY, "t.*")
 
 
-def _with_factors(postings: DataFrame, idf: DataFrame) -> DataFrame:
-    """Postings of known terms with ``idf`` and ``hot``.
-
-    Postings of hot terms, most of all, meet their idf in place; the bound on the number of hot terms
-    allows the broadcast. Only the rest is exchanged by term, and no term there is large.
-    """
-    factors = idf.select("term", "idf", "hot")
-    hot, cold = factors.filter("hot"), factors.filter(~F.col("hot"))
-    in_place = postings.join(F.broadcast(hot), "term")
-    # Not an anti-join: Spark would move that below the counting of postings, and do this twice.
-    found = F.broadcast(hot.select("term", F.lit(True).alias("_found")))
-    rest = postings.join(found, "term", "left").filter(F.col("_found").isNull()).drop("_found")
-    exchanged = rest.join(cold, "term")
-    return in_place.unionByName(exchanged)
-
-
 def _unit_terms(weighted: DataFrame, key: list[str]) -> DataFrame:
     """Gather the terms of a row and divide by its norm; one row's own terms only."""
     gathered = weighted.groupBy(*key).agg(
@@ -96,28 +79,36 @@ def _unit_terms(weighted: DataFrame, key: list[str]) -> DataFrame:
     return gathered.select(*key, unit.alias("terms"))
 
 
+def _idf_of(postings: DataFrame, chunks: DataFrame) -> DataFrame:
+    n_chunks = chunks.agg(F.count("*").alias("n")).scalar()
+    return smoothed_idf(postings, n_chunks).withColumn("hot", F.col("df") > HOT_SHARE * n_chunks)
+
+
+def _vectors_of(postings: DataFrame, idf: DataFrame) -> DataFrame:
+    """Postings meet their idf by term; whether one side is sent or a hot term split is left to adaptive execution."""
+    weighted = postings.join(idf.select("term", "idf", "hot"), "term").withColumn("weight", F.col("tf") * F.col("idf"))
+    return _unit_terms(weighted, CHUNK_KEY)
+
+
 def build_term_index(
     chunks: DataFrame, text: str = "text", stop_words: list[str] | None = None
 ) -> TermIndex:
+    """The index as one lazy plan, for small chunk sets; ``save_term_index`` reads the texts once."""
     postings = term_frequency(chunks, CHUNK_KEY, text, stop_words)
-    n_chunks = chunks.agg(F.count("*").alias("n")).scalar()
-    idf = smoothed_idf(postings, n_chunks).withColumn("hot", F.col("df") > HOT_SHARE * n_chunks)
-    weighted = _with_factors(postings, idf).withColumn("weight", F.col("tf") * F.col("idf"))
-    return TermIndex(_unit_terms(weighted, CHUNK_KEY), idf)
+    idf = _idf_of(postings, chunks)
+    return TermIndex(_vectors_of(postings, idf), idf)
 
 
 def save_term_index(
     chunks: DataFrame, path: str, text: str = "text", stop_words: list[str] | None = None
 ) -> TermIndex:
-    """Build the index once, write it below ``path`` and return it as read back."""
+    """Write postings, then idf, then vectors below ``path``, each from what was written before it."""
     spark = chunks.sparkSession
-    build_term_index(chunks, text, stop_words).vectors.write.mode("overwrite").parquet(f"{path}/vectors")
-    # The written vectors hold each posting once, so the texts are not read again.
-    stored = spark.read.parquet(f"{path}/vectors").select(F.explode("terms").alias("t"))
-    postings = stored.select("t.term", F.lit(1).alias("tf"))
-    n_chunks = chunks.agg(F.count("*").alias("n")).scalar()
-    idf = smoothed_idf(postings, n_chunks).withColumn("hot", F.col("df") > HOT_SHARE * n_chunks)
-    idf.write.mode("overwrite").parquet(f"{path}/idf")
+    term_frequency(chunks, CHUNK_KEY, text, stop_words).write.mode("overwrite").parquet(f"{path}/postings")
+    postings = spark.read.parquet(f"{path}/postings")
+    _idf_of(postings, chunks).write.mode("overwrite").parquet(f"{path}/idf")
+    idf = spark.read.parquet(f"{path}/idf")
+    _vectors_of(postings, idf).write.mode("overwrite").parquet(f"{path}/vectors")
     return load_term_index(spark, path)
 
 
@@ -130,15 +121,13 @@ def query_vectors(
 ) -> DataFrame:
     """(query_id, terms): normalised weights over known words; a query without one has no row.
 
-    Unknown words are dropped before anything is exchanged; one exchange by query then serves the
-    counting and the gathering.
+    Texts stay where they are: only words go on, unknown ones are dropped at the join with the vocabulary, and one exchange
+    by query serves the counting and the gathering.
     """
-    # The exchange ahead is read by both branches of the term join, so that whatever the query texts
-    # are derived from is worked out once.
-    asked = queries.select("query_id", text).repartition("query_id")
-    words = _with_factors(_token_rows(asked, ["query_id"], text, stop_words), index.idf)
+    words = _token_rows(queries.select("query_id", text), ["query_id"], text, stop_words)
+    known = words.join(index.idf.select("term", "idf", "hot"), "term")
     weighted = (
-        words.repartition("query_id")
+        known.repartition("query_id")
         .groupBy("query_id", "term", "idf", "hot")
         .agg(F.count("*").alias("tf"))
         .withColumn("weight", F.col("tf") * F.col("idf"))

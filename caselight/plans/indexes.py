@@ -8,11 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from caselight.operators.term_index import TermIndex, load_term_index, save_term_index
 from caselight.session import scratch_path
-from caselight.sources.stores import has_rows_at, stamp
+from caselight.sources.stores import has_rows_at, persisted, stamp
 
 _paths: dict[tuple, str] = {}
 
 
+def stored_table(spark: SparkSession, name: str, table_path: str, build: Callable[[], DataFrame], by: str) -> DataFrame:
+    """A table derived from another one, stored by column ``by`` on first use; a changed source is derived anew."""
+    key = (spark.sparkContext.applicationId, name, table_path, stamp(spark, table_path))
+    if key not in _paths:
+        _paths[key] = scratch_path(spark, name)
+    return persisted(spark, _paths[key], build, by=by)
+
+
 def stored_index(
     spark: SparkSession,
     name: str,

@@ -58,7 +58,7 @@ def term_frequency(spark, sf_dir):
 
 @query("tfidf_weights", f"{_PAIRS} SELECT source, ordinal, term, round(weight, 6) AS weight FROM weights")
 def tfidf_weights(spark, sf_dir):
-    weights = term_index.build_term_index(knowledge(spark, sf_dir)).weights()
+    weights = knowledge_index(spark, sf_dir).weights()
     return weights.select("source", "ordinal", "term", F.round("weight", 6).alias("weight"))
 
 

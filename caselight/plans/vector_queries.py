@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from caselight.functions import vectors as vx
 from caselight.operators import dense, evaluation, hits
+from caselight.plans.indexes import stored_table
 from caselight.registry import query, table
-from caselight.session import scratch_path
-from caselight.sources.stores import persisted
 
 PLANES = 4
 DIMENSIONS = 64
@@ -283,9 +282,9 @@ near AS (SELECT s.* FROM scored s JOIN cells c USING (id) JOIN own o ON o.label:
 
 def _approximate(spark, sf_dir) -> DataFrame:
     """The cells are stored by their number, so that a search reads only the probed ones."""
-    path = scratch_path(spark, "cells")
-    cells = persisted(
-        spark, path, lambda: dense.build_cells(corpus(spark, sf_dir), PLANES, DIMENSIONS), by="cell"
+    cells = stored_table(
+        spark, f"cells-{PLANES}", f"{sf_dir}/embeddings.parquet",
+        lambda: dense.build_cells(corpus(spark, sf_dir), PLANES, DIMENSIONS), by="cell",
     ).withColumn("cell", F.col("cell").cast("long"))
     return dense.approximate_top_k(label_queries(spark, sf_dir), cells, 5, PLANES, DIMENSIONS)
 
