@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from caselight.functions import text as tx
-from caselight.operators import chunking
+from caselight.operators import chunking, hooks
 from caselight.plans.chunk_queries import recursive_sql
 from caselight.registry import query, table
 from caselight.session import scratch_path
@@ -373,11 +373,14 @@ def union_chunks(spark, sf_dir):
         UNION ALL SELECT 'page-' || page_id::VARCHAR,
           coalesce(nullif(regexp_extract(path, '^([^/]+)/', 1), ''), 'general'), text FROM paths),
       {recursive_sql(900, 120, "inputs", "source")}
-      SELECT category, count(DISTINCT source) AS documents, count(*) AS chunks
+      SELECT category, count(DISTINCT source) AS documents, count(*) AS chunks, count(*) AS vectors
       FROM cuts JOIN inputs USING (source) GROUP BY category""",
 )
 def ingest_job(spark, sf_dir):
-    """Documents and web pages chunked, keyed, stored by category, and counted per category."""
+    """Documents and web pages chunked, keyed, embedded and stored by category; run twice, counted per category.
+
+    The first run brings the documents, the second one documents and pages: what is stored already is not stored again.
+    """
     documents = table(spark, sf_dir, "documents").select(
         F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("source"), F.col("lang").alias("category"), "text"
     )
@@ -387,13 +390,16 @@ def ingest_job(spark, sf_dir):
         tx.html_to_text(F.col("html")).alias("text"),
     )
     path = scratch_path(spark, "chunk-store")
-    chunks = chunking.explode_chunks(
-        documents.unionByName(web), chunking.recursive_chunks(F.col("text")), "source", "category"
-    ).withColumn("chunk_key", stores.content_key(F.col("source"), F.col("ordinal"), F.col("chunk")))
-    chunks.write.partitionBy("category").parquet(path)
-    stored = spark.read.parquet(path)
-    return stored.groupBy("category").agg(
-        F.count_distinct("source").alias("documents"), F.count("*").alias("chunks")
+
+    def ingest(inputs):
+        chunks = chunking.explode_chunks(inputs, chunking.recursive_chunks(F.col("text")), "source", "category")
+        keyed = chunks.withColumn("chunk_key", stores.content_key(F.col("source"), F.col("ordinal"), F.col("chunk")))
+        stores.add_new(spark, path, keyed, "chunk_key", lambda fresh: hooks.embed(fresh, "chunk"), by="category")
+
+    ingest(documents)
+    ingest(documents.unionByName(web))
+    return spark.read.parquet(path).groupBy("category").agg(
+        F.count_distinct("source").alias("documents"), F.count("*").alias("chunks"), F.count("embedding").alias("vectors")
     )
 
 

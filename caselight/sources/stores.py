@@ -51,6 +51,17 @@ def append_chunks(target: DataFrame, incoming: DataFrame) -> DataFrame:
     return insert_or_ignore(target.withColumn("chunk_key", key), keyed, "chunk_key", "_arrival")
 
 
+def add_new(spark: SparkSession, path: str, incoming: DataFrame, key: str, finish, by: str) -> None:
+    """Append the rows whose key the store at ``path`` does not hold, after ``finish`` (an embedding, say) was put on them.
+
+    Only new rows are finished. Keys are compared before anything is written, so a repeated run adds nothing.
+    """
+    fresh = incoming
+    if has_rows_at(spark, path):
+        fresh = incoming.join(spark.read.parquet(path).select(key), key, "left_anti")
+    finish(fresh.dropDuplicates([key])).write.mode("append").partitionBy(by).parquet(path)
+
+
 def write_json_chunks(chunks: DataFrame, path: str) -> None:
     """(text, metadata) rows as JSON lines."""
     chunks.select("text", "metadata").write.mode("overwrite").json(path)

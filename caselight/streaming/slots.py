@@ -66,12 +66,12 @@ def completed_stream(
     path: str,
     late: str = "1 hour",
     gap_hours: int = 24 * 365,
-    files_per_batch: int | None = None,
+    files_per_batch: int | None = 1,
 ) -> DataFrame:
     """(session_id, turn, fields) at the turn a session first became complete.
 
     Sessions silent for ``gap_hours`` of event time lose their state. A batch holds a session's
-    narrow rows in one task; ``files_per_batch`` bounds that.
+    narrow rows in one task; ``files_per_batch``, one unless said otherwise, bounds that.
     """
     stream = _with_validity(to_turns(file_stream(spark, source, files_per_batch)))
     done = (
