@@ -37,7 +37,7 @@ WORDS = 5
 COORDINATES = 128
 ROOTS = (2, 1, 1, 2, 1, 1, 2, 1, 1)  # coordinates chosen at the root of each tree
 SLACK = 0.13  # candidates are estimated within this of the least similarity: 3.4 standard deviations of the sketch
-SMALL_NODE, NODE_ROWS, DEPTH = 48, 2048, 10
+SMALL_NODE, NODE_ROWS, DEPTH = 48, 1024, 10
 CROWD = 0.5  # a larger node whose pairs are this alike on average is a crowd
 BROADCAST_IDS = 1_000_000
 WORD_MEMORY = 400_000
