@@ -36,7 +36,30 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"), model, public_tokenizers.PATTERN)
 
 
-@query("op1_minhash_near_dedup")
+_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+# Compares all documents that share a shingle, and follows links from every document: for small tables.
+OP1_SQL = rf"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(text, '{_CAPITALS}', '{_CAPITALS.lower()}'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM worded WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * k >= 75 * (p.n + q.n - k)),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.other)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id"""
+
+
+@query("op1_minhash_near_dedup", OP1_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=75)
 
@@ -124,7 +147,23 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op6_embedding_near_dedup")
+OP6_SQL = """
+WITH RECURSIVE compared AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM compared a
+  JOIN compared b ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.98),
+counts AS (SELECT x AS vec_id, count(*) AS n FROM links GROUP BY x),
+reach AS (
+  SELECT vec_id, vec_id AS other FROM embeddings
+  UNION SELECT r.vec_id, l.y FROM reach r JOIN links l ON l.x = r.other)
+SELECT vec_id, coalesce(any_value(n), 0) AS n_links, min(other) AS component_id, vec_id = min(other) AS kept
+FROM reach LEFT JOIN counts USING (vec_id) GROUP BY vec_id"""
+
+
+@query("op6_embedding_near_dedup", OP6_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.link(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
