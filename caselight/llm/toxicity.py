@@ -9,8 +9,9 @@ A window is ``window_words`` words and a frame of fixed bytes that both dictiona
 inputs raw, and the frame takes them past that, so the length of even one word is measured. ``gain`` is the length with
 the ordinary dictionary less that with the toxic one. Windows repeat, so a task keeps the gains it has met.
 
-The number of windows of a document with a gain of at least t, for each t, and the number of windows are the inputs of a
-logistic regression, fitted on labelled documents that the dictionaries have not seen: it calibrates the thresholds.
+The number of windows of a document with a gain of at least t, for each t, the number of those that gain much for their
+length (a short word cannot gain many bytes), and the number of windows are the inputs of a logistic regression, fitted on
+labelled documents that the dictionaries have not seen: it calibrates the thresholds.
 
 Bounds (parameters of ``train``): the dictionaries are learned from about ``sample`` documents of either label, the
 regression from about ``calibrate`` documents, both drawn by a hash of the id; the dictionaries hold ``dictionary_bytes``.
@@ -33,6 +34,7 @@ from caselight.llm.common import map_rows, stored
 FRAME = bytes(range(1, 29))
 LEVEL = 9
 GAINS = range(1, 9)
+MARKED_GAINS, EIGHTHS = (2, 3), range(2, 7)  # a gain of so many bytes at least, and of so many eighths of the window's length
 MEMORY = 400_000
 REACH = 6.0  # inputs count up to so many standard deviations
 
@@ -53,7 +55,7 @@ def words(text: str | None) -> list[bytes]:
 
 
 class Gains:
-    """The gain of windows, and the inputs of the regression for whole texts."""
+    """Compressed lengths of windows, and the inputs of the regression for whole texts."""
 
     def __init__(self, model: Model):
         import zstandard
@@ -67,27 +69,34 @@ class Gains:
             held = zstandard.ZstdCompressionDict(content + FRAME, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             held.precompute_compress(compression_params=settings)
             self.compress.append(zstandard.ZstdCompressor(dict_data=held, compression_params=settings).compress)
-
-    def gain(self, window: bytes) -> int:
-        value = self.known.get(window)
-        if value is None:
-            framed = b" " + window + b" " + FRAME
-            value = len(self.compress[0](framed)) - len(self.compress[1](framed))
-            if len(window) <= 64:
-                if len(self.known) >= MEMORY:
-                    self.known.clear()
-                self.known[window] = value
-        return value
+        self.least = self.lengths(b"")[0]
+
+    def lengths(self, window: bytes) -> tuple[int, int]:
+        """Compressed lengths with the ordinary and with the toxic dictionary."""
+        framed = b" " + window + b" " + FRAME
+        return len(self.compress[0](framed)), len(self.compress[1](framed))
+
+    def _code(self, window: bytes) -> int:
+        """Gain and eighths of the length in one number."""
+        ordinary, toxic = self.lengths(window)
+        gain = min(max(ordinary - toxic, 0), GAINS[-1])
+        code = 8 * gain + min(8 * gain // max(1, ordinary - self.least), 7)
+        if len(window) <= 64:
+            if len(self.known) >= MEMORY:
+                self.known.clear()
+            self.known[window] = code
+        return code
 
     def inputs(self, text: str | None) -> list[float]:
         found = words(text)
         if self.size > 1:
             found = [b" ".join(found[i : i + self.size]) for i in range(0, len(found), self.size)]
         known = self.known.get
-        gains = [g if (g := known(w)) is not None else self.gain(w) for w in found]
-        counts = np.bincount(np.clip(np.array(gains, dtype=np.int64), 0, GAINS[-1]), minlength=GAINS[-1] + 1)
-        at_least = np.cumsum(counts[::-1])[::-1][GAINS[0] :]
-        return [*np.log1p(at_least).tolist(), float(np.log1p(len(found)))]
+        codes = [c if (c := known(w)) is not None else self._code(w) for w in found]
+        counts = np.bincount(np.array(codes, dtype=np.int64), minlength=8 * (GAINS[-1] + 1)).reshape(-1, 8)
+        at_least = counts.sum(axis=1)[::-1].cumsum()[::-1][GAINS[0] :]
+        marked = [counts[g:].sum(axis=0)[::-1].cumsum()[::-1][EIGHTHS[0] : EIGHTHS[-1] + 1] for g in MARKED_GAINS]
+        return np.log1p(np.concatenate([at_least, *marked, [len(found)]])).tolist()
 
 
 def _word_contexts(labelled: DataFrame) -> DataFrame:

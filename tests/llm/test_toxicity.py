@@ -33,7 +33,8 @@ def test_gain_of_a_toxic_word_anywhere(spark):
     gains = T.Gains(model)
     plain = "the and of erth thing " * 3000
     clean, planted = gains.inputs(plain), gains.inputs(plain + " worthless")
-    assert gains.gain(b"worthless") > max(gains.gain(w) for w in T.words(plain))
+    gain = lambda w: gains.lengths(w)[0] - gains.lengths(w)[1]
+    assert gain(b"worthless") > max(gain(w) for w in T.words(plain))
     assert planted[:-1] > clean[:-1]
 
 
