@@ -55,6 +55,9 @@ SENTIMENTS = ["neutral", "frustrated", "angry", "satisfied"]
 CONFIDENCE_THRESHOLD = 0.75
 HIGH_VALUE_THRESHOLD = 5000.0
 HARD_ISSUE_TYPES = ["fraud_suspected", "complaint_escalation"]
+REASON_CATEGORY = ("issue_type '", "' is always escalated regardless of confidence")
+REASON_VALUE = ("refund request for ₹", f" exceeds the ₹{HIGH_VALUE_THRESHOLD:.0f} manual-review threshold")
+REASON_CONFIDENCE = ("classifier confidence ", f" is below threshold {CONFIDENCE_THRESHOLD}")
 REASON_PAYMENT = (
     "payment issues (duplicate charge, unrecognized transaction) are always escalated "
     "to the payments/fraud team"
@@ -127,16 +130,14 @@ def _verdict(reason: Column, kind: str | Column) -> Column:
     )
 
 
+def _around(parts: tuple[str, str], value: Column) -> Column:
+    return F.concat(F.lit(parts[0]), value, F.lit(parts[1]))
+
+
 def hard_gate(issue: Column, mood: Column, urgent: Column, amount: Column) -> Column:
     """Verdict struct when a category or value rule fires, else null."""
-    category = F.concat(
-        F.lit("issue_type '"), issue, F.lit("' is always escalated regardless of confidence")
-    )
-    value = F.concat(
-        F.lit("refund request for ₹"),
-        F.format_string("%.2f", amount),
-        F.lit(f" exceeds the ₹{HIGH_VALUE_THRESHOLD:.0f} manual-review threshold"),
-    )
+    category = _around(REASON_CATEGORY, issue)
+    value = _around(REASON_VALUE, F.format_string("%.2f", amount))
     reason = (
         F.when(issue.isin(HARD_ISSUE_TYPES), category)
         .when(issue == "payment_issue", F.lit(REASON_PAYMENT))
@@ -150,12 +151,7 @@ def soft_gate(confidence: Column, validation_passed: Column) -> Column:
     """Verdict struct on low confidence or a failed validation, else null."""
     low = confidence < CONFIDENCE_THRESHOLD
     reason = F.when(
-        low,
-        F.concat(
-            F.lit("classifier confidence "),
-            F.format_string("%.2f", confidence),
-            F.lit(f" is below threshold {CONFIDENCE_THRESHOLD}"),
-        ),
+        low, _around(REASON_CONFIDENCE, F.format_string("%.2f", confidence))
     ).when(~validation_passed, F.lit(REASON_VALIDATION))
     kind = F.when(low, "low_confidence").otherwise("validation_failed")
     return F.when(reason.isNotNull(), _verdict(reason, kind))

@@ -19,6 +19,7 @@ def stuff_context(hits: DataFrame, text: str = "text") -> DataFrame:
 
 def citation(meta: Column) -> Column:
     """Label of one chunk by its most telling metadata."""
+    # The forms of a citation.
     source = F.coalesce(meta["source_file"], F.lit("?"))
     present = lambda key: F.length(F.coalesce(meta[key], F.lit(""))) > 0
     return (

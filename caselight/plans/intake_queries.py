@@ -24,7 +24,7 @@ EVENT_FIELDS = {
     "error": "urgency",
     "purchase": "submitting_team",
 }
-TEAMS = ["pv team", "CMC Regulatory", "Priya", "   ", " regulatory affairs europe ", "labelling team", "John", ""]
+TEAMS = ["safety desk", "Quality Assurance North", "Mira", "   ", " dossier group south ", "printing team", "Jonas", ""]
 VALUES = {**{f: [*d, "unknown", ""] for f, d in rules.INTAKE_DOMAINS.items()}, rules.TEAM_FIELD: TEAMS}
 FIELDS = rules.INTAKE_FIELDS
 
@@ -208,11 +208,11 @@ def domain_fallback(spark, sf_dir):
 
 
 DEADLINES = [
-    "We need to report to the agency within {k} days.",
-    "We have {k} business days to respond.",
-    "Please hurry, this is an urgent request, ASAP!",
-    "The filing is planned, no hard deadline yet.",
-    "Answer due in {k}-day window, study 2244.",
+    "The authority expects our answer within {k} days.",
+    "There are {k} business days left for a reply.",
+    "This one is pressing, please move it up!",
+    "The dossier is scheduled, nobody has named a date.",
+    "A {k}-day window for answers has opened, file 5107.",
 ]
 _TIERS = " ".join(f"WHEN days <= {n} THEN '{name}'" for n, name in rules.DEADLINE_TIERS)
 

@@ -13,20 +13,20 @@ from caselight.functions.text import fill_template
 from caselight.registry import table, text_literal
 
 TEMPLATES = [
-    "Hello, the tracking page for {order} shows nothing new, can you look into it for me?",
-    "Please refund order {order}, the {product} does not fit.",
-    "My {product} arrived broken and I am very disappointed.",
-    "I was charged twice for the {product}, please fix this.",
-    "There is a payment on my account that I don't recognize, customer {customer}.",
-    "This is the worst service, I want to speak to a manager about {order}!",
-    "  Where is my order {order}? I am {customer} and it was promised for last week.  ",
-    "hey issue",
-    "I can't log in since yesterday and need account access to track the {product}.",
-    "Do you have the {product} in other sizes for my workshop?",
-    "The payment failed but the money was deducted, I am really not happy.",
-    "I would like a refund on my recent purchase of a {product}, this is ridiculous.",
-    "Just wanted to make sure this small card charge on {order} is right.",
-    "The {product} looks defective, order {order}, can it be replaced immediately?",
+    "Nothing moves on the parcel page of {order}; could somebody check that for me?",
+    "The {product} from {order} is the wrong size, so a refund would be best.",
+    "Out of the box the {product} was broken, which left me disappointed.",
+    "My bank shows the {product} was charged twice; kindly correct that.",
+    "Customer {customer} here: there is a card entry I don't recognize at all.",
+    "Worst handling of {order} so far, connect me to a manager now!",
+    "  {customer} asking: where is my order {order}? Two weeks have gone by.  ",
+    "quick question",
+    "Since this morning I can't log in, so account access for the {product} is gone.",
+    "Which sizes of the {product} do you stock for a small workshop?",
+    "Checkout says payment failed, yet the money was deducted, so I am not happy.",
+    "Ridiculous: the {product} I bought is useless and I expect a refund.",
+    "Could you double check the small charge for {order} on my card?",
+    "A defective {product} came with {order}; can a new one be sent immediately?",
 ]
 ADJECTIVES = ["small", "red", "blue", "hot", "old", "large", "new", "cold"]
 NOUNS = ["ring", "widget", "bolt", "gear", "gizmo", "plate", "anvil", "spring"]

@@ -32,6 +32,7 @@ def metadata(**entries: Column) -> Column:
 
 def product_chunks(catalogue: DataFrame, source_file: str) -> DataFrame:
     """One chunk per product row, from the columns of a full catalogue."""
+    # The labels of the lines and their fallbacks.
     yes_no = lambda c: F.when(F.col(c), "Yes").otherwise("No")
     say = lambda c, other: F.coalesce(F.col(c).cast("string"), F.lit(other))
     text = labelled_lines(
@@ -66,6 +67,7 @@ def product_chunks(catalogue: DataFrame, source_file: str) -> DataFrame:
 
 def review_chunks(reviews: DataFrame, source_file: str) -> DataFrame:
     """One chunk per review theme: ``product_id, theme, sentiment, mention_count, summary, quote``."""
+    # The labels of the lines.
     text = F.concat_ws(
         "\n",
         F.concat(F.lit("Product Review Summary — Product ID: "), F.col("product_id")),
