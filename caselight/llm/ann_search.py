@@ -28,7 +28,7 @@ from caselight.llm.embedding_dedup import usable
 from caselight.operators.ranking import keep_first
 
 LIST_ROWS, MOST_LISTS, SAMPLE_PER_LIST = 200, 4096, 32
-REPLICAS, BORDER, RATIO, BLOCK_ROWS = 4, 0.10, 0.13, 2048
+REPLICAS, BORDER, RATIO, BLOCK_ROWS = 4, 0.10, 0.16, 2048
 
 
 def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
