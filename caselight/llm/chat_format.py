@@ -1,8 +1,9 @@
 """Chat records of many layouts to canonical turns, and turns to one training text with a loss mask. Built-in functions only.
 
 ``turns_of_json``: which known nested paths a JSON record holds is hashed to a fingerprint; each fingerprint selects one of
-the declarative ``LAYOUTS``, and the layout says which paths become which turns. ``turns_of_table`` does the same with
-the columns of a table, once for the whole table.
+the declarative ``LAYOUTS``, and the layout says which paths become which turns. A record that holds more known paths
+than any layout takes the layout that uses most of them. ``turns_of_table`` does the same with the columns of a table,
+once for the whole table.
 
 ``format_chats`` writes ``<|im_start|>role\\ntext<|im_end|>\\n`` per turn. Inside roles and texts every ``<|`` (and every
 ``<\\|``, ``<\\\\|`` ...) gets one more backslash, so no control string can occur there and taking one backslash away gives
@@ -71,6 +72,13 @@ def fingerprint(paths: list[str] | tuple[str, ...]) -> str:
 
 
 BY_FINGERPRINT = {fingerprint(layout.paths): layout for layout in LAYOUTS}
+WIDEST_FIRST = sorted(LAYOUTS, key=lambda layout: -len(layout.paths))
+
+
+def layout_of(paths: list[str]) -> Layout | None:
+    """By fingerprint, else the widest layout that the paths cover."""
+    covered = (layout for layout in WIDEST_FIRST if set(layout.paths) <= set(paths))
+    return BY_FINGERPRINT.get(fingerprint(paths)) or next(covered, None)
 
 
 def schema_paths(kind: DataType, prefix: str = "") -> list[str]:
@@ -90,10 +98,18 @@ def _has(record: Column, path: str) -> Column:
     return F.coalesce(F.exists(listed, lambda v: F.try_variant_get(v, f"$.{name}", "variant").isNotNull()), F.lit(False))
 
 
-def json_fingerprint(record: Column) -> Column:
-    """The fingerprint of a variant column, row by row."""
-    held = [F.when(_has(record, p), F.lit(p)) for p in KNOWN_PATHS]
-    return F.md5(F.concat_ws("\n", *held))
+def held_paths(record: Column) -> Column:
+    """The known paths that a variant holds, in order."""
+    return F.array_compact(F.array(*[F.when(_has(record, p), F.lit(p)) for p in KNOWN_PATHS]))
+
+
+def layout_name(held: Column) -> Column:
+    """By the fingerprint of the held paths, else the widest layout they cover, else null."""
+    by_print = F.create_map(*[F.lit(x) for mark, layout in BY_FINGERPRINT.items() for x in (mark, layout.name)])
+    covered = F.lit(None).cast("string")
+    for layout in reversed(WIDEST_FIRST):
+        covered = F.when(F.size(F.array_except(F.array(*map(F.lit, layout.paths)), held)) == 0, layout.name).otherwise(covered)
+    return F.coalesce(F.try_element_at(by_print, F.md5(F.array_join(held, "\n"))), covered)
 
 
 def _turn(role: Column, text: Column) -> Column:
@@ -131,18 +147,19 @@ def _json_turns(record: Column, layout: Layout) -> Column:
 
 def turns_of_json(df: DataFrame, record: str, keep: list[str]) -> DataFrame:
     """``keep``, ``layout`` and ``turns`` of JSON records, each in any of the layouts."""
-    parsed = df.select(*keep, F.try_parse_json(record).alias("_record")).withColumn("_print", json_fingerprint(F.col("_record")))
-    name, turns = F.lit(None).cast("string"), F.array().cast(TURNS)
-    for mark, layout in BY_FINGERPRINT.items():
+    parsed = df.select(*keep, F.try_parse_json(record).alias("_record")).withColumn("_held", held_paths(F.col("_record")))
+    named = parsed.withColumn("_layout", layout_name(F.col("_held")))
+    turns = F.array().cast(TURNS)
+    for layout in LAYOUTS:
         if layout.turns:
-            name = F.when(F.col("_print") == mark, layout.name).otherwise(name)
-            turns = F.when(F.col("_print") == mark, _json_turns(F.col("_record"), layout)).otherwise(turns)
-    return parsed.select(*keep, name.alias("layout"), turns.cast(TURNS).alias("turns"))
+            turns = F.when(F.col("_layout") == layout.name, _json_turns(F.col("_record"), layout)).otherwise(turns)
+    known = F.col("_layout").isin([layout.name for layout in LAYOUTS if layout.turns])
+    return named.select(*keep, F.when(known, F.col("_layout")).alias("layout"), turns.cast(TURNS).alias("turns"))
 
 
 def turns_of_table(df: DataFrame, key: str = "conv_id") -> DataFrame:
     """(key, layout, turns) of a table whose columns are in one of the layouts; other columns are ignored."""
-    layout = BY_FINGERPRINT.get(fingerprint(schema_paths(df.schema)))
+    layout = layout_of(schema_paths(df.schema))
     if layout is None:
         raise ValueError(f"no layout has the fields {sorted(schema_paths(df.schema))}")
     if layout.turns:

@@ -43,13 +43,13 @@ class Model:
 
 
 def windows(text: str) -> np.ndarray:
-    """The lower-case bytes of the whole text plus one, in rows of WINDOW and the padding that the filters need."""
+    """The lower-case bytes of the whole text plus one, in rows of WINDOW; neighbours share what the widest filter needs."""
     raw = np.frombuffer(text.lower().encode("utf-8"), dtype=np.uint8).astype(np.int16) + 1
     step = WINDOW - _WIDEST + 1
     count = max(1, -(-max(0, len(raw) - _WIDEST + 1) // step))
     padded = np.zeros(count * step + 2 * _WIDEST, dtype=np.int16)
     padded[: len(raw)] = raw
-    return np.lib.stride_tricks.sliding_window_view(padded, WINDOW + _WIDEST - 1 - (_WIDEST - 1))[::step][:count]
+    return np.lib.stride_tricks.sliding_window_view(padded, WINDOW)[::step][:count]
 
 
 def _patches(model: Model, rows: np.ndarray) -> np.ndarray:

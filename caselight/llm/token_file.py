@@ -24,6 +24,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -35,6 +36,7 @@ from caselight.session import scratch_path
 
 MAGIC = b"TPL1"
 BLOCK = 1 << 16
+ROWS_AT_ONCE = 8192
 
 
 def open_path(path: str, mode: str):
@@ -215,10 +217,10 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
         def work(batch):
             for path, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 with open_path(path, "r") as source:
-                    rows = list(zip(*Reader(source).each())) or [[]] * 4
-                yield {
-                    "doc_id": rows[0], "start": [base + s for s in rows[1]], "n_tokens": rows[2], "ids_crc32": rows[3],
-                }
+                    documents = Reader(source).each()
+                    while part := list(islice(documents, ROWS_AT_ONCE)):
+                        keys, starts, lengths, sums = zip(*part)
+                        yield {"doc_id": keys, "start": [base + s for s in starts], "n_tokens": lengths, "ids_crc32": sums}
 
         return work
 

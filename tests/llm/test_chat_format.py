@@ -31,11 +31,13 @@ RECORDS = {
 
 def test_each_layout_is_found_by_its_fingerprint(spark):
     rows = [(i, json.dumps(r)) for i, (r, _) in enumerate(RECORDS.values())]
+    rows += [(90, json.dumps({"messages": [{"role": "user", "content": "a"}], "prompt": "p", "text": 1}))]
     rows += [(100, "{not json"), (101, None), (102, '{"other": 1}'), (103, "[]"), (104, '{"messages": []}')]
     got = {r.id: r for r in C.turns_of_json(spark.createDataFrame(rows, "id int, raw string"), "raw", ["id"]).collect()}
     for i, (name, (_, want)) in enumerate(RECORDS.items()):
         assert got[i].layout == name
         assert turns(got[i].turns) == want
+    assert (got[90].layout, turns(got[90].turns)) == ("messages", [("user", "a")])
     assert all(got[i].layout is None and got[i].turns == [] for i in range(100, 105))
 
 
@@ -43,6 +45,9 @@ def test_typed_tables_select_their_layout(spark):
     table = spark.createDataFrame([(1, "q", "a", 9)], "id long, prompt string, response string, other int")
     row = C.turns_of_table(table, "id").first()
     assert (row.layout, turns(row.turns)) == ("prompt and response", [("user", "q"), ("assistant", "a")])
+    wide = spark.createDataFrame([(5, 0, "user", "q", "x", "y", None)], "conv_id long, turn long, role string, text string, prompt string, response string, system string")
+    row = C.turns_of_table(wide).first()
+    assert (row.layout, turns(row.turns)) == ("turn rows", [("user", "q")])
     with pytest.raises(ValueError):
         C.turns_of_table(spark.createDataFrame([(1, 2)], "id long, x int"), "id")
 
