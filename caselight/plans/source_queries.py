@@ -240,22 +240,36 @@ def ingest_category(spark, sf_dir):
     )
 
 
-@query(
-    "load_text_folder",
-    """SELECT lang, sum(n_chars)::BIGINT AS chars, count(*) AS documents FROM documents GROUP BY lang""",
-)
+@query("load_text_folder", "SELECT 'item_id=' || item_id::VARCHAR AS source, text || chr(10) AS text FROM benchmark")
 def load_text_folder(spark, sf_dir):
-    """Documents are written as a tree of text files by language and read back whole."""
+    """Benchmark texts are written as one file each and read back whole, by name."""
     path = scratch_path(spark, "texts")
-    documents = table(spark, sf_dir, "documents")
-    flat = F.replace("text", F.lit("\n"), F.lit(" "))
-    written = documents.select("lang", flat.alias("value")).write.partitionBy("lang")
+    table(spark, sf_dir, "benchmark").select("item_id", "text").write.partitionBy("item_id").text(path)
+    return rows.load_text_folder(spark, path, "*.txt", by_parent=True)
+
+
+@query(
+    "ingest_folder",
+    """SELECT lang AS category, 'txt' AS kind, '' AS reason, sum(n_chars)::BIGINT AS chars, count(*) AS documents
+      FROM documents GROUP BY lang
+      UNION ALL SELECT 'labels', 'json', 'unsupported kind', 0, 0""",
+)
+def ingest_folder(spark, sf_dir):
+    """Documents as a tree of text files by language, next to files of a kind that is rejected."""
+    path = scratch_path(spark, "tree")
+    flat = F.replace("text", F.lit("\n"), F.lit(" "))
+    written = table(spark, sf_dir, "documents").select("lang", flat.alias("value")).write.partitionBy("lang")
     written.option("maxRecordsPerFile", 500).text(path)  # a file is one row when it is read back
-    read, _ = rows.ingest_folder(spark, path)
+    table(spark, sf_dir, "labels").write.json(f"{path}/labels")
+    read, rejects = rows.ingest_folder(spark, path)
     lines = read.select("category", F.explode(F.split("text", "\n")).alias("line")).filter(F.length("line") > 0)
-    return lines.groupBy(F.replace("category", F.lit("lang="), F.lit("")).alias("lang")).agg(
-        F.sum(F.length("line").cast("long")).alias("chars"), F.count("*").alias("documents")
+    taken = lines.groupBy(F.replace("category", F.lit("lang="), F.lit("")).alias("category")).agg(
+        F.lit("txt").alias("kind"), F.lit("").alias("reason"),
+        F.sum(F.length("line").cast("long")).alias("chars"), F.count("*").alias("documents"),
     )
+    none = F.lit(0).cast("long")
+    refused = rejects.select(rows.category_of(F.col("source")).alias("category"), "kind", "reason").distinct()
+    return taken.unionByName(refused.select("*", none.alias("chars"), none.alias("documents")))
 
 
 @query("read_jsonl", "SELECT doc_id, quality, toxic FROM labels")

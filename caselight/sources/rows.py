@@ -140,10 +140,16 @@ def is_hidden(path: Column) -> Column:
     return F.startswith(F.element_at(F.split(path, "/"), -1), F.lit("."))
 
 
-def load_text_folder(spark: SparkSession, folder: str, pattern: str = "*.md") -> DataFrame:
-    """Whole files of a folder as (source, text), in the order of their names."""
-    files = spark.read.option("pathGlobFilter", pattern).text(folder, wholetext=True)
-    named = files.select(F.col("_metadata.file_name").alias("source"), F.col("value").alias("text"))
+def load_text_folder(spark: SparkSession, folder: str, pattern: str = "*.md", by_parent: bool = False) -> DataFrame:
+    """Whole files of a folder as (source, text), in the order of their names.
+
+    ``by_parent`` takes trees in which each text has a folder of its own and names it by that folder.
+    """
+    reader = spark.read.option("pathGlobFilter", pattern)
+    if by_parent:
+        reader = reader.option("recursiveFileLookup", "true")
+    name = F.element_at(F.split("_metadata.file_path", "/"), -2) if by_parent else F.col("_metadata.file_name")
+    named = reader.text(folder, wholetext=True).select(name.alias("source"), F.col("value").alias("text"))
     return named.orderBy("source")
 
 
