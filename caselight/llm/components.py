@@ -45,7 +45,8 @@ def forest(linked: np.ndarray) -> list[tuple[int, int]]:
     """(row, least row of its component) of a symmetric boolean matrix, for rows that are not the least."""
     own = np.arange(len(linked))
     while True:
-        least = np.minimum(own, np.where(linked, own[None, :], len(own)).min(axis=1, initial=len(own)))
+        near = [own[row].min(initial=len(own)) for row in linked]
+        least = np.minimum(own, np.array(near, dtype=own.dtype))
         least = least[least]
         if (least == own).all():
             return [(i, int(least[i])) for i in np.flatnonzero(least != np.arange(len(own)))]

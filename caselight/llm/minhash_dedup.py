@@ -12,8 +12,8 @@ pairs: first each node is compared with one of its members only, which joins mos
 several components then branch, and only pairs across components are compared. A group of n near copies so costs
 about n comparisons, and no link between components is left out.
 
-Nodes over ``NODE_ROWS`` members branch in Spark, level by level, smaller ones inside a task. A node that does not
-shrink by ``DEPTH`` levels is compared in blocks. No group is ever held whole. In a crowd, a node of many members that
+Nodes over ``NODE_ROWS`` members branch in Spark, level by level, smaller ones inside a task. A node that is alike
+throughout, or does not shrink by ``DEPTH`` levels, is compared in blocks. No group is ever held whole. In a crowd, a node of many members that
 are alike throughout, branching would part nothing and the candidates would be nearly all pairs; its members' full sets are
 compared in one task (at most two blocks) and a spanning forest of the links is handed on.
 
@@ -37,7 +37,7 @@ WORDS = 5
 COORDINATES = 128
 ROOTS = (2, 1, 1, 2, 1, 1, 2, 1, 1)  # coordinates chosen at the root of each tree
 SLACK = 0.13  # candidates are estimated within this of the least similarity: 3.4 standard deviations of the sketch
-SMALL_NODE, NODE_ROWS, DEPTH = 48, 1024, 10
+SMALL_NODE, NODE_ROWS, DEPTH = 48, 2048, 10
 CROWD = 0.5  # a larger node whose pairs are this alike on average is a crowd
 BROADCAST_IDS = 1_000_000
 WORD_MEMORY = 400_000
@@ -226,7 +226,7 @@ def common_counts(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
     rows, column = rows[keep], column[keep]
     order = np.argsort(column, kind="stable")
     rows, column = rows[order], column[order]
-    total = np.zeros((len(sets), len(sets)), dtype=np.float64)
+    total = np.zeros((len(sets), len(sets)), dtype=np.float32)  # whole numbers far below 2^24
     for start in range(0, int(shared.sum()), columns):
         low, high = np.searchsorted(column, [start, start + columns])
         part = np.zeros((len(sets), columns), dtype=np.float32)
@@ -247,8 +247,10 @@ def _crowd_links(percent: int, words: int):
             parts = group.column("part").to_numpy()[first]
             sets = [shingler.shingles(t) for t in group.column("text").take(first).to_pylist()]
             sizes, common = np.array([len(x) for x in sets], dtype=float), common_counts(sets)
-            linked = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
-            linked &= parts[:, None] != parts[None, :]
+            linked = np.zeros(common.shape, dtype=bool)
+            for i, shared in enumerate(common):  # a row at a time, to stay small beside the matrix
+                union = sizes[i] + sizes - shared
+                linked[i] = (100 * shared.astype(float) >= percent * union) & (parts != parts[i])
             edges = forest(linked)
             return {"a": [int(ids[i]) for i, _ in edges], "b": [int(ids[j]) for _, j in edges]}
 
@@ -264,6 +266,15 @@ def _live(nodes: DataFrame) -> DataFrame:
     return nodes.join(stored(counts.filter("_lo < _hi").select("node", "_m"), "counts"), "node")
 
 
+def _dense(nodes: DataFrame) -> DataFrame:
+    """(node) of the nodes whose pairs agree in ``CROWD`` of their places on average, from the counts of equal bytes."""
+    looked = F.array(*[F.expr(f"substring(sketch, {COORDINATES - i}, 1)") for i in range(4)])
+    tokens = nodes.select("node", "_m", F.posexplode(looked).alias("_c", "_token"))
+    counts = tokens.groupBy("node", "_m", "_c", "_token").agg(F.count("*").alias("_n"))
+    alike = counts.groupBy("node", "_m").agg((F.sum(F.col("_n") * F.col("_n")) / (4 * F.col("_m") * F.col("_m"))).alias("_alike"))
+    return stored(alike.filter(F.col("_alike") >= CROWD).select("node"), "dense")
+
+
 def _children(nodes: DataFrame) -> DataFrame:
     """One level down: each node chooses one or two coordinates by its own hash."""
     size = F.lit(COORDINATES)
@@ -345,15 +356,17 @@ def near_duplicates(
     parts = connected(joined).select(F.col("id").alias("cls"), F.col("component").alias("part"))
     nodes = level.drop("_m").join(parts, "cls", "left").withColumn("part", F.coalesce("part", "cls"))
     now = stored(_live(nodes), "live")
-    done = now.filter(F.col("_m") <= node_rows)
+    done, crowded = now.filter(F.col("_m") <= node_rows), now.limit(0)
     for _ in range(DEPTH):
-        large = now.filter(F.col("_m") > node_rows)
-        if large.isEmpty():
+        now = now.filter(F.col("_m") > node_rows)
+        if now.isEmpty():
             break
-        now = stored(_live(_children(large)), "live")
+        dense = _dense(now)  # branching would part nothing there
+        crowded = crowded.unionByName(now.join(dense, "node", "left_semi"))
+        now = stored(_live(_children(now.join(dense, "node", "left_anti"))), "live")
         done = done.unionByName(now.filter(F.col("_m") <= node_rows))
     whole = done.select("node", F.lit(0).cast("bigint").alias("low"), F.lit(0).cast("bigint").alias("high"), F.lit(0).cast("bigint").alias("block"), F.lit(True).alias("whole"), "cls", "part", "sketch")
-    left = now.filter(F.col("_m") > node_rows).withColumn("_n", F.expr(f"(_m + {node_rows - 1}) div {node_rows}"))
+    left = crowded.unionByName(now.filter(F.col("_m") > node_rows)).withColumn("_n", F.expr(f"(_m + {node_rows - 1}) div {node_rows}"))
     left = left.withColumn("block", F.expr("pmod(xxhash64(cls, node), _n)")).withColumn("_o", F.explode(F.expr("sequence(0L, _n - 1)")))
     left = left.select("node", F.least("block", "_o").alias("low"), F.greatest("block", "_o").alias("high"), "block", F.lit(False).alias("whole"), "cls", "part", "sketch")
     across = stored(map_groups(whole.unionByName(left), ["node", "low", "high"], f"{pair}, crowd bigint", _subtrees(least_equal), least=2), "across")
