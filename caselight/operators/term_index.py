@@ -7,11 +7,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caselight.functions.text import TOKEN_CHARS, word_runs
 from caselight.operators.ranking import keep_first, rank_key
+from caselight.session import cut_lineage
 
 CHUNK_KEY = ["source", "ordinal"]
 
@@ -59,10 +60,12 @@ HOT_SALTS = 16
 
 @dataclass(frozen=True)
 class TermIndex:
-    """``vectors``: one row per chunk with its L2-normalised terms; ``idf``: (term, df, idf, hot)."""
+    """``vectors``: one row per chunk with its L2-normalised terms; ``idf``: (term, df, idf, hot);
+    ``peaks``: (term, peak), the largest weight of each term."""
 
     vectors: DataFrame
     idf: DataFrame
+    peaks: DataFrame
 
     def weights(self) -> DataFrame:
         """(source, ordinal, term, weight, hot)."""
@@ -90,13 +93,20 @@ def _vectors_of(postings: DataFrame, idf: DataFrame) -> DataFrame:
     return _unit_terms(weighted, CHUNK_KEY)
 
 
+def _peaks_of(vectors: DataFrame) -> DataFrame:
+    return vectors.select(F.explode("terms").alias("t")).groupBy(F.col("t.term").alias("term")).agg(
+        F.max("t.weight").alias("peak")
+    )
+
+
 def build_term_index(
     chunks: DataFrame, text: str = "text", stop_words: list[str] | None = None
 ) -> TermIndex:
     """The index as one lazy plan, for small chunk sets; ``save_term_index`` reads the texts once."""
     postings = term_frequency(chunks, CHUNK_KEY, text, stop_words)
     idf = _idf_of(postings, chunks)
-    return TermIndex(_vectors_of(postings, idf), idf)
+    vectors = _vectors_of(postings, idf)
+    return TermIndex(vectors, idf, _peaks_of(vectors))
 
 
 def save_term_index(
@@ -109,11 +119,12 @@ def save_term_index(
     _idf_of(postings, chunks).write.mode("overwrite").parquet(f"{path}/idf")
     idf = spark.read.parquet(f"{path}/idf")
     _vectors_of(postings, idf).write.mode("overwrite").parquet(f"{path}/vectors")
+    _peaks_of(spark.read.parquet(f"{path}/vectors")).write.mode("overwrite").parquet(f"{path}/peaks")
     return load_term_index(spark, path)
 
 
 def load_term_index(spark: SparkSession, path: str) -> TermIndex:
-    return TermIndex(spark.read.parquet(f"{path}/vectors"), spark.read.parquet(f"{path}/idf"))
+    return TermIndex(*[spark.read.parquet(f"{path}/{part}") for part in ("vectors", "idf", "peaks")])
 
 
 def query_vectors(
@@ -194,6 +205,61 @@ def search(
     return top_k(scored, "query_id", k, *CHUNK_KEY)
 
 
+SCORE_SLACK = 4e-9  # scores are ranked in steps of 1e-9; bounds are taken a little looser
+
+
+def pruned_candidates(asked: DataFrame, index: TermIndex, k: int, exclude_source: str | None = None) -> DataFrame:
+    """(query_id, source, ordinal) of every chunk that can be among the first k, from ``asked`` (query_id, term, w, hot).
+
+    The rare words of a question are scored first; its k-th partial score is a floor, as the others only add. Words whose
+    largest possible contributions together stay under the floor cannot bring a chunk in on their own, so only
+    the other words are looked up, and a chunk whose partial score cannot reach the floor with all the rest is dropped.
+    """
+    allowed = F.lit(True) if exclude_source is None else F.col("source") != exclude_source
+    postings = index.weights().filter(allowed)
+    bounded = cut_lineage(asked.join(index.peaks, "term").withColumn("bound", F.col("w") * F.col("peak")))
+
+    def partial(terms: DataFrame, of: DataFrame) -> DataFrame:
+        met = of.drop("hot").join(terms.select("query_id", "term", "w"), "term")
+        return met.groupBy("query_id", *CHUNK_KEY).agg(F.sum(F.col("weight") * F.col("w")).alias("score"))
+
+    rare = partial(bounded.filter(~F.col("hot")), postings.filter(~F.col("hot")))
+    floors = (
+        top_k(rare, "query_id", k, *CHUNK_KEY).groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("floor"))
+        .filter(F.col("n") == k).select("query_id", (F.col("floor") - SCORE_SLACK).alias("floor"))
+    )
+    so_far = Window.partitionBy("query_id").orderBy("bound", "term").rowsBetween(Window.unboundedPreceding, 0)
+    judged = cut_lineage(
+        bounded.join(floors, "query_id", "left").withColumn("floor", F.coalesce("floor", F.lit(0.0)))
+        .withColumn("spare", F.sum("bound").over(so_far) < F.col("floor"))
+    )
+    rest = judged.groupBy("query_id").agg(
+        F.first("floor").alias("floor"), F.coalesce(F.sum(F.when(F.col("spare"), F.col("bound"))), F.lit(0.0)).alias("rest")
+    )
+    found = partial(judged.filter(~F.col("spare")), postings).join(rest, "query_id")
+    return found.filter(F.col("score") + F.col("rest") >= F.col("floor")).select("query_id", *CHUNK_KEY)
+
+
+def search_pruned(
+    queries: DataFrame,
+    index: TermIndex,
+    k: int = 3,
+    exclude_source: str | None = None,
+    stop_words: list[str] | None = None,
+) -> DataFrame:
+    """The rows of ``search``, exactly, without scoring each chunk that shares only common words with a question."""
+    vectors = query_vectors(queries, index, "text", stop_words)
+    asked = cut_lineage(
+        vectors.select("query_id", F.explode("terms").alias("t")).select("query_id", "t.term", F.col("t.weight").alias("w"), "t.hot")
+    )
+    held = pruned_candidates(asked, index, k, exclude_source).join(index.vectors, CHUNK_KEY)
+    terms = held.select("query_id", *CHUNK_KEY, F.explode("terms").alias("t")).select("query_id", *CHUNK_KEY, "t.term", "t.weight")
+    scored = terms.join(asked.select("query_id", "term", "w"), ["query_id", "term"]).groupBy("query_id", *CHUNK_KEY).agg(
+        F.sum(F.col("weight") * F.col("w")).alias("score")
+    )
+    return top_k(scored, "query_id", k, *CHUNK_KEY)
+
+
 def search_by_signature(
     queries: DataFrame,
     index: TermIndex,

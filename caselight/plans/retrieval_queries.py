@@ -79,6 +79,12 @@ def tfidf_topk(spark, sf_dir):
     return _shown(found_chunks(spark, sf_dir))
 
 
+@query("tfidf_topk_pruned", f"{_HITS} SELECT {_SHOWN} FROM hits")
+def tfidf_topk_pruned(spark, sf_dir):
+    """The same hits by the search that prunes on score bounds."""
+    return _shown(term_index.search_pruned(questions(spark, sf_dir), knowledge_index(spark, sf_dir)))
+
+
 @query(
     "tfidf_topk_external",
     f"{_PAIRS}, {ranked('pairs', '3', f'source <> {text_literal(INTERNAL)}')} SELECT {_SHOWN} FROM hits",

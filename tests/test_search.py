@@ -210,3 +210,26 @@ def test_task_functions_travel_with_their_code(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     ran = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
     assert ran.stdout.strip() == "_block_hits", ran.stderr
+
+
+def test_pruned_search_is_exact_and_looks_at_few_chunks(spark, monkeypatch):
+    import random
+
+    rng = random.Random(4)
+    common = [f"common{i}" for i in range(6)]
+    texts = []
+    for i in range(400):
+        texts.append(" ".join([rng.choice(common) for _ in range(8)] + [f"rare{i % 130}", f"word{rng.randrange(40)}"]))
+    chunks = spark.createDataFrame([("s" if i % 5 else "t", i, t) for i, t in enumerate(texts)], "source string, ordinal long, text string")
+    asked = [f"common0 common1 rare{i} rare{i + 1}" for i in range(20)] + ["common2 common3", "unknown only", ""]
+    queries = spark.createDataFrame(list(enumerate(asked)), "query_id int, text string")
+    monkeypatch.setattr(term_index, "HOT_SHARE", 0.05)
+    index = term_index.build_term_index(chunks)
+    for exclude in (None, "t"):
+        full = term_index.search(queries, index, 3, exclude).select("query_id", "ordinal", "rank").collect()
+        pruned = term_index.search_pruned(queries, index, 3, exclude).select("query_id", "ordinal", "rank").collect()
+        assert sorted(full) == sorted(pruned)
+    vectors = term_index.query_vectors(queries.filter("query_id < 20"), index)
+    terms = vectors.select("query_id", F.explode("terms").alias("t")).select("query_id", "t.term", F.col("t.weight").alias("w"), "t.hot")
+    looked_at = term_index.pruned_candidates(terms, index, 3).count()
+    assert looked_at < 20 * 400 / 10
