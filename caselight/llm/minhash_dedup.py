@@ -1,11 +1,12 @@
 """Near-copies of documents by a chosen-path similarity join.
 
 A document is its set of shingles. Documents with equal sets are folded into one class first. A class has a sketch of
-``COORDINATES`` minwise hashes. The root of each tree chooses one or two coordinates (4/3 on average, one over the least similarity)
-and sends every class to the child of its minwise token there; a node that is still large chooses again, by its own
-hash, so classes with the similarity sought stay together with steady odds while others part. Small nodes are compared
-exhaustively by their sketches, and independent trees bring the recall up: with the defaults a pair at the
-least similarity is missed about once in a thousand in the most crowded nodes, and far less often elsewhere.
+``COORDINATES`` minwise hashes. The root of each tree chooses one or two coordinates and sends every class to the child of its
+minwise token there; a node that is still large chooses again, by its own hash, one or more coordinates: ``branching`` on
+average, which is more than one over the least similarity, so the places where a similar pair is still together grow in
+number with depth while others part. Small nodes are compared exhaustively by their sketches, and independent trees bring
+the recall up: branching loses at most ``MISSED`` of the pairs at the least similarity, however many levels a node needs (for
+least similarities under about 0.5 the roots alone lose more).
 
 Every candidate is confirmed on the full sets. It is done in two passes, because components are asked for, not
 pairs: first each node is compared with one of its members only, which joins most of each group; the nodes that still hold
@@ -25,6 +26,7 @@ gives no rows; other columns are left out.
 from __future__ import annotations
 
 from functools import lru_cache
+from math import comb
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -36,6 +38,7 @@ from caselight.llm.components import connected, forest
 WORDS = 5
 COORDINATES = 128
 ROOTS = (2, 1, 1, 2, 1, 1, 2, 1, 1)  # coordinates chosen at the root of each tree
+MISSED = 0.001  # the most that branching may lose of the pairs at the least similarity
 SLACK = 0.13  # candidates are estimated within this of the least similarity: 3.4 standard deviations of the sketch
 SMALL_NODE, NODE_ROWS, DEPTH = 48, 2048, 10
 CROWD = 0.5  # a larger node whose pairs are this alike on average is a crowd
@@ -118,6 +121,27 @@ def sketches(documents: DataFrame, key: str = "doc_id", text: str = "text", word
     return map_rows(documents.select(key, text), schema, make).withColumnRenamed("key", key)
 
 
+def missed(percent: float, spread: float, levels: int) -> float:
+    """The share of pairs of one similarity that no tree holds together after so many levels of branching."""
+    similar = percent / 100
+    equal = np.arange(COORDINATES + 1)  # places where the sketches of a pair agree
+    odds = np.array([comb(COORDINATES, int(k)) * similar**k * (1 - similar) ** (COORDINATES - k) for k in equal])
+    same = equal / COORDINATES
+    least, more = int(spread), spread - int(spread)
+    lost = np.zeros(len(same))
+    for _ in range(levels):
+        apart = 1 - same + same * lost
+        lost = (1 - more) * apart**least + more * apart ** (least + 1)
+    return float((odds * (1 - same + same * lost) ** sum(ROOTS)).sum())
+
+
+@lru_cache
+def branching(percent: int) -> float:
+    """How many coordinates a node chooses on average: the fewest that lose ``MISSED`` at most through all levels."""
+    steps = np.arange(1, 4.01, 1 / 16).tolist()
+    return next((b for b in steps if missed(percent, b, 2 * DEPTH) <= MISSED), steps[-1])
+
+
 def _sketch_rows(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, COORDINATES)
 
@@ -155,13 +179,14 @@ def compare_across(ids, parts, sketch, least_equal: int) -> set[tuple[int, int]]
     return {(int(ids[i]), int(ids[j])) for i, j in zip(*pairs)}
 
 
-def branch(ids, parts, sketch, least_equal: int, seed: int, small: int = SMALL_NODE, depth: int = DEPTH):
+def branch(ids, parts, sketch, least_equal: int, seed: int, small: int = SMALL_NODE, depth: int = DEPTH, percent: int = 75):
     """(pairs, crowds) of the subtree of one node: branch until nodes are small or hold one component.
 
     A node of many members that are alike throughout is a crowd: its members that have a candidate are named, to be
     compared on their full sets in one place, for their pairs would be too many to hand on.
     """
     rng = np.random.default_rng(seed)
+    spread = branching(percent)
     waiting = [(np.arange(len(ids)), 0)]
     pairs: set[tuple[int, int]] = set()
     crowds: list[np.ndarray] = []
@@ -182,7 +207,7 @@ def branch(ids, parts, sketch, least_equal: int, seed: int, small: int = SMALL_N
             if met.any():
                 crowds.append(ids[own[met]])
             continue
-        for coordinate in rng.choice(COORDINATES, 1 + (rng.random() < 1 / 3), replace=False):
+        for coordinate in rng.choice(COORDINATES, int(spread + rng.random()), replace=False):
             values = sketch[own, coordinate]
             order = np.argsort(values, kind="stable")
             for child in np.split(own[order], np.flatnonzero(np.diff(values[order])) + 1):
@@ -191,7 +216,7 @@ def branch(ids, parts, sketch, least_equal: int, seed: int, small: int = SMALL_N
     return pairs, crowds
 
 
-def _subtrees(least_equal: int):
+def _subtrees(least_equal: int, percent: int):
     """Rows (a, b, null) for pairs and (a, null, crowd) for members of crowds."""
 
     def make():
@@ -199,7 +224,7 @@ def _subtrees(least_equal: int):
             ids, parts, sketch = group.column("cls").to_numpy(), group.column("part").to_numpy(), _sketch_rows(group.column("sketch"))
             node, low, high = (group.column(c)[0].as_py() for c in ("node", "low", "high"))
             if group.column("whole")[0].as_py():
-                pairs, crowds = branch(ids, parts, sketch, least_equal, abs(node))
+                pairs, crowds = branch(ids, parts, sketch, least_equal, abs(node), percent=percent)
             else:
                 met = _candidates(ids, parts, sketch, least_equal).any(axis=1)
                 pairs, crowds = set(), [ids[met]] if met.any() else []
@@ -275,13 +300,14 @@ def _dense(nodes: DataFrame) -> DataFrame:
     return stored(alike.filter(F.col("_alike") >= CROWD).select("node"), "dense")
 
 
-def _children(nodes: DataFrame) -> DataFrame:
-    """One level down: each node chooses one or two coordinates by its own hash."""
-    size = F.lit(COORDINATES)
-    first = F.pmod(F.xxhash64("node", F.lit(1)), size).cast("int")
-    second = F.pmod(first + 1 + F.pmod(F.xxhash64("node", F.lit(2)), size - 1).cast("int"), size).cast("int")
-    chosen = F.when(F.pmod(F.xxhash64("node", F.lit(3)), F.lit(3)) == 0, F.array(first, second)).otherwise(F.array(first))
-    split = nodes.withColumn("_c", F.explode(chosen))
+def _children(nodes: DataFrame, spread: float) -> DataFrame:
+    """One level down: each node chooses ``spread`` coordinates on average by its own hash."""
+    first, step = F.xxhash64("node", F.lit(1)), F.pmod(F.xxhash64("node", F.lit(2)), F.lit(COORDINATES // 2)) * 2 + 1
+    more = F.pmod(F.xxhash64("node", F.lit(3)), F.lit(1 << 20)) < int((spread - int(spread)) * (1 << 20))
+    number = F.lit(int(spread)) + more.cast("int")
+    # Odd steps, so that the coordinates of a node differ.
+    split = nodes.withColumn("_i", F.explode(F.sequence(F.lit(0), number - 1)))
+    split = split.withColumn("_c", F.pmod(F.pmod(first, F.lit(COORDINATES)) + F.col("_i") * step, F.lit(COORDINATES)).cast("int"))
     token = F.expr("substring(sketch, _c + 1, 1)")
     return split.select(F.xxhash64("node", "_c", token).alias("node"), "cls", "part", "sketch")
 
@@ -363,13 +389,13 @@ def near_duplicates(
             break
         dense = _dense(now)  # branching would part nothing there
         crowded = crowded.unionByName(now.join(dense, "node", "left_semi"))
-        now = stored(_live(_children(now.join(dense, "node", "left_anti"))), "live")
+        now = stored(_live(_children(now.join(dense, "node", "left_anti"), branching(percent))), "live")
         done = done.unionByName(now.filter(F.col("_m") <= node_rows))
     whole = done.select("node", F.lit(0).cast("bigint").alias("low"), F.lit(0).cast("bigint").alias("high"), F.lit(0).cast("bigint").alias("block"), F.lit(True).alias("whole"), "cls", "part", "sketch")
     left = crowded.unionByName(now.filter(F.col("_m") > node_rows)).withColumn("_n", F.expr(f"(_m + {node_rows - 1}) div {node_rows}"))
     left = left.withColumn("block", F.expr("pmod(xxhash64(cls, node), _n)")).withColumn("_o", F.explode(F.expr("sequence(0L, _n - 1)")))
     left = left.select("node", F.least("block", "_o").alias("low"), F.greatest("block", "_o").alias("high"), "block", F.lit(False).alias("whole"), "cls", "part", "sketch")
-    across = stored(map_groups(whole.unionByName(left), ["node", "low", "high"], f"{pair}, crowd bigint", _subtrees(least_equal), least=2), "across")
+    across = stored(map_groups(whole.unionByName(left), ["node", "low", "high"], f"{pair}, crowd bigint", _subtrees(least_equal, percent), least=2), "across")
     pairs = stored(across.filter("crowd is null").select("a", "b").distinct().join(starred, ["a", "b"], "left_anti"), "pairs")
     crowds = across.filter("crowd is not null").select("crowd", F.col("a").alias("cls"))
     texts = _texts(documents, classes, pairs.select(ends).unionByName(crowds.select("cls")), key, text, words)

@@ -139,3 +139,54 @@ def test_crowd_of_loosely_alike_documents(spark):
     frame = spark.createDataFrame([(k, t, 0, "") for k, t in rows], SCHEMA)
     for node_rows in (2048, 64):
         assert found(frame, node_rows=node_rows) == brute(rows)
+
+
+@pytest.mark.parametrize("percent", [60, 75, 90])
+def test_branching_keeps_the_target_at_any_depth(percent):
+    spread = M.branching(percent)
+    assert all(M.missed(percent, spread, levels) <= M.MISSED for levels in (1, 5, 10, 2 * M.DEPTH))
+    assert spread * percent / 100 > 1
+
+
+def loose_crowd(n, planted, seed=4):
+    """Sets with 120 of 200 shingles (similarity 0.43); each of the first ones is followed by a copy at 0.752."""
+    rng, shingler = np.random.default_rng(seed), M.Shingler()
+    pool, sets = rng.integers(0, 2**63, 200, dtype=np.uint64), []
+    for i in range(n):
+        sets.append(np.sort(rng.choice(pool, 120, replace=False)))
+        if i < planted:
+            own = rng.integers(0, 2**63, 17, dtype=np.uint64)
+            sets.append(np.sort(np.concatenate([rng.choice(sets[-1], 103, replace=False), own])))
+    return sets, np.array([shingler.minwise(x) for x in sets])
+
+
+def found_by_all_roots(minwise, sketch, least_equal=80, **settings):
+    """Candidates of all roots, each branched like a node of the table; of crowds, pairs of neighbours."""
+    ids, hits = np.arange(len(sketch)), set()
+    for root in range(sum(M.ROOTS)):
+        order = np.argsort(minwise[:, root], kind="stable")
+        for own in np.split(order, np.flatnonzero(np.diff(minwise[order, root].astype(np.int64))) + 1):
+            pairs, crowds = M.branch(ids[own], ids[own], sketch[own], least_equal, seed=root, **settings)
+            hits |= pairs.union(*({(x, x + 1) for x in set(c.tolist()) & set((c - 1).tolist())} for c in crowds))
+    return hits
+
+
+def test_pairs_at_the_border_in_a_large_loose_crowd():
+    planted = 600
+    sets, minwise = loose_crowd(3000, planted)
+    similarity = lambda x, y: len(np.intersect1d(x, y)) / len(np.union1d(x, y))
+    assert 0.75 <= similarity(sets[0], sets[1]) < 0.76
+    assert 0.40 < np.mean([similarity(x, y) for x, y in zip(sets[-300:], sets[-299:])]) < 0.45
+    sketch = (minwise >> np.uint64(40)).astype(np.uint8)
+    want = {(2 * i, 2 * i + 1) for i in range(planted) if (sketch[2 * i] == sketch[2 * i + 1]).sum() >= 80}
+    hits = found_by_all_roots(minwise, sketch, small=16, depth=40)
+    assert len(want) >= 0.99 * planted and len(want - hits) <= 1  # the target of one in a thousand
+
+
+def test_children_of_a_node_choose_different_coordinates(spark):
+    sketch = bytes(range(M.COORDINATES))
+    rows = [(node, 1, 1, bytearray(sketch)) for node in range(4000)]
+    nodes = spark.createDataFrame(rows, "node long, cls long, part long, sketch binary")
+    for spread in (1.75, 2.5):
+        got = [r.node for r in M._children(nodes, spread).collect()]
+        assert len(set(got)) == len(got) and abs(len(got) / len(rows) - spread) < 0.05
