@@ -4,7 +4,8 @@ The standard library's parser streams events; they are cut into lines at block b
 tags met while it was read, the characters of links and the elements it stands in. The ratio of plain characters to tags is
 smoothed over neighbouring lines with a Gaussian, and two-means clustering of the smoothed ratios sets the threshold between
 content and the rest. The lines above it vote, with their characters, for the region they stand in: the article or main
-element with most votes, else the smallest element that holds nearly all of them. All lines of that region are the text, so
+element with most votes, else the smallest element that holds nearly all of them, widened while what is added is headings
+and plain text (one long block may hold nearly all votes of an article). All lines of that region are the text, so
 short lines and headings inside it stay; elements that never hold article text (menus, headers, footers, sidebars, forms,
 scripts, styles, and blocks marked as adverts, notices or comments by class, id or role) are left out everywhere.
 
@@ -41,6 +42,8 @@ MARKED = re.compile(
 )
 SIGMA = 1.0
 NEARLY_ALL = 0.9
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PLAIN = 20  # characters outside links to a tag, from which a line beside a region is plain text
 
 
 class Lines(HTMLParser):
@@ -147,6 +150,26 @@ def _ancestors(parents: list[int], element: int) -> list[int]:
     return found
 
 
+def _widened(page: Lines, ratios: np.ndarray, chosen: np.ndarray, chains: dict[int, list[int]], region: int) -> int:
+    """The outermost element around ``region`` on the way to which nearly all added text is content, headings or plain text.
+
+    A very long block raises the threshold over the short ones beside it, so plain text counts by ``PLAIN`` too.
+    """
+    around = _ancestors(page.parents, region)
+    place = {e: i for i, e in enumerate(around)}
+    added, good = [0] * len(around), [0] * len(around)
+    for (text, _, _, element), ratio, is_content in zip(page.lines, ratios, chosen):
+        i = next(place[e] for e in chains[element] if e in place)
+        added[i] += len(text)
+        if is_content and ratio > 0 or ratio >= PLAIN or any(page.names[e] in HEADINGS for e in chains[element]):
+            good[i] += len(text)
+    for i in range(1, len(around)):
+        if good[i] < NEARLY_ALL * added[i]:
+            break
+        region = around[i]
+    return region
+
+
 def content_lines(page: Lines, sigma: float = SIGMA) -> list[str]:
     """The lines of the content region."""
     if not page.lines:
@@ -172,6 +195,7 @@ def content_lines(page: Lines, sigma: float = SIGMA) -> list[str]:
         region = max(e for e in votes if votes[e] >= NEARLY_ALL * total)
         if page.names[region] == "p":  # a lone paragraph stands for the block around it
             region = page.parents[region]
+        region = _widened(page, ratios, chosen, chains, region)
     return [text for text, _, _, element in page.lines if region in chains[element]]
 
 

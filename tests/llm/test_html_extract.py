@@ -4,6 +4,7 @@ import html
 import re
 
 import pandas as pd
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -35,6 +36,15 @@ def test_page_without_article_element():
     assert text in H.main_text(page)
 
 
+@pytest.mark.parametrize("block", ["div", "section", "blockquote", "pre", "ul><li"])
+def test_dominant_block_of_a_page_without_article(block):
+    """One block holds over 90% of the text; the heading and the paragraphs beside it belong to the article as well."""
+    menu = "".join(f"<li><a href=x>A page of the site {i}</a>" for i in range(12))
+    page = f"""<body><ul>{menu}</ul><div><h2>Title</h2><p>{LONG}</p><{block}>{LONG * 40}</{block.split(">")[0]}><p>{LONG}</p></div></body>"""
+    text = LONG.strip()
+    assert H.main_text(page).split("\n") == ["Title", text, (LONG * 40).strip(), text]
+
+
 def test_comments_inside_an_article_and_teasers():
     page = f"""<main><article><header><h1>Head</h1></header><p>{LONG * 3}</p><section class="comments"><p>{LONG}</p></section>
     <footer>by me</footer></article><article><p>teaser</p></article></main>"""
