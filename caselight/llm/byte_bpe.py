@@ -17,7 +17,6 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from functools import lru_cache
 from struct import pack
 
 import numpy as np
@@ -30,7 +29,6 @@ LONG_PIECE = 64
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 
-@lru_cache(maxsize=1)
 def byte_characters() -> list[str]:
     """The printable character that stands for each byte: itself where printable, else one from 256 on."""
     plain = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]

@@ -135,11 +135,15 @@ def missed(percent: float, spread: float, levels: int) -> float:
     return float((odds * (1 - same + same * lost) ** sum(ROOTS)).sum())
 
 
-@lru_cache
+_BRANCHING: dict[int, float] = {}  # a plain dictionary travels with the functions; a cached function would not
+
+
 def branching(percent: int) -> float:
     """How many coordinates a node chooses on average: the fewest that lose ``MISSED`` at most through all levels."""
-    steps = np.arange(1, 4.01, 1 / 16).tolist()
-    return next((b for b in steps if missed(percent, b, 2 * DEPTH) <= MISSED), steps[-1])
+    if percent not in _BRANCHING:
+        steps = np.arange(1, 4.01, 1 / 16).tolist()
+        _BRANCHING[percent] = next((b for b in steps if missed(percent, b, 2 * DEPTH) <= MISSED), steps[-1])
+    return _BRANCHING[percent]
 
 
 def _sketch_rows(column) -> np.ndarray:
