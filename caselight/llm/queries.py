@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselight.llm import (
-    ann_search, byte_bpe, chat_format, embedding_dedup, html_extract, language_id, minhash_dedup, packing, token_file,
-    toxicity,
+    ann_search, byte_bpe, chat_format, embedding_dedup, html_extract, language_id, merkle_manifest, minhash_dedup, packing,
+    token_file, toxicity,
 )
 from caselight.llm.common import prepare, stored, table
 
@@ -171,3 +171,18 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_posting_list_search")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_search.search(table(spark, sf_dir, "embeddings"), is_query=F.col("vec_id") % 100 == 0, k=10)
+
+
+@query("op11_merkle_manifest")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    # Rows whose decimal doc_id has a crc32 divisible by 5 are tampered: their text's A-Z lower-cased.
+    touched = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    lowered = F.when(touched, F.translate("text", _CAPITALS, _CAPITALS.lower())).otherwise(F.col("text"))
+    marked = documents.withColumn("_tampered", merkle_manifest.leaf_digest(text=lowered))
+    proved, _layout = merkle_manifest.manifest(marked, carry=["_tampered"])
+    folded = merkle_manifest.fold("_tampered")
+    return proved.select(
+        "doc_id", "leaf", "subroot", "root", merkle_manifest.proof_digest().alias("proof_sha256"),
+        folded.alias("folded_root"), (folded == F.col("root")).alias("verified"),
+    )

@@ -17,8 +17,9 @@ COLUMNS = {
     "op8": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "double"},
     "op9": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
     "op10": {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint", "ids_crc32": "bigint"},
+    "op11": {"doc_id": "bigint", "leaf": "string", "subroot": "string", "root": "string", "proof_sha256": "string", "folded_root": "string", "verified": "boolean"},
 }
-ROWS = {"op1": "documents", "op2": "pages", "op3": "documents", "op4": "documents", "op6": "embeddings", "op9": "documents", "op10": "documents"}
+ROWS = {"op1": "documents", "op2": "pages", "op3": "documents", "op4": "documents", "op6": "embeddings", "op9": "documents", "op10": "documents", "op11": "documents"}
 
 
 def test_registered_in_the_contract():
