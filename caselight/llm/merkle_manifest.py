@@ -101,7 +101,7 @@ def leaf_digest(doc_id="doc_id", source="source", lang="lang", n_chars="n_chars"
     return F.sha2(F.concat(*[_field(p) for p in parts]), 256)
 
 
-def _positions(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def positions(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """``df`` with ``idx`` (0-based place within equal ``keys``, by ``order``) and ``n`` (rows of those keys).
 
     One range sort; the ranks come from counts per (partition, keys), summed in partition order per key, so no key is one
@@ -260,11 +260,11 @@ def manifest(docs: DataFrame, carry: list[str] = (), name: str = "merkle") -> tu
         "doc_id", *carry, F.col("source").isNull().alias("t_null"), F.coalesce(source, F.lit("")).alias("t_key"),
         leaf_digest().alias("hash"),
     )
-    placed = _positions(rows, TREE, [F.col("doc_id").asc_nulls_first(), F.col("hash")])
+    placed = positions(rows, TREE, [F.col("doc_id").asc_nulls_first(), F.col("hash")])
     placed, nodes, runs, most = _tree(placed, TREE, f"{name}-source")
 
     heads = nodes.filter(F.col("level") == F.col("h") - 1).select(*TREE, "hash")
-    tops = _positions(heads.withColumn("t_top", F.lit(0)), ["t_top"], [F.col("t_null").desc(), F.col("t_key")])
+    tops = positions(heads.withColumn("t_top", F.lit(0)), ["t_top"], [F.col("t_null").desc(), F.col("t_key")])
     tops, top_nodes, top_runs, top_most = _tree(tops, ["t_top"], f"{name}-top")
     top_groups = _downward(top_nodes, top_runs, ["t_top"], top_most, None, f"{name}-top")
     above = _finish(tops, top_groups, ["t_top"], top_most, None).select(*TREE, F.col("steps").alias("up"), "root")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from caselight.llm import (
     ann_search, byte_bpe, chat_format, embedding_dedup, html_extract, language_id, merkle_manifest, minhash_dedup, packing,
-    token_file, toxicity,
+    phrase_mining, token_file, toxicity,
 )
 from caselight.llm.common import prepare, stored, table
 
@@ -186,3 +186,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "leaf", "subroot", "root", merkle_manifest.proof_digest().alias("proof_sha256"),
         folded.alias("folded_root"), (folded == F.col("root")).alias("verified"),
     )
+
+
+@query("op12_phrase_collocations")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_mining.collocations(table(spark, sf_dir, "documents"), least=100, top=2000)

@@ -18,6 +18,7 @@ COLUMNS = {
     "op9": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
     "op10": {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint", "ids_crc32": "bigint"},
     "op11": {"doc_id": "bigint", "leaf": "string", "subroot": "string", "root": "string", "proof_sha256": "string", "folded_root": "string", "verified": "boolean"},
+    "op12": {"lang": "string", "rank": "bigint", "phrase": "string", "a": "bigint", "l": "bigint", "r": "bigint", "n": "bigint", "score": "bigint"},
 }
 ROWS = {"op1": "documents", "op2": "pages", "op3": "documents", "op4": "documents", "op6": "embeddings", "op9": "documents", "op10": "documents", "op11": "documents"}
 
