@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from caselight.llm import (
     ann_search, byte_bpe, chat_format, embedding_dedup, html_extract, language_id, merkle_manifest, minhash_dedup, packing,
-    phrase_mining, token_file, toxicity,
+    phrase_mining, quality_rules, token_file, toxicity,
 )
 from caselight.llm.common import prepare, stored, table
 
@@ -191,3 +191,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_phrase_collocations")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_mining.collocations(table(spark, sf_dir, "documents"), least=100, top=2000)
+
+
+@query("op13_quality_rules")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    scored = quality_rules.score(table(spark, sf_dir, "documents"), labels.filter(F.col("quality") == 1))
+    return scored.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )

@@ -19,8 +19,9 @@ COLUMNS = {
     "op10": {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint", "ids_crc32": "bigint"},
     "op11": {"doc_id": "bigint", "leaf": "string", "subroot": "string", "root": "string", "proof_sha256": "string", "folded_root": "string", "verified": "boolean"},
     "op12": {"lang": "string", "rank": "bigint", "phrase": "string", "a": "bigint", "l": "bigint", "r": "bigint", "n": "bigint", "score": "bigint"},
+    "op13": {"doc_id": "bigint", "n_words": "bigint", "word_chars": "bigint", "n_symbols": "bigint", "n_dup_lines": "bigint", "n_repeat_words": "bigint", "base_failed": "boolean", "kept": "boolean"},
 }
-ROWS = {"op1": "documents", "op2": "pages", "op3": "documents", "op4": "documents", "op6": "embeddings", "op9": "documents", "op10": "documents", "op11": "documents"}
+ROWS = {"op1": "documents", "op2": "pages", "op3": "documents", "op4": "documents", "op6": "embeddings", "op9": "documents", "op10": "documents", "op11": "documents", "op13": "documents"}
 
 
 def test_registered_in_the_contract():
