@@ -22,7 +22,9 @@ by quotient and remainder). Up to 2**25 - 1 frequent words per lang fit; beyond
 clear error rather than drop any.
 
 Scale. Word counts are partial aggregates; ids come from one range sort (no lang is one task); the occurrences meet their
-ids in one join that adaptive execution splits for very frequent words; the top of each lang is taken first per
+ids in the task when at most ``MOST_SHIPPED_WORDS`` frequent words exist (that table is then broadcast, about 40
+bytes a word), else in one join that adaptive execution splits for very frequent words; a task merges its keys into
+one sorted filter per ``FLUSH_KEYS`` keys; the top of each lang is taken first per
 (lang, hash bucket) and then over those tops, so no lang's candidates are one task.
 
 Edge cases: null or empty texts and an empty table give no words; null lang is ``und``; a phrase of repeated words counts
@@ -49,6 +51,8 @@ QUOTIENT_BITS = 16
 ROUND_KEYS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93]
 BUCKETS = 64  # first-stage groups of a lang's candidates when taking its top
 EXACT = "decimal(38,0)"
+MOST_SHIPPED_WORDS = 2_000_000  # frequent words (all langs) sent to every task; with more, ids come by a join
+FLUSH_KEYS = 1 << 21  # packed keys a task holds before it sorts and emits them as one filter
 
 _M64 = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -138,14 +142,18 @@ def ngrams(sequence: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(his), np.concatenate(los)
 
 
-def words_of(docs: DataFrame) -> DataFrame:
-    """(lang, row, piece, pos, word) of every word occurrence; ``row`` tells the document's rows apart."""
+def pieces_of(docs: DataFrame) -> DataFrame:
+    """(lang, row, pieces): every text cut into pieces, written once; ``row`` tells the document's rows apart."""
     lowered = F.translate(F.coalesce(F.col("text"), F.lit("")), CAPITALS, CAPITALS.lower())
     rows = docs.select(
         F.coalesce(F.col("lang"), F.lit("und")).alias("lang"), F.monotonically_increasing_id().alias("row"),
         F.split(lowered, PIECE_BREAK).alias("pieces"),
     )
-    rows = stored(rows, "phrase-rows")
+    return stored(rows, "phrase-rows")
+
+
+def words_of(rows: DataFrame) -> DataFrame:
+    """(lang, row, piece, pos, word) of every word occurrence of ``pieces_of``'s rows."""
     pieces = rows.select("lang", "row", F.posexplode("pieces").alias("piece", "body"))
     return pieces.select("lang", "row", "piece", F.posexplode(F.split("body", WORD_BREAK)).alias("pos", "word")).filter(
         F.col("word") != ""
@@ -154,7 +162,8 @@ def words_of(docs: DataFrame) -> DataFrame:
 
 def count_phrases(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame, DataFrame, int]:
     """(counts, vocabulary, totals, bits): f of every phrase of 1 to 5 frequent words per lang, as ids w1..w5."""
-    occurrences = words_of(docs)  # read twice from the stored pieces; the exploded words are never written
+    pieces = pieces_of(docs)
+    occurrences = words_of(pieces)  # the exploded words are never written
     counted = occurrences.groupBy("lang", "word").agg(F.count("*").alias("c"))
     totals = counted.groupBy("lang").agg(F.sum("c").alias("n"))
     frequent = counted.filter(F.col("c") >= least)
@@ -165,32 +174,65 @@ def count_phrases(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame, Da
     if bits * LONGEST > 128:
         raise ValueError(f"{most} frequent words in one lang do not fit five to 128 bits")
 
-    coded = occurrences.join(vocabulary.select("lang", "word", "id"), ["lang", "word"], "left").fillna(0, ["id"])
-    sequences = coded.groupBy("lang", "row", "piece").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "id"))), lambda s: s["id"]).alias("ids")
-    )
+    if vocabulary.count() <= MOST_SHIPPED_WORDS:
+        # Small enough to travel: every task codes its own texts, and no word occurrence is exchanged.
+        known: dict[str, dict[str, int]] = {}
+        for row in vocabulary.select("lang", "word", "id").toLocalIterator():
+            known.setdefault(row.lang, {})[row.word] = row.id
+        shipped = docs.sparkSession.sparkContext.broadcast(known)
+        source = pieces.select("lang", "pieces")
+
+        def coded(batch: pa.RecordBatch) -> Iterator[tuple[str, list[int]]]:
+            import re
+
+            cut = re.compile("[\x20\x09]+")
+            for lang, parts in zip(batch.column("lang").to_pylist(), batch.column("pieces").to_pylist()):
+                ids = shipped.value.get(lang, {})
+                for piece in parts:
+                    yield lang, [ids.get(w, 0) for w in cut.split(piece) if w]
+    else:
+        joined = occurrences.join(vocabulary.select("lang", "word", "id"), ["lang", "word"], "left").fillna(0, ["id"])
+        source = joined.groupBy("lang", "row", "piece").agg(
+            F.transform(F.array_sort(F.collect_list(F.struct("pos", "id"))), lambda s: s["id"]).alias("ids")
+        ).select("lang", "ids")
+
+        def coded(batch: pa.RecordBatch) -> Iterator[tuple[str, list[int]]]:
+            yield from zip(batch.column("lang").to_pylist(), batch.column("ids").to_pylist())
 
     def filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs = batch.column("lang").to_pylist()
-            ids = batch.column("ids").to_pylist()
-            table: dict[str, list[np.ndarray]] = {}
-            for lang, seq in zip(langs, ids):
-                # A zero between pieces keeps phrases inside them; sequences of one lang go in one pass.
-                table.setdefault(lang, []).extend([np.asarray(seq, dtype=np.int64), np.zeros(1, np.int64)])
-            for lang, parts in table.items():
-                hi, lo = ngrams(np.concatenate(parts), bits)
-                if not len(hi):
-                    continue
-                q, rest, low = split_key(*permute(hi, lo))
-                keys = np.stack([q.astype(np.int64), rest, low], axis=1)
-                keys, count = np.unique(keys, axis=0, return_counts=True)
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        size = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for lang, parts in held.items():
+                hi, lo = permute(np.concatenate([h for h, _ in parts]), np.concatenate([l for _, l in parts]))
+                order = np.lexsort((lo, hi))
+                hi, lo = hi[order], lo[order]
+                starts = np.concatenate([[0], np.flatnonzero((hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1])) + 1])
+                count = np.diff(np.append(starts, len(hi)))
+                q, rest, low = split_key(hi[starts], lo[starts])
                 yield pa.RecordBatch.from_pydict({
-                    "lang": pa.array([lang] * len(keys), pa.string()), "q": pa.array(keys[:, 0].astype(np.int32)),
-                    "rest": pa.array(keys[:, 1]), "lo": pa.array(keys[:, 2]), "f": pa.array(count.astype(np.int64)),
+                    "lang": pa.array([lang] * len(q), pa.string()), "q": pa.array(q), "rest": pa.array(rest),
+                    "lo": pa.array(low), "f": pa.array(count.astype(np.int64)),
                 })
+            held.clear()
 
-    shards = sequences.select("lang", "ids").mapInArrow(filters, "lang string, q int, rest bigint, lo bigint, f bigint")
+        for batch in batches:
+            flat: dict[str, list[int]] = {}
+            for lang, seq in coded(batch):
+                # A zero between pieces keeps phrases inside them; pieces of one lang go in one pass.
+                flat.setdefault(lang, []).extend([*seq, 0])
+            for lang, seq in flat.items():
+                hi, lo = ngrams(np.asarray(seq, dtype=np.int64), bits)
+                if len(hi):
+                    held.setdefault(lang, []).append((hi, lo))
+                    size += len(hi)
+            if size >= FLUSH_KEYS:
+                yield from flush()
+                size = 0
+        yield from flush()
+
+    shards = source.mapInArrow(filters, "lang string, q int, rest bigint, lo bigint, f bigint")
     merged = shards.groupBy("lang", "q", "rest", "lo").agg(F.sum("f").alias("f"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
