@@ -12,6 +12,7 @@ MODULES = [
     "evaluation_queries",
     "share_queries",
     "stream_queries",
+    "rule_queries",
 ]
 
 

@@ -18,7 +18,7 @@ SAMPLE = [
     "row_chunks", "html_article", "recursive_chunks", "md_header_path", "budget_select", "tfidf_topk_scoped",
     "retrieve_context", "hybrid_union", "vector_topk_filtered", "multi_query_merge", "semantic_reuse", "ann_recall",
     "slot_fill", "stream_slot_fill", "memory_switch", "fenced_json_parse", "eval_job", "nucleus_share",
-    "weighted_sample", "stream_volume",
+    "weighted_sample", "stream_volume", "ticket_classify_rules",
 ]
 QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
 
