@@ -16,9 +16,13 @@ Counting quotient filters. Only words with ``least`` occurrences or more can be
 such word gets a dense id per lang (1 upwards, by count descending) and any other word ends a phrase: that pruning is
 exact. Up to five ids of ``bits`` bits are packed into 128 bits, which a four-round Feistel network permutes invertibly;
 the top ``QUOTIENT_BITS`` of the result are the quotient, the other 112 the full remainder, so nothing is lost and the
-original phrase is recovered by the inverse network. Every task builds the filter of its pieces as a sorted table of
-(quotient, remainder, count); Spark merges the filters of all tasks by key (partial aggregation first, then one exchange
-by quotient and remainder). Up to 2**25 - 1 frequent words per lang fit; beyond that ``count_phrases`` fails with a
+original phrase is recovered by the inverse network. Texts are coded to ids once and written. Phrases are counted
+level by level, 2 to 5 words: a phrase can be frequent, or be a part of a candidate, only if both its parts one word
+shorter are frequent, so each level counts only phrases whose two parts passed the level before (their 64-bit
+fingerprints travel to every task when at most ``MOST_SHIPPED_GRAMS``, else that level keeps every phrase; a
+fingerprint that matches by chance only keeps a phrase too many, counted exactly). Every task builds the filter of its
+texts as a sorted table of (quotient, remainder, count); Spark merges the filters of all tasks by key (partial
+aggregation first, then one exchange by quotient and remainder). Up to 2**25 - 1 frequent words per lang fit; beyond that ``count_phrases`` fails with a
 clear error rather than drop any.
 
 Scale. Word counts are partial aggregates; ids come from one range sort (no lang is one task); the occurrences meet their
@@ -53,6 +57,7 @@ BUCKETS = 64  # first-stage groups of a lang's candidates when taking its top
 EXACT = "decimal(38,0)"
 MOST_SHIPPED_WORDS = 2_000_000  # frequent words (all langs) sent to every task; with more, ids come by a join
 FLUSH_KEYS = 1 << 21  # packed keys a task holds before it sorts and emits them as one filter
+MOST_SHIPPED_GRAMS = 4_000_000  # frequent phrases of one length sent to every task (8 bytes each) to prune longer ones
 
 _M64 = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -122,24 +127,24 @@ def join_key(q: np.ndarray, rest: np.ndarray, lo: np.ndarray) -> tuple[np.ndarra
     return hi, lo.view(np.uint64)
 
 
-def ngrams(sequence: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Packed keys of every run of 1 to ``LONGEST`` nonzero ids of ``sequence`` (zeros end phrases)."""
-    his, los = [], []
-    n = len(sequence)
-    for length in range(1, LONGEST + 1):
-        if n < length:
-            break
-        window = np.lib.stride_tricks.sliding_window_view(sequence, length)
-        whole = window[(window != 0).all(axis=1)]
-        if len(whole):
-            padded = np.zeros((len(whole), LONGEST), dtype=np.int64)
-            padded[:, :length] = whole
-            hi, lo = pack(padded, bits)
-            his.append(hi)
-            los.append(lo)
-    if not his:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    return np.concatenate(his), np.concatenate(los)
+def windows(flat: np.ndarray, length: int) -> np.ndarray:
+    """Rows of ``length`` consecutive nonzero ids of ``flat`` (zeros end phrases)."""
+    if len(flat) < length:
+        return np.zeros((0, length), dtype=np.int64)
+    every = np.lib.stride_tricks.sliding_window_view(flat, length)
+    return every[(every != 0).all(axis=1)]
+
+
+def packed(rows: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Packed 128-bit keys of rows of up to ``LONGEST`` ids (zeros after them)."""
+    full = np.zeros((len(rows), LONGEST), dtype=np.int64)
+    full[:, : rows.shape[1]] = rows
+    return pack(full, bits)
+
+
+def fingerprint(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    """64 bits of a packed key, for membership tests that may only err by keeping too much."""
+    return _mix(hi ^ _mix(lo, ROUND_KEYS[0]), ROUND_KEYS[1])
 
 
 def pieces_of(docs: DataFrame) -> DataFrame:
@@ -174,30 +179,65 @@ def count_phrases(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame, Da
     if bits * LONGEST > 128:
         raise ValueError(f"{most} frequent words in one lang do not fit five to 128 bits")
 
+    coded = stored(_coded(docs, pieces, occurrences, vocabulary), "phrase-ids")
+
+    levels = [vocabulary.select("lang", F.col("c").alias("f"), F.col("id").alias("w1"), *[F.lit(0).cast("bigint").alias(f"w{i}") for i in range(2, LONGEST + 1)])]
+    shipped = None  # fingerprints of the frequent phrases one word shorter, per lang; None: keep every phrase
+    for length in range(2, LONGEST + 1):
+        found = stored(_level(coded, length, bits, shipped), f"phrase-level-{length}")
+        levels.append(found)
+        frequent = found.filter(F.col("f") >= least)
+        if frequent.isEmpty():
+            break  # no longer phrase can be frequent
+        shipped = _fingerprints(frequent, bits)
+    counts = levels[0]
+    for more in levels[1:]:
+        counts = counts.unionByName(more)
+    return counts, vocabulary, totals, bits
+
+
+def _coded(docs: DataFrame, pieces: DataFrame, occurrences: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(lang, ids): each row's frequent-word ids, 0 for other words and after every piece."""
     if vocabulary.count() <= MOST_SHIPPED_WORDS:
         # Small enough to travel: every task codes its own texts, and no word occurrence is exchanged.
         known: dict[str, dict[str, int]] = {}
         for row in vocabulary.select("lang", "word", "id").toLocalIterator():
             known.setdefault(row.lang, {})[row.word] = row.id
-        shipped = docs.sparkSession.sparkContext.broadcast(known)
-        source = pieces.select("lang", "pieces")
+        words = docs.sparkSession.sparkContext.broadcast(known)
 
-        def coded(batch: pa.RecordBatch) -> Iterator[tuple[str, list[int]]]:
+        def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             import re
 
-            cut = re.compile("[\x20\x09]+")
-            for lang, parts in zip(batch.column("lang").to_pylist(), batch.column("pieces").to_pylist()):
-                ids = shipped.value.get(lang, {})
-                for piece in parts:
-                    yield lang, [ids.get(w, 0) for w in cut.split(piece) if w]
-    else:
-        joined = occurrences.join(vocabulary.select("lang", "word", "id"), ["lang", "word"], "left").fillna(0, ["id"])
-        source = joined.groupBy("lang", "row", "piece").agg(
-            F.transform(F.array_sort(F.collect_list(F.struct("pos", "id"))), lambda s: s["id"]).alias("ids")
-        ).select("lang", "ids")
-
-        def coded(batch: pa.RecordBatch) -> Iterator[tuple[str, list[int]]]:
-            yield from zip(batch.column("lang").to_pylist(), batch.column("ids").to_pylist())
+            cut = re.compile("[\\x20\\x09]+")
+            for batch in batches:
+                out = []
+                for lang, parts in zip(batch.column("lang").to_pylist(), batch.column("pieces").to_pylist()):
+                    ids = words.value.get(lang, {})
+                    out.append([i for piece in parts for i in [*(ids.get(w, 0) for w in cut.split(piece) if w), 0]])
+                yield pa.RecordBatch.from_pydict({"lang": batch.column("lang"), "ids": pa.array(out, pa.list_(pa.int32()))})
+
+        return pieces.select("lang", "pieces").mapInArrow(code, "lang string, ids array<int>")
+    joined = occurrences.join(vocabulary.select("lang", "word", "id"), ["lang", "word"], "left").fillna(0, ["id"])
+    return joined.groupBy("lang", "row", "piece").agg(
+        F.concat(
+            F.transform(F.array_sort(F.collect_list(F.struct("pos", "id"))), lambda s: s["id"].cast("int")), F.array(F.lit(0))
+        ).alias("ids")
+    ).select("lang", "ids")
+
+
+def _fingerprints(frequent: DataFrame, bits: int):
+    """Broadcast fingerprints of ``frequent`` phrases per lang, or None when there are more than ``MOST_SHIPPED_GRAMS``."""
+    if frequent.count() > MOST_SHIPPED_GRAMS:
+        return None
+    held: dict[str, list[np.ndarray]] = {}
+    for row in frequent.toLocalIterator():
+        held.setdefault(row.lang, []).append(np.array([row[f"w{i + 1}"] for i in range(LONGEST)], dtype=np.int64))
+    table = {lang: np.unique(fingerprint(*pack(np.stack(rows), bits))) for lang, rows in held.items()}
+    return frequent.sparkSession.sparkContext.broadcast(table)
+
+
+def _level(coded: DataFrame, length: int, bits: int, shipped) -> DataFrame:
+    """Counts (lang, f, w1..w5) of the phrases of ``length`` words whose two shorter parts are frequent."""
 
     def filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
@@ -208,7 +248,7 @@ def count_phrases(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame, Da
                 hi, lo = permute(np.concatenate([h for h, _ in parts]), np.concatenate([l for _, l in parts]))
                 order = np.lexsort((lo, hi))
                 hi, lo = hi[order], lo[order]
-                starts = np.concatenate([[0], np.flatnonzero((hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1])) + 1])
+                starts = np.concatenate([[0], np.flatnonzero((hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1])) + 1]).astype(np.int64)
                 count = np.diff(np.append(starts, len(hi)))
                 q, rest, low = split_key(hi[starts], lo[starts])
                 yield pa.RecordBatch.from_pydict({
@@ -218,21 +258,29 @@ def count_phrases(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame, Da
             held.clear()
 
         for batch in batches:
-            flat: dict[str, list[int]] = {}
-            for lang, seq in coded(batch):
-                # A zero between pieces keeps phrases inside them; pieces of one lang go in one pass.
-                flat.setdefault(lang, []).extend([*seq, 0])
-            for lang, seq in flat.items():
-                hi, lo = ngrams(np.asarray(seq, dtype=np.int64), bits)
-                if len(hi):
-                    held.setdefault(lang, []).append((hi, lo))
-                    size += len(hi)
+            langs = batch.column("lang").to_pylist()
+            lists = batch.column("ids")
+            for lang in set(langs):
+                mine = lists.filter(pa.array([x == lang for x in langs]))
+                flat = mine.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                rows = windows(flat, length)
+                if shipped is not None and len(rows):
+                    known = shipped.value.get(lang, np.zeros(0, np.uint64))
+                    keep = np.ones(len(rows), dtype=bool)
+                    for part in (rows[:, :-1], rows[:, 1:]):
+                        marks = fingerprint(*packed(part, bits))
+                        at = np.minimum(np.searchsorted(known, marks), max(len(known) - 1, 0))
+                        keep &= (known[at] == marks) if len(known) else False
+                    rows = rows[keep]
+                if len(rows):
+                    held.setdefault(lang, []).append(packed(rows, bits))
+                    size += len(rows)
             if size >= FLUSH_KEYS:
                 yield from flush()
                 size = 0
         yield from flush()
 
-    shards = source.mapInArrow(filters, "lang string, q int, rest bigint, lo bigint, f bigint")
+    shards = coded.mapInArrow(filters, "lang string, q int, rest bigint, lo bigint, f bigint")
     merged = shards.groupBy("lang", "q", "rest", "lo").agg(F.sum("f").alias("f"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,8 +295,7 @@ def count_phrases(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame, Da
             yield pa.RecordBatch.from_pydict(out)
 
     schema = "lang string, f bigint, " + ", ".join(f"w{i + 1} bigint" for i in range(LONGEST))
-    counts = stored(merged.mapInArrow(decode, schema), "phrase-counts")
-    return counts, vocabulary, totals, bits
+    return merged.mapInArrow(decode, schema)
 
 
 def _length() -> F.Column:

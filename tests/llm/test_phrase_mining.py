@@ -76,3 +76,9 @@ def test_join_path_when_the_vocabulary_is_large(spark, monkeypatch):
     monkeypatch.setattr(phrase_mining, "MOST_SHIPPED_WORDS", 0)
     got = phrase_mining.collocations(frame(spark, TEXTS), least=2, top=2000).collect()
     assert sorted(tuple(r) for r in got) == plain(TEXTS, 2, 2000)
+
+
+def test_levels_without_pruning(spark, monkeypatch):
+    monkeypatch.setattr(phrase_mining, "MOST_SHIPPED_GRAMS", 0)
+    got = phrase_mining.collocations(frame(spark, TEXTS), least=2, top=2000).collect()
+    assert sorted(tuple(r) for r in got) == plain(TEXTS, 2, 2000)
