@@ -427,3 +427,30 @@ def stream_ingest(spark, sf_dir):
     return store.groupBy("category").agg(
         F.count_distinct("doc_id").alias("documents"), F.sum(F.length("chunk").cast("long")).alias("chars")
     )
+
+
+@query(
+    "ingest_runs",
+    """SELECT 1 AS run, 'succeeded' AS status, count(*) AS rows_in, sum(n_chars)::BIGINT AS chars,
+              NULL::VARCHAR AS error FROM documents
+       UNION ALL SELECT 2, 'rejected', 0, 0, 'another run holds the lease'
+       UNION ALL SELECT 3, 'failed', 0, 0, 'AnalysisException'""",
+)
+def ingest_runs(spark, sf_dir):
+    """Three ingest runs and their status: one over all documents, one while another holds the lease, one that fails."""
+    from caselight.streaming import runs
+
+    folder = scratch_path(spark, "ingest-runs")
+    table_of_runs, lease = f"{folder}/runs", runs.Lease(spark, f"{folder}/lease")
+    order = [runs.ingest_run(spark, f"{sf_dir}/documents.parquet", f"{folder}/store", table_of_runs, lease)]
+    lease.take("another run")  # held by someone else: the next run must be turned away
+    order.append(runs.ingest_run(spark, f"{sf_dir}/documents.parquet", f"{folder}/store", table_of_runs, lease))
+    lease.give_back()
+    try:
+        runs.ingest_run(spark, f"{sf_dir}/no-such-table.parquet", f"{folder}/broken", table_of_runs, lease)
+    except Exception:  # noqa: BLE001 - the failure is in the runs table
+        pass
+    numbered = spark.createDataFrame([(i + 1, r) for i, r in enumerate(order)], "run int, run_id string")
+    status = runs.run_status(spark, table_of_runs)
+    known = status.join(numbered, "run_id", "left").withColumn("run", F.coalesce("run", F.lit(3)))
+    return known.select("run", "status", "rows_in", "chars", "error")

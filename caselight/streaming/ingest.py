@@ -20,10 +20,11 @@ def file_stream(spark: SparkSession, path: str, files_per_batch: int | None = No
     return reader.parquet(path)
 
 
-def run_to_end(stream: DataFrame, path: str, **options: str) -> DataFrame:
+def run_to_end(stream: DataFrame, path: str, on_start=None, **options: str) -> DataFrame:
     """Write all that is there to a file sink under ``path`` and read it back.
 
-    The checkpoint next to the output makes a repeated call take up only new files.
+    The checkpoint next to the output makes a repeated call take up only new files. ``on_start`` is called with the
+    started query.
     """
     query = (
         stream.writeStream.format("parquet")
@@ -34,12 +35,21 @@ def run_to_end(stream: DataFrame, path: str, **options: str) -> DataFrame:
         .trigger(availableNow=True)
         .start()
     )
+    if on_start is not None:
+        on_start(query)
     query.awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/data")
 
 
-def ingest_stream(spark: SparkSession, source: str, path: str, size: int = 512) -> DataFrame:
-    """Chunk store of document files: (doc_id, category, ordinal, chunk)."""
+def ingest_stream(
+    spark: SparkSession, source: str, path: str, size: int = 512, shape=None, on_start=None, shape_rows=None
+) -> DataFrame:
+    """Chunk store of document files: (doc_id, category, ordinal, chunk).
+
+    ``shape_rows`` and ``shape`` may change the stream of documents and of chunks (as ``observe`` does); ``on_start``
+    sees the query.
+    """
     documents = file_stream(spark, source).withColumn("category", F.col("lang"))
+    documents = shape_rows(documents) if shape_rows else documents
     chunks = explode_chunks(documents, char_windows(F.col("text"), size, 0), "doc_id", "category")
-    return run_to_end(chunks, path)
+    return run_to_end(shape(chunks) if shape else chunks, path, on_start)

@@ -142,3 +142,24 @@ def test_text_folder_in_name_order(spark, tmp_path):
         (tmp_path / name).write_text(f"text of {name}\nsecond line")
     found = rows.load_text_folder(spark, str(tmp_path)).collect()
     assert [(r.source, r.text) for r in found] == [(n, f"text of {n}\nsecond line") for n in ("a.md", "b.md")]
+
+
+def test_ingest_runs_take_turns_and_keep_their_status(spark, tmp_path):
+    from caselight.streaming import runs
+
+    lease = runs.Lease(spark, str(tmp_path / "lease"))
+    assert lease.take("a") and not lease.take("b")
+    lease.stale_seconds = -1  # the holder is taken for dead
+    assert lease.take("c")
+    lease.give_back()
+    lease.stale_seconds = 3600
+    source = "/root/testdata/sf0.001/documents.parquet"
+    done = runs.ingest_run(spark, source, str(tmp_path / "store"), str(tmp_path / "runs"), lease)
+    with pytest.raises(Exception):
+        runs.ingest_run(spark, str(tmp_path / "missing.parquet"), str(tmp_path / "store2"), str(tmp_path / "runs"), lease)
+    status = {r.run_id: r for r in runs.run_status(spark, str(tmp_path / "runs")).collect()}
+    assert status[done].status == "succeeded" and status[done].batches >= 1
+    assert status[done].rows_in == spark.read.parquet(source).count()
+    assert status[done].finished_at >= status[done].started_at
+    assert sorted(r.status for r in status.values()) == ["failed", "succeeded"]
+    assert lease.take("free again")
