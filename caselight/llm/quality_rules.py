@@ -123,8 +123,10 @@ def score(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     )
     raw_cells = np.zeros(BUCKETS, dtype=np.float64)
     target_cells = np.zeros(BUCKETS, dtype=np.float64)
-    for part in model.toLocalIterator():  # at most BUCKETS rows
-        raw_cells[part.cell], target_cells[part.cell] = part.raw, part.target
+    counted = model.toArrow()  # at most BUCKETS rows of three numbers, in columns
+    where = counted.column("cell").to_numpy(zero_copy_only=False)
+    raw_cells[where] = counted.column("raw").to_numpy(zero_copy_only=False)
+    target_cells[where] = counted.column("target").to_numpy(zero_copy_only=False)
     shared = spark.sparkContext.broadcast((raw_cells, target_cells))
 
     def ratio(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
