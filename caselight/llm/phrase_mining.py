@@ -148,13 +148,12 @@ def fingerprint(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
 
 
 def pieces_of(docs: DataFrame) -> DataFrame:
-    """(lang, row, pieces): every text cut into pieces, written once; ``row`` tells the document's rows apart."""
+    """(lang, row, pieces): every text cut into pieces; ``row`` tells the document's rows apart within one job."""
     lowered = F.translate(F.coalesce(F.col("text"), F.lit("")), CAPITALS, CAPITALS.lower())
-    rows = docs.select(
+    return docs.select(
         F.coalesce(F.col("lang"), F.lit("und")).alias("lang"), F.monotonically_increasing_id().alias("row"),
         F.split(lowered, PIECE_BREAK).alias("pieces"),
     )
-    return stored(rows, "phrase-rows")
 
 
 def words_of(rows: DataFrame) -> DataFrame:
@@ -166,10 +165,10 @@ def words_of(rows: DataFrame) -> DataFrame:
 
 
 def count_phrases(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame, DataFrame, int]:
-    """(counts, vocabulary, totals, bits): f of every phrase of 1 to 5 frequent words per lang, as ids w1..w5."""
+    """(counts, vocabulary, totals, bits): f of every phrase of 1 to 5 words with f >= least per lang, as ids w1..w5."""
     pieces = pieces_of(docs)
     occurrences = words_of(pieces)  # the exploded words are never written
-    counted = occurrences.groupBy("lang", "word").agg(F.count("*").alias("c"))
+    counted = stored(occurrences.groupBy("lang", "word").agg(F.count("*").alias("c")), "phrase-words")
     totals = counted.groupBy("lang").agg(F.sum("c").alias("n"))
     frequent = counted.filter(F.col("c") >= least)
     vocabulary = positions(frequent, ["lang"], [F.col("c").desc(), F.col("word")])
@@ -184,9 +183,9 @@ def count_phrases(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame, Da
     levels = [vocabulary.select("lang", F.col("c").alias("f"), F.col("id").alias("w1"), *[F.lit(0).cast("bigint").alias(f"w{i}") for i in range(2, LONGEST + 1)])]
     shipped = None  # fingerprints of the frequent phrases one word shorter, per lang; None: keep every phrase
     for length in range(2, LONGEST + 1):
-        found = stored(_level(coded, length, bits, shipped), f"phrase-level-{length}")
-        levels.append(found)
-        frequent = found.filter(F.col("f") >= least)
+        # Only frequent phrases are ever looked up: candidates and their parts all have f >= least.
+        frequent = stored(_level(coded, length, bits, shipped, least), f"phrase-level-{length}")
+        levels.append(frequent)
         if frequent.isEmpty():
             break  # no longer phrase can be frequent
         shipped = _fingerprints(frequent, bits)
@@ -236,8 +235,8 @@ def _fingerprints(frequent: DataFrame, bits: int):
     return frequent.sparkSession.sparkContext.broadcast(table)
 
 
-def _level(coded: DataFrame, length: int, bits: int, shipped) -> DataFrame:
-    """Counts (lang, f, w1..w5) of the phrases of ``length`` words whose two shorter parts are frequent."""
+def _level(coded: DataFrame, length: int, bits: int, shipped, least: int) -> DataFrame:
+    """Counts (lang, f, w1..w5) of the phrases of ``length`` words that occur ``least`` times or more."""
 
     def filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
@@ -281,7 +280,7 @@ def _level(coded: DataFrame, length: int, bits: int, shipped) -> DataFrame:
         yield from flush()
 
     shards = coded.mapInArrow(filters, "lang string, q int, rest bigint, lo bigint, f bigint")
-    merged = shards.groupBy("lang", "q", "rest", "lo").agg(F.sum("f").alias("f"))
+    merged = shards.groupBy("lang", "q", "rest", "lo").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
