@@ -15,9 +15,10 @@ itself) and add-``SMOOTHING`` on every cell. The threshold is deterministic: the
 (``HISTOGRAM_BINS`` bins of width ``BIN``), so it follows all labelled rows and needs no sort of them. ``kept``: not
 ``base_failed`` and score at least the threshold.
 
-Scale. One Python pass per Arrow batch tokenises each text once and gives its base counts and its sparse cell counts;
-the two multinomials are partial aggregates over at most ``BUCKETS`` cells, and that table (16 bytes a cell) is the
-only broadcast. Scores are a second pass over the stored cell counts; no document meets another.
+Scale. Texts are read twice and nothing per cell is written: the first pass adds each task's cell counts (two arrays of
+``BUCKETS`` in the worker) and hands on only the cells it used, which Spark sums over tasks; that table (16 bytes a cell)
+is the only broadcast. The second pass tokenises again and gives the base counts and the score; only those numbers per
+row are written. No document meets another.
 
 Edge cases: null or empty text: zeros, score 0, ``base_failed`` (too few words), not kept; without trusted documents the
 threshold is the lowest bin, so the method keeps every document that passes the base rules; repeated rows count each
@@ -84,73 +85,79 @@ def cells(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(hashed, return_counts=True)
 
 
-def _measured(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """Per row: doc_id, trusted flag, base counts and sparse cell counts."""
+def _marked(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """doc_id, text and whether the row is in the trusted target."""
     marked = docs.select("doc_id", "text").join(trusted.select("doc_id", F.lit(True).alias("_t")), "doc_id", "left")
-    marked = marked.select("doc_id", "text", F.coalesce("_t", F.lit(False)).alias("trusted"))
+    return marked.select("doc_id", "text", F.coalesce("_t", F.lit(False)).alias("trusted"))
 
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _model(marked: DataFrame) -> DataFrame:
+    """(cell, raw, target): counts of every cell over all texts and over the trusted ones; each task adds its own first."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        raw = np.zeros(BUCKETS, dtype=np.int64)
+        target = np.zeros(BUCKETS, dtype=np.int64)
         for batch in batches:
-            out: dict[str, list] = {k: [] for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "cells", "counts")}
-            for text in batch.column("text").to_pylist():
-                *base, words = base_counts(text)
-                for key, value in zip(list(out)[:5], base):
-                    out[key].append(value)
-                where, count = cells(words)
-                out["cells"].append(where.astype(np.int32).tolist())
-                out["counts"].append(count.astype(np.int32).tolist())
-            typed = {k: pa.array(v, pa.int64()) for k, v in out.items() if k not in ("cells", "counts")}
-            typed |= {k: pa.array(out[k], pa.list_(pa.int32())) for k in ("cells", "counts")}
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "trusted": batch.column("trusted"), **typed})
+            for text, own in zip(batch.column("text").to_pylist(), batch.column("trusted").to_pylist()):
+                where, many = cells(base_counts(text)[5])
+                raw[where] += many
+                if own:
+                    target[where] += many
+        used = np.flatnonzero(raw)
+        yield pa.RecordBatch.from_pydict({"cell": pa.array(used.astype(np.int32)), "raw": pa.array(raw[used]), "target": pa.array(target[used])})
 
-    schema = (
-        "doc_id bigint, trusted boolean, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
-        "n_repeat_words bigint, cells array<int>, counts array<int>"
-    )
-    return marked.mapInArrow(measure, schema)
+    partial = marked.mapInArrow(count, "cell int, raw bigint, target bigint")
+    return partial.groupBy("cell").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
 
 def score(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """Base counts, ``base_failed``, ``score`` (log-likelihood ratio per feature), ``threshold`` and ``kept`` per row.
 
-    ``trusted``: a table with the doc_id of every trusted-target document (repeats are fine).
+    ``trusted``: a table with the doc_id of every trusted-target document (repeats are fine). Texts are read twice (for
+    the model, then for the scores); nothing per cell is written.
     """
     spark = docs.sparkSession
-    measured = stored(_measured(docs, trusted.select("doc_id").distinct()), "quality-cells")
-    exploded = measured.select("trusted", F.explode(F.arrays_zip("cells", "counts")).alias("c"))
-    model = exploded.groupBy(F.col("c.cells").alias("cell")).agg(
-        F.sum("c.counts").alias("raw"), F.sum(F.when(F.col("trusted"), F.col("c.counts")).otherwise(0)).alias("target")
-    )
+    marked = _marked(docs, trusted.select("doc_id").distinct())
     raw_cells = np.zeros(BUCKETS, dtype=np.float64)
     target_cells = np.zeros(BUCKETS, dtype=np.float64)
-    counted = model.toArrow()  # at most BUCKETS rows of three numbers, in columns
+    counted = _model(marked).toArrow()  # at most BUCKETS rows of three numbers, in columns
     where = counted.column("cell").to_numpy(zero_copy_only=False)
     raw_cells[where] = counted.column("raw").to_numpy(zero_copy_only=False)
     target_cells[where] = counted.column("target").to_numpy(zero_copy_only=False)
     shared = spark.sparkContext.broadcast((raw_cells, target_cells))
 
-    def ratio(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = shared.value
         raw_total, target_total = raw.sum(), target.sum()
+        names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
         for batch in batches:
+            out: dict[str, list] = {k: [] for k in names}
             found = []
-            for own, where, count in zip(batch.column("trusted").to_pylist(), batch.column("cells").to_pylist(), batch.column("counts").to_pylist()):
-                if not where:
+            for text, own in zip(batch.column("text").to_pylist(), batch.column("trusted").to_pylist()):
+                *base, words = base_counts(text)
+                for key, value in zip(names, base):
+                    out[key].append(value)
+                where, count = cells(words)
+                if not len(where):
                     found.append(0.0)
                     continue
-                where, count = np.asarray(where), np.asarray(count, dtype=np.float64)
+                count = count.astype(np.float64)
                 size = count.sum()
                 mine = count if own else 0.0
                 p_target = (target[where] - mine + SMOOTHING) / (target_total - (size if own else 0.0) + SMOOTHING * BUCKETS)
                 p_raw = (raw[where] - count + SMOOTHING) / (raw_total - size + SMOOTHING * BUCKETS)
                 found.append(float((count * (np.log(p_target) - np.log(p_raw))).sum() / size))
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "_row": batch.column("_row"), "score": pa.array(found, pa.float64())})
+            typed = {k: pa.array(v, pa.int64()) for k, v in out.items()}
+            yield pa.RecordBatch.from_pydict(
+                {"doc_id": batch.column("doc_id"), "trusted": batch.column("trusted"), **typed, "score": pa.array(found, pa.float64())}
+            )
 
-    measured = measured.withColumn("_row", F.monotonically_increasing_id())
-    measured = stored(measured, "quality-rows")
-    scores = measured.select("doc_id", "_row", "trusted", "cells", "counts").mapInArrow(ratio, "doc_id bigint, _row bigint, score double")
+    schema = (
+        "doc_id bigint, trusted boolean, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
+        "n_repeat_words bigint, score double"
+    )
     base_failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    rows = stored(measured.drop("cells", "counts").join(scores.drop("doc_id"), "_row").withColumn("base_failed", base_failed), "quality-scores")
+    rows = stored(marked.mapInArrow(measure, schema).withColumn("base_failed", base_failed), "quality-scores")
 
     half = HISTOGRAM_BINS // 2
     binned = F.least(F.greatest(F.floor(F.col("score") / BIN), F.lit(-half)), F.lit(half - 1)).cast("int")
@@ -164,4 +171,4 @@ def score(docs: DataFrame, trusted: DataFrame) -> DataFrame:
                 break
             below += c["count"]
     kept = ~F.col("base_failed") & (F.col("score") >= F.lit(threshold))
-    return rows.withColumn("threshold", F.lit(float(threshold))).withColumn("kept", kept).drop("_row", "trusted")
+    return rows.withColumn("threshold", F.lit(float(threshold))).withColumn("kept", kept).drop("trusted")
