@@ -9,8 +9,8 @@ checked by the regular expression. A rule with an alternative without a run of t
 such rules (at most ``MOST_OPEN`` of them, else a clear error) are one ordered CASE over every text, so nothing is missed.
 
 Scale: trigrams are distinct per text; their counts are partial aggregates; the anchor table has one row per
-alternative and is broadcast only where adaptive execution measures it small; no pair of a text and a rule is formed
-without a shared anchor. A null text matches no rule and takes the default.
+alternative and is sent to the texts when the rules hold at most ``MOST_SENT`` trigrams, so that only matches are
+exchanged; no text side is ever sent, and no pair of a text and a rule is formed without a shared anchor. A null text matches no rule and takes the default.
 """
 
 from __future__ import annotations
@@ -18,10 +18,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caselight.session import rows_if_bounded
+from caselight.session import cut_lineage, rows_if_bounded
 
 GRAM = 3
 MOST_OPEN = 512
+MOST_SENT = 200_000  # trigrams of rules that are sent to the texts; with more, both meet in an exchange
 _QUANTIFIERS = "?*{"
 
 
@@ -140,12 +141,12 @@ def _trigrams_of_rule(pattern: str) -> list[list[str]] | None:
     return found
 
 
-def text_trigrams(texts: DataFrame, key: str, low: Column) -> DataFrame:
-    """(key, gram): the distinct trigrams of every text."""
+def text_trigrams(texts: DataFrame, kept: list[str], low: Column) -> DataFrame:
+    """(*kept, gram): the distinct trigrams of every text."""
     grams = F.array_distinct(
         F.transform(F.sequence(F.lit(1), F.greatest(F.length(low) - GRAM + 1, F.lit(1))), lambda k: F.substring(low, k, GRAM))
     )
-    return texts.select(key, F.explode(F.filter(grams, lambda g: F.length(g) == GRAM)).alias("gram"))
+    return texts.select(*kept, F.explode(F.filter(grams, lambda g: F.length(g) == GRAM)).alias("gram"))
 
 
 def first_rule(texts: DataFrame, key: str, text: str, rules: DataFrame) -> DataFrame:
@@ -163,26 +164,35 @@ def first_rule(texts: DataFrame, key: str, text: str, rules: DataFrame) -> DataF
 
     shape = "array<struct<alt:int,gram:string>>"
     to_grams = F.udf(lambda p: [{"alt": a, "gram": g} for a, g in grams_of(p)], shape)
-    marked = rules.select("priority", "pattern", to_grams("pattern").alias("grams"))
-    anchored = marked.filter(F.size("grams") > 0)
+    marked = cut_lineage(rules.select("priority", "pattern", to_grams("pattern").alias("grams")))
     open_rules = rows_if_bounded(
         marked.filter(F.size("grams") == 0).select("priority", "pattern").orderBy("priority"), MOST_OPEN
     )
     if open_rules is None:
         raise ValueError(f"more than {MOST_OPEN} rules have an alternative without a literal of {GRAM} characters")
 
-    wanted = anchored.select("priority", F.explode("grams").alias("g")).select("priority", "g.alt", "g.gram")
-    in_texts = text_trigrams(plain, key, F.col("low"))
-    counts = in_texts.join(wanted.select("gram").distinct(), "gram").groupBy("gram").agg(F.count("*").alias("df"))
+    # Of rules with one pattern only the first can be a text's first.
+    first_of = marked.filter(F.size("grams") > 0).groupBy("pattern").agg(
+        F.min("priority").alias("priority"), F.any_value("grams").alias("grams")
+    )
+    wanted = cut_lineage(first_of.select("priority", "pattern", F.explode("grams").alias("g")).select("priority", "pattern", "g.*"))
+    # Sizes of exploded texts are estimated far too low, so that each join is told which side may be sent.
+    sent = wanted.count() <= MOST_SENT
+    meet = F.broadcast if sent else (lambda side: side.hint("merge"))
+    anchored = plain.filter(F.col(key).isNotNull())
+    in_texts = text_trigrams(anchored, [key], F.col("low"))
+    counts = in_texts.join(meet(wanted.select("gram").distinct()), "gram").groupBy("gram").agg(F.count("*").alias("df"))
     rated = wanted.join(counts, "gram", "left").fillna(0, ["df"])
-    anchors = rated.groupBy("priority", "alt").agg(F.min(F.struct("df", "gram"))["gram"].alias("gram"))
-    candidates = in_texts.join(anchors.select("gram", "priority").distinct(), "gram").select(key, "priority").distinct()
-    checked = (
-        candidates.join(rules.select("priority", "pattern"), "priority")
-        .join(plain, key)
-        .filter(F.expr("low rlike concat('(?d)', pattern)"))
-        .select(key, "priority")
+    anchors = cut_lineage(
+        rated.groupBy("priority", "pattern", "alt").agg(F.min(F.struct("df", "gram"))["gram"].alias("gram"))
+        .select("gram", "priority", "pattern").distinct()
     )
+    if sent:  # texts stay where they are, from their trigrams to the check
+        candidates = text_trigrams(anchored, [key, "low"], F.col("low")).join(F.broadcast(anchors), "gram")
+    else:
+        met = in_texts.join(anchors.hint("merge"), "gram").select(key, "priority", "pattern").distinct()
+        candidates = met.join(anchored.hint("merge"), key)
+    checked = candidates.filter(F.expr("low rlike concat('(?d)', pattern)")).select(key, "priority")
     if open_rules:
         chain = None
         for row in open_rules:
@@ -190,4 +200,5 @@ def first_rule(texts: DataFrame, key: str, text: str, rules: DataFrame) -> DataF
             chain = F.when(hit, F.lit(row.priority)) if chain is None else chain.when(hit, F.lit(row.priority))
         checked = checked.unionByName(plain.select(key, chain.alias("priority")).filter(F.col("priority").isNotNull()))
     first = checked.groupBy(key).agg(F.min("priority").alias("priority"))
-    return first.join(rules.select("priority", "label", "confidence"), "priority").select(key, "priority", "label", "confidence")
+    told = rules.select("priority", "label", "confidence")
+    return first.join(meet(told), "priority").select(key, "priority", "label", "confidence")

@@ -99,7 +99,7 @@ def ticket_classify_rules(spark, sf_dir):
     first = rule_table.first_rule(tickets, "ticket_id", "text", rule_set(spark))
     short = word_count(F.col("text")) < rules.SHORT_TEXT_WORDS
     default = F.when(short, rules.DEFAULT_CONFIDENCE_SHORT).otherwise(rules.DEFAULT_CONFIDENCE_LONG)
-    return tickets.join(first, "ticket_id", "left").select(
+    return tickets.join(first.hint("merge"), "ticket_id", "left").select(
         "ticket_id",
         F.coalesce("label", F.lit(rules.DEFAULT_ISSUE)).alias("issue_type"),
         F.coalesce("confidence", default).alias("confidence"),

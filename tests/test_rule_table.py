@@ -56,3 +56,21 @@ def test_against_every_rule_on_every_text(spark):
 def test_plan_has_no_pair_of_every_text_and_rule(spark):
     plan = rule_queries.ticket_classify_rules(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_no_exploded_texts_are_sent(spark):
+    lines = rule_queries.ticket_classify_rules(spark, SF)._jdf.queryExecution().executedPlan().toString().split("\n")
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    for n, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            below = next((m for m in range(n + 1, len(lines)) if depth[m] <= depth[n]), len(lines))
+            assert not any("FileScan" in inner for inner in lines[n:below])
+
+
+def test_rules_with_many_trigrams_are_met_in_an_exchange(spark, monkeypatch):
+    monkeypatch.setattr(rule_table, "MOST_SENT", 10)
+    tickets = data.event_tickets(spark, SF)
+    many = rule_table.first_rule(tickets, "ticket_id", "text", rule_queries.rule_set(spark))
+    monkeypatch.undo()
+    few = rule_table.first_rule(tickets, "ticket_id", "text", rule_queries.rule_set(spark))
+    assert many.exceptAll(few).count() == 0 and few.exceptAll(many).count() == 0
