@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caselight.functions.text import TOKEN_CHARS, word_runs
+from caselight.operators import term_scan
 from caselight.operators.ranking import keep_first, rank_key
 from caselight.session import cut_lineage
 
@@ -191,6 +192,32 @@ def top_k(scored: DataFrame, key: str, k: int, *tie: str) -> DataFrame:
     return keep_first(scored, [key], [rank_key(F.col("score")).desc(), *[F.col(c) for c in tie]], k)
 
 
+def _asked_terms(vectors: DataFrame, key: str) -> DataFrame:
+    return vectors.select(key, F.explode("terms").alias("t")).select(key, "t.term", F.col("t.weight").alias("w"), "t.hot")
+
+
+def _sendable(asked: DataFrame):
+    """The rows as an Arrow table when there are few enough to be sent to the tasks, else None."""
+    rows = asked.limit(term_scan.MOST_ASKED + 1).toArrow()
+    return rows if rows.num_rows <= term_scan.MOST_ASKED else None
+
+
+def _first_chunks(query_terms: DataFrame, key: str, index: TermIndex, chunks: Column, k: int) -> DataFrame:
+    """(key, source, ordinal, score, rank): the first k of the chunks for which ``chunks`` is true.
+
+    A bounded set of questions is scored where the index is read; for a larger one, postings and questions meet by term.
+    """
+    sent = _sendable(_asked_terms(query_terms, key))
+    if sent is None:
+        return top_k(score_pairs(query_terms, key, index).filter(chunks), key, k, *CHUNK_KEY)
+    kind = query_terms.schema[key].dataType.simpleString()
+    return top_k(term_scan.scan(index.vectors.filter(chunks), sent, key, kind, k), key, k, *CHUNK_KEY)
+
+
+def _all_but(source: str | None) -> Column:
+    return F.lit(True) if source is None else F.col("source") != source
+
+
 def search(
     queries: DataFrame,
     index: TermIndex,
@@ -199,45 +226,60 @@ def search(
     stop_words: list[str] | None = None,
 ) -> DataFrame:
     """(query_id, source, ordinal, score, rank): positive scores only, one source left out on request."""
-    scored = score_pairs(query_vectors(queries, index, "text", stop_words), "query_id", index)
-    if exclude_source is not None:
-        scored = scored.filter(F.col("source") != exclude_source)
-    return top_k(scored, "query_id", k, *CHUNK_KEY)
+    return _first_chunks(query_vectors(queries, index, "text", stop_words), "query_id", index, _all_but(exclude_source), k)
 
 
 SCORE_SLACK = 4e-9  # scores are ranked in steps of 1e-9; bounds are taken a little looser
 
 
-def pruned_candidates(asked: DataFrame, index: TermIndex, k: int, exclude_source: str | None = None) -> DataFrame:
-    """(query_id, source, ordinal) of every chunk that can be among the first k, from ``asked`` (query_id, term, w, hot).
-
-    The rare words of a question are scored first; its k-th partial score is a floor, as the others only add. Words whose
-    largest possible contributions together stay under the floor cannot bring a chunk in on their own, so only
-    the other words are looked up, and a chunk whose partial score cannot reach the floor with all the rest is dropped.
-    """
-    allowed = F.lit(True) if exclude_source is None else F.col("source") != exclude_source
-    postings = index.weights().filter(allowed)
+def _judged(asked: DataFrame, index: TermIndex, k: int, exclude_source: str | None) -> DataFrame:
+    """``asked`` with ``late`` (its word cannot bring a chunk in), and per question ``floor`` and ``rest``."""
     bounded = cut_lineage(asked.join(index.peaks, "term").withColumn("bound", F.col("w") * F.col("peak")))
-
-    def partial(terms: DataFrame, of: DataFrame) -> DataFrame:
-        met = of.drop("hot").join(terms.select("query_id", "term", "w"), "term")
-        return met.groupBy("query_id", *CHUNK_KEY).agg(F.sum(F.col("weight") * F.col("w")).alias("score"))
-
-    rare = partial(bounded.filter(~F.col("hot")), postings.filter(~F.col("hot")))
+    as_terms = bounded.filter(~F.col("hot")).groupBy("query_id").agg(
+        F.collect_list(F.struct("term", F.col("w").alias("weight"), "hot")).alias("terms")
+    )
+    rare = _first_chunks(as_terms, "query_id", index, _all_but(exclude_source), k)
     floors = (
-        top_k(rare, "query_id", k, *CHUNK_KEY).groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("floor"))
+        rare.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("floor"))
         .filter(F.col("n") == k).select("query_id", (F.col("floor") - SCORE_SLACK).alias("floor"))
     )
     so_far = Window.partitionBy("query_id").orderBy("bound", "term").rowsBetween(Window.unboundedPreceding, 0)
-    judged = cut_lineage(
+    marked = (
         bounded.join(floors, "query_id", "left").withColumn("floor", F.coalesce("floor", F.lit(0.0)))
-        .withColumn("spare", F.sum("bound").over(so_far) < F.col("floor"))
+        .withColumn("late", F.sum("bound").over(so_far) < F.col("floor"))
+    )
+    spare = F.sum(F.when(F.col("late"), F.col("bound"))).over(Window.partitionBy("query_id"))
+    return cut_lineage(
+        marked.withColumn("rest", F.coalesce(spare, F.lit(0.0))).select("query_id", "term", "w", "hot", "late", "floor", "rest")
     )
-    rest = judged.groupBy("query_id").agg(
-        F.first("floor").alias("floor"), F.coalesce(F.sum(F.when(F.col("spare"), F.col("bound"))), F.lit(0.0)).alias("rest")
+
+
+def _pruned_scores(asked: DataFrame, index: TermIndex, k: int, exclude_source: str | None, first: int | None) -> DataFrame:
+    """(query_id, source, ordinal, score) of the chunks that pruning leaves, per task the ``first`` ones or all; whole scores."""
+    judged = _judged(asked, index, k, exclude_source)
+    allowed = _all_but(exclude_source)
+    sent = _sendable(judged)
+    if sent is not None:
+        kind = judged.schema["query_id"].dataType.simpleString()
+        return term_scan.scan(index.vectors.filter(allowed), sent, "query_id", kind, first)
+    met = index.weights().filter(allowed).drop("hot").join(judged.drop("hot"), "term")
+    product = F.col("weight") * F.col("w")
+    summed = met.groupBy("query_id", *CHUNK_KEY).agg(
+        F.sum(product).alias("score"), F.coalesce(F.sum(F.when(~F.col("late"), product)), F.lit(0.0)).alias("early"),
+        F.first("floor").alias("floor"), F.first("rest").alias("rest"),
     )
-    found = partial(judged.filter(~F.col("spare")), postings).join(rest, "query_id")
-    return found.filter(F.col("score") + F.col("rest") >= F.col("floor")).select("query_id", *CHUNK_KEY)
+    reached = (F.col("early") > 0) & (F.col("early") + F.col("rest") >= F.col("floor"))
+    return summed.filter(reached).select("query_id", *CHUNK_KEY, "score")
+
+
+def pruned_candidates(asked: DataFrame, index: TermIndex, k: int, exclude_source: str | None = None) -> DataFrame:
+    """(query_id, source, ordinal) of every chunk that can be among the first k, from ``asked`` (query_id, term, w, hot).
+
+    The rare words of a question are scored first; its k-th partial score is a floor, as the others only add. Words whose
+    largest possible contributions together stay under the floor cannot bring a chunk in on their own, so only
+    the other words are looked up, and a chunk whose partial score cannot reach the floor with all the rest is dropped.
+    """
+    return _pruned_scores(asked, index, k, exclude_source, None).drop("score")
 
 
 def search_pruned(
@@ -247,17 +289,12 @@ def search_pruned(
     exclude_source: str | None = None,
     stop_words: list[str] | None = None,
 ) -> DataFrame:
-    """The rows of ``search``, exactly, without scoring each chunk that shares only common words with a question."""
-    vectors = query_vectors(queries, index, "text", stop_words)
-    asked = cut_lineage(
-        vectors.select("query_id", F.explode("terms").alias("t")).select("query_id", "t.term", F.col("t.weight").alias("w"), "t.hot")
-    )
-    held = pruned_candidates(asked, index, k, exclude_source).join(index.vectors, CHUNK_KEY)
-    terms = held.select("query_id", *CHUNK_KEY, F.explode("terms").alias("t")).select("query_id", *CHUNK_KEY, "t.term", "t.weight")
-    scored = terms.join(asked.select("query_id", "term", "w"), ["query_id", "term"]).groupBy("query_id", *CHUNK_KEY).agg(
-        F.sum(F.col("weight") * F.col("w")).alias("score")
-    )
-    return top_k(scored, "query_id", k, *CHUNK_KEY)
+    """The rows of ``search``, exactly, without scoring each chunk that shares only common words with a question.
+
+    Where the questions are sent to the tasks, a task's own k-th partial score raises the floor as it reads on.
+    """
+    asked = cut_lineage(_asked_terms(query_vectors(queries, index, "text", stop_words), "query_id"))
+    return top_k(_pruned_scores(asked, index, k, exclude_source, k), "query_id", k, *CHUNK_KEY)
 
 
 def search_by_signature(
@@ -269,10 +306,7 @@ def search_by_signature(
 ) -> tuple[DataFrame, DataFrame]:
     """As ``search`` for query sets with many repeats: (query_id, signature) and hits per signature."""
     named, distinct = signatures(query_vectors(queries, index, "text", stop_words))
-    scored = score_pairs(distinct, "signature", index)
-    if exclude_source is not None:
-        scored = scored.filter(F.col("source") != exclude_source)
-    return named, top_k(scored, "signature", k, *CHUNK_KEY)
+    return named, _first_chunks(distinct, "signature", index, _all_but(exclude_source), k)
 
 
 def search_scoped(
@@ -290,15 +324,16 @@ def search_scoped(
     next to its hits; the two are merged instead of pairing every query with every chunk.
     """
     scope = chunks.filter(F.col("source") == source).select(*CHUNK_KEY)
-    scored = score_pairs(query_vectors(queries, index, "text", stop_words), "query_id", index)
-    hits = scored.filter(F.col("source") == source)
+    asked = query_vectors(queries, index, "text", stop_words)
+    best = _first_chunks(asked, "query_id", index, F.col("source") == source, k).drop("rank")
     # With fewer than k hits, the first 2k chunks of the scope hold more than k without a score.
-    best = top_k(hits, "query_id", k, *CHUNK_KEY).drop("rank")
-    first = scope.orderBy(*CHUNK_KEY).limit(2 * k)
+    first = cut_lineage(scope.orderBy(*CHUNK_KEY).limit(2 * k))
+    near = index.vectors.join(F.broadcast(first.distinct()), CHUNK_KEY, "left_semi")  # at most 2k rows
+    scored = _first_chunks(asked, "query_id", TermIndex(near, index.idf, index.peaks), F.lit(True), 2 * k)
     fillers = (
         queries.select("query_id", F.lit(source).alias("source"))
-        .join(F.broadcast(first), "source")  # at most 2k rows
-        .join(hits.select("query_id", *CHUNK_KEY), ["query_id", *CHUNK_KEY], "left_anti")
+        .join(F.broadcast(first), "source")
+        .join(scored.select("query_id", *CHUNK_KEY), ["query_id", *CHUNK_KEY], "left_anti")
         .withColumn("score", F.lit(0.0))
     )
     return top_k(best.unionByName(fillers), "query_id", k, *CHUNK_KEY)

@@ -233,3 +233,31 @@ def test_pruned_search_is_exact_and_looks_at_few_chunks(spark, monkeypatch):
     terms = vectors.select("query_id", F.explode("terms").alias("t")).select("query_id", "t.term", F.col("t.weight").alias("w"), "t.hot")
     looked_at = term_index.pruned_candidates(terms, index, 3).count()
     assert looked_at < 20 * 400 / 10
+
+
+def test_questions_are_scored_where_the_index_is_read(spark, corpus_texts, monkeypatch):
+    chunks = chunk_table(spark, corpus_texts)
+    index = term_index.build_term_index(chunks)
+    asked = spark.createDataFrame(list(enumerate(["w1 w2 w2 common", "w5 w7", "zz only", "nothing"])), "query_id long, text string")
+
+    def rows():
+        found = [term_index.search(asked, index, 4, "src0"), term_index.search_pruned(asked, index, 4), term_index.search_scoped(asked, chunks, index, "src1", 3)]
+        return [sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in f.collect()) for f in found]
+
+    few = rows()
+    plan = term_index.search(asked, index, 4)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "_salt" not in plan
+    monkeypatch.setattr(term_index.term_scan, "MOST_ASKED", 0)
+    assert rows() == few
+    monkeypatch.undo()
+    monkeypatch.setattr(term_index.term_scan, "CELLS", 20)  # slices of a few chunks
+    assert rows() == few
+
+
+def test_scan_takes_null_keys_and_ties(spark):
+    held = [(None, 1, "aa bb"), ("s", None, "aa bb"), ("s", 2, "aa bb"), ("r", 3, "aa cc")]
+    chunks = spark.createDataFrame(held, "source string, ordinal long, text string")
+    index = term_index.build_term_index(chunks)
+    asked = spark.createDataFrame([(1, "bb")], "query_id int, text string")
+    found = sorted(term_index.search(asked, index, 3).collect(), key=lambda r: r["rank"])
+    assert [(r.source, r.ordinal) for r in found] == [(None, 1), ("s", None), ("s", 2)]
