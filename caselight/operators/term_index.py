@@ -95,9 +95,8 @@ def _vectors_of(postings: DataFrame, idf: DataFrame) -> DataFrame:
 
 
 def _peaks_of(vectors: DataFrame) -> DataFrame:
-    return vectors.select(F.explode("terms").alias("t")).groupBy(F.col("t.term").alias("term")).agg(
-        F.max("t.weight").alias("peak")
-    )
+    weights = vectors.select(F.explode("terms").alias("t")).select("t.term", "t.weight")
+    return weights.groupBy("term").agg(F.max("weight").alias("peak"))
 
 
 def build_term_index(
@@ -113,19 +112,71 @@ def build_term_index(
 def save_term_index(
     chunks: DataFrame, path: str, text: str = "text", stop_words: list[str] | None = None
 ) -> TermIndex:
-    """Write postings, then idf, then vectors below ``path``, each from what was written before it."""
+    """Write postings, then idf, then vectors below ``path``, each from what was written before it.
+
+    A chunk stays one row from its text to its weights. Frequent terms meet their idf in the tasks; only the
+    postings of rare terms are exchanged.
+    """
     spark = chunks.sparkSession
-    term_frequency(chunks, CHUNK_KEY, text, stop_words).write.mode("overwrite").parquet(f"{path}/postings")
-    postings = spark.read.parquet(f"{path}/postings")
-    _idf_of(postings, chunks).write.mode("overwrite").parquet(f"{path}/idf")
+    term_scan.term_counts(_merged(chunks, text), _kept_tokens(F.col(text), stop_words)).write.mode("overwrite").parquet(f"{path}/postings")
+    counted = spark.read.parquet(f"{path}/postings")
+    flat = counted.select(*CHUNK_KEY, F.explode("terms").alias("t")).select(*CHUNK_KEY, "t.*")
+    _idf_of(flat, chunks).write.mode("overwrite").parquet(f"{path}/idf")
     idf = spark.read.parquet(f"{path}/idf")
-    _vectors_of(postings, idf).write.mode("overwrite").parquet(f"{path}/vectors")
-    _peaks_of(spark.read.parquet(f"{path}/vectors")).write.mode("overwrite").parquet(f"{path}/peaks")
+    least = _least_sent_df(idf)
+    sent = idf.filter(F.col("df") >= least).select("term", "idf", "hot").toArrow()
+    if sent.num_rows < idf.count():
+        counted = _with_rare(counted, flat, idf, least)
+    term_scan.unit_terms(counted, sent).write.mode("overwrite").parquet(f"{path}/vectors")
     return load_term_index(spark, path)
 
 
+def _merged(chunks: DataFrame, text: str) -> DataFrame:
+    """One row per chunk key. Texts of repeated keys are put together, a line end between them, which is no part of a word."""
+    rows = chunks.select(*CHUNK_KEY, text)
+    if rows.groupBy(*CHUNK_KEY).agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        return rows
+    return rows.groupBy(*CHUNK_KEY).agg(F.array_join(F.collect_list(text), "\n").alias(text))
+
+
+def _kept_tokens(text: Column, stop_words: list[str] | None) -> Column:
+    def kept(word: Column) -> Column:
+        long_enough = F.length(word) >= TOKEN_CHARS
+        return long_enough & ~word.isin(stop_words) if stop_words else long_enough
+
+    return F.filter(word_runs(text), kept)
+
+
+MOST_SENT_TERMS = 200_000  # the most frequent terms, whose idf is sent to the tasks; they make up most postings
+
+
+def _least_sent_df(idf: DataFrame) -> int:
+    """The least power of two that no more than MOST_SENT_TERMS terms reach by their df."""
+    sizes = {r.b: r.n for r in idf.groupBy(F.floor(F.log2("df")).alias("b")).agg(F.count("*").alias("n")).collect()}
+    total, least = 0, 2 ** (max(sizes, default=0) + 1)
+    for b in sorted(sizes, reverse=True):
+        total += sizes[b]
+        if total > MOST_SENT_TERMS:
+            break
+        least = 2**b
+    return least
+
+
+def _with_rare(counted: DataFrame, flat: DataFrame, idf: DataFrame, least: int) -> DataFrame:
+    """Adds ``rare``: (term, idf, hot) of a chunk's terms below ``least``; only their postings are exchanged by term."""
+    frequent = F.broadcast(idf.filter(F.col("df") >= least).select("term"))
+    rare = flat.join(frequent, "term", "left_anti").hint("merge").join(
+        idf.filter(F.col("df") < least).select("term", "idf", "hot"), "term"
+    )
+    found = rare.groupBy(*CHUNK_KEY).agg(F.collect_list(F.struct("term", "idf", "hot")).alias("rare"))
+    named = found.select(*[F.col(c).alias(f"_{c}") for c in CHUNK_KEY], "rare")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in CHUNK_KEY]
+    return counted.hint("merge").join(named, same, "left").select(*CHUNK_KEY, "terms", "rare")
+
+
 def load_term_index(spark: SparkSession, path: str) -> TermIndex:
-    return TermIndex(*[spark.read.parquet(f"{path}/{part}") for part in ("vectors", "idf", "peaks")])
+    vectors, idf = [spark.read.parquet(f"{path}/{part}") for part in ("vectors", "idf")]
+    return TermIndex(vectors, idf, _peaks_of(vectors))
 
 
 def query_vectors(
@@ -234,7 +285,10 @@ SCORE_SLACK = 4e-9  # scores are ranked in steps of 1e-9; bounds are taken a lit
 
 def _judged(asked: DataFrame, index: TermIndex, k: int, exclude_source: str | None) -> DataFrame:
     """``asked`` with ``late`` (its word cannot bring a chunk in), and per question ``floor`` and ``rest``."""
-    bounded = cut_lineage(asked.join(index.peaks, "term").withColumn("bound", F.col("w") * F.col("peak")))
+    words = asked.select("term").distinct()
+    few = asked.count() <= term_scan.MOST_ASKED
+    peaks = index.peaks.join(F.broadcast(words) if few else words, "term", "left_semi")
+    bounded = cut_lineage(asked.join(peaks, "term").withColumn("bound", F.col("w") * F.col("peak")))
     as_terms = bounded.filter(~F.col("hot")).groupBy("query_id").agg(
         F.collect_list(F.struct("term", F.col("w").alias("weight"), "hot")).alias("terms")
     )

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from caselight.operators.ranking import STEP
 
@@ -53,9 +53,7 @@ def _sums(lists, row, code, weight, cells: int, width: int) -> np.ndarray:
 
 def _slice_hits(asked: Asked, terms: pa.Array, best: np.ndarray | None, place: np.ndarray, k: int | None):
     """(row, question, score) of one slice: the first k of each question, or all when k is None."""
-    lengths = pc.fill_null(pc.list_value_length(terms), 0).to_numpy(zero_copy_only=False)
-    row = np.repeat(np.arange(len(terms)), lengths)
-    flat = terms.flatten()
+    row, flat = _rows_of(terms), terms.flatten()
     found = pc.index_in(flat.field("term"), value_set=asked.terms.cast(flat.type.field("term").type))
     code = pc.fill_null(found, -1).to_numpy(zero_copy_only=False)
     held = code >= 0
@@ -95,7 +93,7 @@ def scan(vectors: DataFrame, asked: pa.Table, key: str, key_type: str, k: int |
     """
     sent = vectors.sparkSession.sparkContext.broadcast(asked)
     chunk_key = [c for c in vectors.columns if c != "terms"]
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in vectors.schema.fields if f.name != "terms")
+    kinds = _schema_without(vectors, "terms")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         questions = Asked(sent.value, key)
@@ -118,3 +116,70 @@ def scan(vectors: DataFrame, asked: pa.Table, key: str, key_type: str, k: int |
                     )
 
     return vectors.mapInArrow(search, f"`{key}` {key_type}, {kinds}, score double")
+
+
+def _rows_of(lists: pa.Array) -> np.ndarray:
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(lists)), lengths)
+
+
+def _listed(row: np.ndarray, n: int, **columns: pa.Array) -> pa.Array:
+    """Lists of structs, one per row number below n; ``row`` rises."""
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=n))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(list(columns.values()), names=list(columns)))
+
+
+def _schema_without(rows: DataFrame, *left_out: str) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name not in left_out)
+
+
+def term_counts(rows: DataFrame, tokens: Column) -> DataFrame:
+    """(source, ordinal, terms): the distinct tokens of every row with their number; rows without a token have none."""
+    key = rows.columns[:2]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("tokens")
+            coded = pc.dictionary_encode(lists.flatten())
+            words = coded.dictionary
+            pairs, tf = np.unique(_rows_of(lists) * max(len(words), 1) + np.asarray(coded.indices), return_counts=True)
+            row, code = np.divmod(pairs, max(len(words), 1))
+            held, place = np.unique(row, return_inverse=True)
+            terms = _listed(place, len(held), term=words.take(pa.array(code)), tf=pa.array(tf.astype(np.int64)))
+            yield pa.RecordBatch.from_arrays([*batch.select(key).take(pa.array(held)).columns, terms], names=[*key, "terms"])
+
+    named = rows.select(*key, tokens.alias("tokens"))
+    return named.mapInArrow(count, f"{_schema_without(named, 'tokens')}, terms array<struct<term: string, tf: bigint>>")
+
+
+def unit_terms(counted: DataFrame, idf: pa.Table) -> DataFrame:
+    """(source, ordinal, terms): weights tf * idf over their norm. ``idf`` (term, idf, hot) holds the frequent terms; the
+    others are in a row's ``rare``."""
+    sent = counted.sparkSession.sparkContext.broadcast(idf.combine_chunks())
+    key = [c for c in counted.columns if c not in ("terms", "rare")]
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = sent.value
+        names = known["term"].combine_chunks() if known.num_rows else pa.array([], pa.string())
+        factors, hots = np.asarray(known["idf"], dtype=float), np.asarray(known["hot"], dtype=bool)
+        for batch in batches:
+            lists = batch.column("terms")
+            flat, row = lists.flatten(), _rows_of(lists)
+            term = flat.field("term")
+            code = pc.fill_null(pc.index_in(term, value_set=names.cast(term.type)), -1).to_numpy(zero_copy_only=False)
+            factor, hot, rare = np.empty(len(row)), np.zeros(len(row), bool), code < 0
+            factor[~rare], hot[~rare] = factors[code[~rare]], hots[code[~rare]]
+            if rare.any():
+                own = batch.column("rare").flatten()
+                words = pc.dictionary_encode(pa.concat_arrays([term.filter(pa.array(rare)), own.field("term").cast(term.type)]))
+                pair = np.concatenate([row[rare], _rows_of(batch.column("rare"))]) * len(words.dictionary) + np.asarray(words.indices)
+                here, there = np.argsort(pair[: rare.sum()]), np.argsort(pair[rare.sum() :])
+                at = np.flatnonzero(rare)[here]
+                factor[at], hot[at] = np.asarray(own.field("idf"))[there], np.asarray(own.field("hot").to_numpy(zero_copy_only=False))[there]
+            weight = flat.field("tf").to_numpy(zero_copy_only=False) * factor
+            norm = np.sqrt(np.bincount(row, weights=weight * weight, minlength=len(lists)))
+            terms = _listed(row, len(lists), term=term, weight=pa.array(weight / norm[row]), hot=pa.array(hot))
+            yield pa.RecordBatch.from_arrays([*batch.select(key).columns, terms], names=[*key, "terms"])
+
+    kinds = _schema_without(counted, "terms", "rare")
+    return counted.mapInArrow(weigh, f"{kinds}, terms array<struct<term: string, weight: double, hot: boolean>>")

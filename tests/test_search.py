@@ -261,3 +261,15 @@ def test_scan_takes_null_keys_and_ties(spark):
     asked = spark.createDataFrame([(1, "bb")], "query_id int, text string")
     found = sorted(term_index.search(asked, index, 3).collect(), key=lambda r: r["rank"])
     assert [(r.source, r.ordinal) for r in found] == [(None, 1), ("s", None), ("s", 2)]
+
+
+def test_index_with_rare_terms_and_repeated_keys(spark, tmp_path, monkeypatch):
+    held = [("s", 1, "aa bb bb cc"), ("s", 1, "aa dd"), (None, 2, "aa ee"), ("s", None, "bb ff ee"), ("t", 3, None), ("t", 4, "!")]
+    chunks = spark.createDataFrame(held, "source string, ordinal long, text string")
+    built = term_index.build_term_index(chunks)
+    shown = lambda frame: sorted((tuple(round(v, 12) if isinstance(v, float) else v for v in r) for r in frame.collect()), key=str)
+    for sent in (200_000, 2, 0):
+        monkeypatch.setattr(term_index, "MOST_SENT_TERMS", sent)
+        stored = term_index.save_term_index(chunks, str(tmp_path / f"i{sent}"))
+        assert shown(built.weights()) == shown(stored.weights()) and shown(built.idf) == shown(stored.idf)
+        assert shown(built.peaks) == shown(stored.peaks)
