@@ -34,9 +34,9 @@ def _token_rows(rows: DataFrame, key: list[str], text: str, stop_words: list[str
 def term_frequency(
     rows: DataFrame, key: list[str], text: str = "text", stop_words: list[str] | None = None
 ) -> DataFrame:
-    """(key, term, tf). The partial aggregate folds each row's tokens before the exchange."""
+    """(key, term, tf). Texts, which are smaller than their tokens, are exchanged by key; the counting needs no exchange."""
     return (
-        _token_rows(rows, key, text, stop_words)
+        _token_rows(rows.select(*key, text).repartition(*key), key, text, stop_words)
         .groupBy(*key, "term")
         .agg(F.count("*").alias("tf"))
     )

@@ -273,3 +273,12 @@ def test_index_with_rare_terms_and_repeated_keys(spark, tmp_path, monkeypatch):
         stored = term_index.save_term_index(chunks, str(tmp_path / f"i{sent}"))
         assert shown(built.weights()) == shown(stored.weights()) and shown(built.idf) == shown(stored.idf)
         assert shown(built.peaks) == shown(stored.peaks)
+
+
+def test_texts_and_not_their_tokens_are_exchanged(spark):
+    rows = spark.createDataFrame([(1, "aa bb aa"), (2, "aa"), (1, "aa"), (None, "cc")], "doc_id long, text string")
+    counted = term_index.term_frequency(rows, ["doc_id"])
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 1 and "term" not in exchanges[0]
+    assert {tuple(r) for r in counted.collect()} == {(1, "aa", 3), (1, "bb", 1), (2, "aa", 1), (None, "cc", 1)}
