@@ -17,8 +17,9 @@ itself) and add-``SMOOTHING`` on every cell. The threshold is deterministic: the
 
 Scale. Texts are read twice and nothing per cell is written: the first pass adds each task's cell counts (two arrays of
 ``BUCKETS`` in the worker) and hands on only the cells it used, which Spark sums over tasks; that table (16 bytes a cell)
-is the only broadcast. The second pass tokenises again and gives the base counts and the score; only those numbers per
-row are written. No document meets another.
+is broadcast. Which documents are trusted is told in the tasks, by the broadcast doc_ids of the target (up to
+``MOST_SENT_IDS``; with more, one join exchanges the texts). The second pass tokenises again and gives the base counts
+and the score; only those numbers per row are written. No document meets another.
 
 Edge cases: null or empty text: zeros, score 0, ``base_failed`` (too few words), not kept; without trusted documents the
 threshold is the lowest bin, so the method keeps every document that passes the base rules; repeated rows count each
@@ -39,67 +40,92 @@ from pyspark.sql import functions as F
 from caselight.llm.common import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
-SYMBOLS = set("#*$%&|<>")
+SYMBOLS = "#*$%&|<>"
+BLANKS = " \t\n\v\f\r"
 LEAST_WORDS = 50
 BUCKETS = 1 << 20
+MOST_SENT_IDS = 8_000_000  # trusted doc_ids sent to every task (8 bytes each); with more, texts meet them in a join
 SMOOTHING = 0.1
 KEEP_TRUSTED = 0.98
 BIN = 0.005
 HISTOGRAM_BINS = 4000  # scores are clipped to +-BIN * HISTOGRAM_BINS / 2 for the histogram only
 
 
+def words_of(text: str | None) -> list[str]:
+    import re
+
+    return re.findall(WORD, text) if text else []
+
+
 def base_counts(text: str | None) -> tuple[int, int, int, int, int, list[str]]:
     """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, words) of one text."""
-    import regex
-
     if not text:
         return 0, 0, 0, 0, 0, []
-    words = regex.findall(WORD, text)
-    word_chars = sum(len(w) for w in words)
-    n_symbols = sum(1 for c in text if c in SYMBOLS)
-    seen: set[str] = set()
-    n_dup_lines = 0
-    has_word = regex.compile(r"[^\x20\x09-\x0D]")
-    for line in text.split("\n"):
-        if has_word.search(line):
-            n_dup_lines += line in seen
-            seen.add(line)
+    words = words_of(text)
+    word_chars = sum(map(len, words))
+    n_symbols = sum(map(text.count, SYMBOLS))
+    lines = [line for line in text.split("\n") if line.strip(BLANKS)]
     windows = list(zip(words, words[1:], words[2:]))
     often = Counter(windows)
-    covered = np.zeros(len(words), dtype=bool)
-    for i, window in enumerate(windows):
-        if often[window] >= 2:
-            covered[i : i + 3] = True
-    return len(words), word_chars, n_symbols, n_dup_lines, int(covered.sum()), words
-
-
-def cells(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashed cells of the lower-cased words and word pairs, with their counts."""
+    n_repeat_words = 0
+    if len(often) < len(windows):  # some window occurs again
+        covered = np.zeros(len(words), dtype=bool)
+        for i, window in enumerate(windows):
+            if often[window] >= 2:
+                covered[i : i + 3] = True
+        n_repeat_words = int(covered.sum())
+    return len(words), word_chars, n_symbols, len(lines) - len(set(lines)), n_repeat_words, words
+
+
+def hashed(words: list[str]) -> np.ndarray:
+    """The cell of every lower-cased word and word pair."""
     import xxhash
 
     low = [w.lower() for w in words]
-    features = low + [f"{a} {b}" for a, b in zip(low, low[1:])]
-    if not features:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    hashed = np.fromiter((xxhash.xxh64_intdigest(f) % BUCKETS for f in features), dtype=np.int64, count=len(features))
-    return np.unique(hashed, return_counts=True)
+    features = low + list(map(" ".join, zip(low, low[1:])))
+    return (np.array(list(map(xxhash.xxh64_intdigest, features)), dtype=np.uint64) % np.uint64(BUCKETS)).astype(np.int64)
+
 
+def cells(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashed cells of the lower-cased words and word pairs, with their counts."""
+    return np.unique(hashed(words), return_counts=True)
 
-def _marked(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """doc_id, text and whether the row is in the trusted target."""
-    marked = docs.select("doc_id", "text").join(trusted.select("doc_id", F.lit(True).alias("_t")), "doc_id", "left")
-    return marked.select("doc_id", "text", F.coalesce("_t", F.lit(False)).alias("trusted"))
 
+def _marked(docs: DataFrame, trusted: DataFrame):
+    """(rows, ids): doc_id and text, and the trusted doc_ids in order as a broadcast.
 
-def _model(marked: DataFrame) -> DataFrame:
+    More than ``MOST_SENT_IDS`` ids are not sent (None); the rows then have ``trusted`` from a join, which exchanges texts.
+    """
+    known = trusted.select("doc_id").filter(F.col("doc_id").isNotNull()).distinct()
+    rows = docs.select("doc_id", "text")
+    if known.count() <= MOST_SENT_IDS:
+        ids = np.sort(known.toArrow().column("doc_id").to_numpy().astype(np.int64))
+        return rows, docs.sparkSession.sparkContext.broadcast(ids)
+    marked = rows.join(known.withColumn("trusted", F.lit(True)), "doc_id", "left")
+    return marked.fillna(False, ["trusted"]), None
+
+
+def _own(batch: pa.RecordBatch, ids) -> np.ndarray:
+    """Which rows of a batch are trusted."""
+    if ids is None:
+        return batch.column("trusted").to_numpy(zero_copy_only=False)
+    known, asked = ids.value, batch.column("doc_id")
+    if not len(known):
+        return np.zeros(len(asked), dtype=bool)
+    wanted = asked.fill_null(0).to_numpy(zero_copy_only=False)
+    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    return (known[at] == wanted) & asked.is_valid().to_numpy(zero_copy_only=False)
+
+
+def _model(marked: DataFrame, ids) -> DataFrame:
     """(cell, raw, target): counts of every cell over all texts and over the trusted ones; each task adds its own first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw = np.zeros(BUCKETS, dtype=np.int64)
         target = np.zeros(BUCKETS, dtype=np.int64)
         for batch in batches:
-            for text, own in zip(batch.column("text").to_pylist(), batch.column("trusted").to_pylist()):
-                where, many = cells(base_counts(text)[5])
+            for text, own in zip(batch.column("text").to_pylist(), _own(batch, ids).tolist()):
+                where, many = cells(words_of(text))
                 raw[where] += many
                 if own:
                     target[where] += many
@@ -117,10 +143,10 @@ def score(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     the model, then for the scores); nothing per cell is written.
     """
     spark = docs.sparkSession
-    marked = _marked(docs, trusted.select("doc_id").distinct())
+    marked, ids = _marked(docs, trusted)
     raw_cells = np.zeros(BUCKETS, dtype=np.float64)
     target_cells = np.zeros(BUCKETS, dtype=np.float64)
-    counted = _model(marked).toArrow()  # at most BUCKETS rows of three numbers, in columns
+    counted = _model(marked, ids).toArrow()  # at most BUCKETS rows of three numbers, in columns
     where = counted.column("cell").to_numpy(zero_copy_only=False)
     raw_cells[where] = counted.column("raw").to_numpy(zero_copy_only=False)
     target_cells[where] = counted.column("target").to_numpy(zero_copy_only=False)
@@ -133,7 +159,8 @@ def score(docs: DataFrame, trusted: DataFrame) -> DataFrame:
         for batch in batches:
             out: dict[str, list] = {k: [] for k in names}
             found = []
-            for text, own in zip(batch.column("text").to_pylist(), batch.column("trusted").to_pylist()):
+            trusted_here = _own(batch, ids)
+            for text, own in zip(batch.column("text").to_pylist(), trusted_here.tolist()):
                 *base, words = base_counts(text)
                 for key, value in zip(names, base):
                     out[key].append(value)
@@ -149,7 +176,7 @@ def score(docs: DataFrame, trusted: DataFrame) -> DataFrame:
                 found.append(float((count * (np.log(p_target) - np.log(p_raw))).sum() / size))
             typed = {k: pa.array(v, pa.int64()) for k, v in out.items()}
             yield pa.RecordBatch.from_pydict(
-                {"doc_id": batch.column("doc_id"), "trusted": batch.column("trusted"), **typed, "score": pa.array(found, pa.float64())}
+                {"doc_id": batch.column("doc_id"), "trusted": pa.array(trusted_here), **typed, "score": pa.array(found, pa.float64())}
             )
 
     schema = (

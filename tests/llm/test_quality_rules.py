@@ -84,3 +84,15 @@ def test_empty_table_and_no_trusted(spark):
     docs = spark.createDataFrame([(1, TEXTS[5], None, None, None, None, None)], SCHEMA)
     got = qr.score(docs, spark.createDataFrame([], "doc_id bigint")).collect()
     assert [g.kept for g in got] == [True]
+
+
+def test_texts_are_not_exchanged(spark, monkeypatch):
+    plans = []
+    kept = qr.stored
+    monkeypatch.setattr(qr, "stored", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or kept(df, name))
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, "x", 1) for i, t in enumerate(TEXTS)] + [(None, TEXTS[5], *[None] * 5)], SCHEMA)
+    trusted = spark.createDataFrame([(5,), (8,), (None,)], "doc_id bigint")
+    sent = sorted(map(str, qr.score(docs, trusted).collect()))
+    assert plans and not any("Exchange" in plan for plan in plans)
+    monkeypatch.setattr(qr, "MOST_SENT_IDS", 1)  # too many to send: a join gives the same rows
+    assert sorted(map(str, qr.score(docs, trusted).collect())) == sent
