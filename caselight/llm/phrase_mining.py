@@ -14,15 +14,16 @@ count too. Each lang keeps its ``top`` first by score descending, ``a`` descendi
 
 Counting quotient filters. Only words with ``least`` occurrences or more can be part of a candidate or of its parts, so each
 such word gets a dense id per lang (1 upwards, by count descending) and any other word ends a phrase: that pruning is
-exact. Up to five ids of ``bits`` bits are packed into 128 bits, which a four-round Feistel network permutes invertibly;
-the top ``QUOTIENT_BITS`` of the result are the quotient, the other 112 the full remainder, so nothing is lost and the
-original phrase is recovered by the inverse network. Texts are coded to ids once and written. Phrases are counted
+exact. The ids of a phrase, ``bits`` bits each, are packed and a four-round Feistel network as wide as that length of phrase
+needs permutes them invertibly; the top bits of the result are the quotient, the others the full remainder, so nothing is
+lost and the original phrase is recovered by the inverse network. A key of up to 64 bits is one long where it is
+exchanged, a wider one two. Texts are coded to ids once and written. Phrases are counted
 level by level, 2 to 5 words: a phrase can be frequent, or be a part of a candidate, only if both its parts one word
 shorter are frequent, so each level counts only phrases whose two parts passed the level before (their 64-bit
 fingerprints travel to every task when at most ``MOST_SHIPPED_GRAMS``, else that level keeps every phrase; a
 fingerprint that matches by chance only keeps a phrase too many, counted exactly). Every task builds the filter of its
-texts as a sorted table of (quotient, remainder, count); Spark merges the filters of all tasks by key (partial
-aggregation first, then one exchange by quotient and remainder). Up to 2**25 - 1 frequent words per lang fit; beyond that ``count_phrases`` fails with a
+texts as a sorted table of (key, count); Spark merges the filters of all tasks by key (partial
+aggregation first, then one exchange by key). Up to 2**25 - 1 frequent words per lang fit; beyond that ``count_phrases`` fails with a
 clear error rather than drop any.
 
 Scale. Word counts are partial aggregates; ids come from one range sort (no lang is one task); the occurrences meet their
@@ -51,7 +52,6 @@ CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 PIECE_BREAK = "[.,;:!?\\x0A-\\x0D]"
 WORD_BREAK = "[\\x20\\x09]+"
 LONGEST = 5
-QUOTIENT_BITS = 16
 ROUND_KEYS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93]
 BUCKETS = 64  # first-stage groups of a lang's candidates when taking its top
 EXACT = "decimal(38,0)"
@@ -72,15 +72,24 @@ def _mix(x: np.ndarray, key: int) -> np.ndarray:
         return z ^ (z >> np.uint64(31))
 
 
-def permute(hi: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def half_of(width: int) -> int:
+    """Bits of either half of a Feistel network over keys of ``width`` bits."""
+    return max(1, (width + 1) // 2)
+
+
+def _low(bits: int) -> np.uint64:
+    return np.uint64((1 << bits) - 1)
+
+
+def permute(hi: np.ndarray, lo: np.ndarray, half: int) -> tuple[np.ndarray, np.ndarray]:
     for key in ROUND_KEYS:
-        hi, lo = lo, hi ^ _mix(lo, key)
+        hi, lo = lo, hi ^ (_mix(lo, key) & _low(half))
     return hi, lo
 
 
-def unpermute(hi: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def unpermute(hi: np.ndarray, lo: np.ndarray, half: int) -> tuple[np.ndarray, np.ndarray]:
     for key in reversed(ROUND_KEYS):
-        hi, lo = lo ^ _mix(hi, key), hi
+        hi, lo = lo ^ (_mix(hi, key) & _low(half)), hi
     return hi, lo
 
 
@@ -114,17 +123,32 @@ def unpack(hi: np.ndarray, lo: np.ndarray, bits: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def split_key(hi: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Quotient (top bits) and full remainder (the other 112 bits) of a permuted key, as Spark's signed types."""
-    shift = np.uint64(64 - QUOTIENT_BITS)
-    q = (hi >> shift).astype(np.int32)
-    rest = hi & np.uint64((1 << (64 - QUOTIENT_BITS)) - 1)
-    return q, rest.view(np.int64), lo.view(np.int64)
+def filter_key(hi: np.ndarray, lo: np.ndarray, half: int) -> list[np.ndarray]:
+    """Permuted keys of packed ids, top bits (the quotient) first: one unsigned long while both halves fit, else two."""
+    if half < 64:
+        hi, lo = (lo >> np.uint64(half)) | (hi << np.uint64(64 - half)), lo & _low(half)
+    hi, lo = permute(hi, lo, half)
+    return [(hi << np.uint64(half)) | lo] if half <= 32 else [hi, lo]
 
 
-def join_key(q: np.ndarray, rest: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    hi = (q.astype(np.uint64) << np.uint64(64 - QUOTIENT_BITS)) | rest.view(np.uint64)
-    return hi, lo.view(np.uint64)
+def packed_of(key: list[np.ndarray], half: int) -> tuple[np.ndarray, np.ndarray]:
+    """The packed 128 bits (hi, lo) behind ``filter_key``."""
+    hi, lo = [key[0] >> np.uint64(half), key[0] & _low(half)] if half <= 32 else key
+    hi, lo = unpermute(hi, lo, half)
+    if half == 64:
+        return hi, lo
+    return hi >> np.uint64(64 - half), (hi << np.uint64(half)) | lo
+
+
+def counted_keys(key: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct keys in order and how often each occurs."""
+    if len(key) == 1:
+        distinct, count = np.unique(key[0], return_counts=True)
+        return [distinct], count.astype(np.int64)
+    order = np.lexsort(key[::-1])
+    hi, lo = key[0][order], key[1][order]
+    starts = np.concatenate([[0], np.flatnonzero((hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1])) + 1]).astype(np.int64)
+    return [hi[starts], lo[starts]], np.diff(np.append(starts, len(hi)))
 
 
 def windows(flat: np.ndarray, length: int) -> np.ndarray:
@@ -238,21 +262,20 @@ def _fingerprints(frequent: DataFrame, bits: int):
 def _level(coded: DataFrame, length: int, bits: int, shipped, least: int) -> DataFrame:
     """Counts (lang, f, w1..w5) of the phrases of ``length`` words that occur ``least`` times or more."""
 
+    half = half_of(length * bits)
+    names = ["key"] if half <= 32 else ["key", "key_low"]  # a short key is exchanged as one long
+
     def filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, parts in held.items():
-                hi, lo = permute(np.concatenate([h for h, _ in parts]), np.concatenate([l for _, l in parts]))
-                order = np.lexsort((lo, hi))
-                hi, lo = hi[order], lo[order]
-                starts = np.concatenate([[0], np.flatnonzero((hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1])) + 1]).astype(np.int64)
-                count = np.diff(np.append(starts, len(hi)))
-                q, rest, low = split_key(hi[starts], lo[starts])
+                key = filter_key(np.concatenate([h for h, _ in parts]), np.concatenate([l for _, l in parts]), half)
+                distinct, count = counted_keys(key)
                 yield pa.RecordBatch.from_pydict({
-                    "lang": pa.array([lang] * len(q), pa.string()), "q": pa.array(q), "rest": pa.array(rest),
-                    "lo": pa.array(low), "f": pa.array(count.astype(np.int64)),
+                    "lang": pa.array([lang] * len(count), pa.string()),
+                    **{n: pa.array(k.view(np.int64)) for n, k in zip(names, distinct)}, "f": pa.array(count),
                 })
             held.clear()
 
@@ -279,15 +302,13 @@ def _level(coded: DataFrame, length: int, bits: int, shipped, least: int) -> Dat
                 size = 0
         yield from flush()
 
-    shards = coded.mapInArrow(filters, "lang string, q int, rest bigint, lo bigint, f bigint")
-    merged = shards.groupBy("lang", "q", "rest", "lo").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
+    shards = coded.mapInArrow(filters, f"lang string, {', '.join(f'{n} bigint' for n in names)}, f bigint")
+    merged = shards.groupBy("lang", *names).agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            q = batch.column("q").to_numpy(zero_copy_only=False)
-            rest = batch.column("rest").to_numpy(zero_copy_only=False)
-            lo = batch.column("lo").to_numpy(zero_copy_only=False)
-            ids = unpack(*unpermute(*join_key(q, rest, lo)), bits)
+            key = [batch.column(n).to_numpy(zero_copy_only=False).view(np.uint64) for n in names]
+            ids = unpack(*packed_of(key, half), bits)
             out = {"lang": batch.column("lang"), "f": batch.column("f")}
             for i in range(LONGEST):
                 out[f"w{i + 1}"] = pa.array(ids[:, i])

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from caselight.llm import phrase_mining
@@ -82,3 +83,32 @@ def test_levels_without_pruning(spark, monkeypatch):
     monkeypatch.setattr(phrase_mining, "MOST_SHIPPED_GRAMS", 0)
     got = phrase_mining.collocations(frame(spark, TEXTS), least=2, top=2000).collect()
     assert sorted(tuple(r) for r in got) == plain(TEXTS, 2, 2000)
+
+
+def test_short_keys_are_exchanged_as_one_long(spark, monkeypatch):
+    plans = {}
+    kept = phrase_mining.stored
+
+    def seen(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return kept(df, name)
+
+    monkeypatch.setattr(phrase_mining, "stored", seen)
+    phrase_mining.collocations(frame(spark, TEXTS), least=2, top=2000).collect()
+    columns = [dealt.split(",") for dealt in re.findall(r"hashpartitioning\((.*?), \d+\)", plans["phrase-level-2"])]
+    assert columns and all(len(c) == 2 for c in columns)  # the language and one key
+
+
+@pytest.mark.parametrize("bits", [1, 7, 12, 13, 16, 21, 25])
+def test_keys_of_every_width_can_be_read_back(bits):
+    made = np.random.default_rng(bits)
+    for length in range(2, 6):
+        ids = made.integers(0, 1 << bits, (300, length))
+        ids[0], ids[1] = (1 << bits) - 1, 0
+        half = phrase_mining.half_of(length * bits)
+        key, count = phrase_mining.counted_keys(phrase_mining.filter_key(*phrase_mining.packed(ids, bits), half))
+        assert len(key) == (1 if length * bits <= 64 else 2)
+        want, often = np.unique(ids, axis=0, return_counts=True)
+        got = phrase_mining.unpack(*phrase_mining.packed_of(key, half), bits)
+        assert not got[:, length:].any()
+        assert sorted(zip(got[:, :length].tolist(), count)) == list(zip(want.tolist(), often))
