@@ -21,6 +21,7 @@ from caselight.session import rows_if_bounded
 MAX_SENT_QUERIES = 4096
 QUERY_BLOCK_ROWS = 2048
 BLOCK_ROWS = 32768
+PAIRS_AT_ONCE = 1 << 20  # scores or distances a task holds at a time, 8 bytes each
 HITS = "query_id string, id long, score double"
 
 
@@ -53,13 +54,17 @@ def _block_hits(asked: pd.DataFrame, query_matrix: np.ndarray, block: pd.DataFra
             askers = asked_places.get(category)
             if askers is None:
                 continue
-            scores = query_matrix[askers] @ corpus_matrix[places].T
-            keys, here = np.floor(scores * STEP + 0.5), ids[places]
-            for row, asker in enumerate(askers):
-                best = _best(keys[row], here, k)
-                found_q += [asked["query_id"].iat[asker]] * len(best)
-                found_id.append(here[best])
-                found_s.append(scores[row][best])
+            here, there = ids[places], corpus_matrix[places]
+            step = max(1, PAIRS_AT_ONCE // len(places))
+            for start in range(0, len(askers), step):
+                part = askers[start : start + step]
+                scores = query_matrix[part] @ there.T
+                keys = np.floor(scores * STEP + 0.5)
+                for row, asker in enumerate(part):
+                    best = _best(keys[row], here, k)
+                    found_q += [asked["query_id"].iat[asker]] * len(best)
+                    found_id.append(here[best])
+                    found_s.append(scores[row][best])
     joined = lambda parts, kind: np.concatenate(parts) if parts else np.array([], kind)
     return pd.DataFrame(
         {"query_id": found_q, "id": joined(found_id, "int64"), "score": joined(found_s, "float64")}
@@ -207,6 +212,31 @@ def rerank(candidates: DataFrame, second_score: Column, keep: int) -> DataFrame:
     return rank_hits(scored, keep)
 
 
+def _nearest_of_block(asked: pd.DataFrame, block: pd.DataFrame, max_distance: float) -> pd.DataFrame:
+    """The nearest item of ``block`` with a smaller id for each item of ``asked``; the block is met piece by piece."""
+    if len(asked) == 0 or len(block) == 0:
+        return pd.DataFrame({"id": [], "match_id": [], "distance": []})
+    a, b = np.stack(asked["vector"].to_numpy()), np.stack(block["vector"].to_numpy())
+    ids, other = asked["id"].to_numpy(), block["id"].to_numpy()
+    order = np.argsort(other)
+    b, other = b[order], other[order]
+    a_squared, b_squared = (a * a).sum(axis=1), (b * b).sum(axis=1)
+    rows = np.arange(len(ids))
+    least, match, near = np.full(len(ids), np.inf), np.zeros(len(ids), other.dtype), np.full(len(ids), np.inf)
+    step = max(1, PAIRS_AT_ONCE // len(ids))
+    for start in range(0, len(other), step):
+        piece = slice(start, start + step)
+        squared = a_squared[:, None] + b_squared[None, piece] - 2 * (a @ b[piece].T)
+        distance = np.sqrt(np.maximum(squared, 0))
+        key = np.where(other[None, piece] < ids[:, None], np.floor(distance * STEP + 0.5), np.inf)
+        best = key.argmin(axis=1)  # the first of equals has the smallest id
+        found = key[rows, best]
+        better = (found < least) | (np.isnan(found) & ~np.isnan(least))
+        least[better], match[better], near[better] = found[better], other[piece][best][better], distance[rows, best][better]
+    ok = np.isfinite(least) & (near <= max_distance)
+    return pd.DataFrame({"id": ids[ok], "match_id": match[ok], "distance": near[ok]})
+
+
 def nearest_earlier(
     items: DataFrame,
     max_distance: float,
@@ -242,22 +272,7 @@ def nearest_earlier(
     asking = stored.select("id", "vector", near.alias("slab"))
 
     def search(asked: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"id": [], "match_id": [], "distance": []})
-        if len(asked) == 0 or len(block) == 0:
-            return empty
-        a, b = np.stack(asked["vector"].to_numpy()), np.stack(block["vector"].to_numpy())
-        ids, other = asked["id"].to_numpy(), block["id"].to_numpy()
-        order = np.argsort(other)
-        b, other = b[order], other[order]
-        squared = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2 * (a @ b.T)
-        distance = np.sqrt(np.maximum(squared, 0))
-        key = np.where(other[None, :] < ids[:, None], np.floor(distance * STEP + 0.5), np.inf)
-        best = key.argmin(axis=1)  # the first of equals has the smallest id
-        rows = np.arange(len(ids))
-        ok = np.isfinite(key[rows, best]) & (distance[rows, best] <= max_distance)
-        return pd.DataFrame(
-            {"id": ids[ok], "match_id": other[best][ok], "distance": distance[rows, best][ok]}
-        )
+        return _nearest_of_block(asked, block, max_distance)
 
     partial = meet_in_blocks(
         asking, stored, "id", "id", "slab", search,

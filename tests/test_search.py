@@ -282,3 +282,25 @@ def test_texts_and_not_their_tokens_are_exchanged(spark):
     exchanges = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
     assert len(exchanges) == 1 and "term" not in exchanges[0]
     assert {tuple(r) for r in counted.collect()} == {(1, "aa", 3), (1, "bb", 1), (2, "aa", 1), (None, "cc", 1)}
+
+
+def test_a_full_block_is_met_piece_by_piece():
+    import tracemalloc
+
+    import pandas as pd
+
+    made = np.random.default_rng(3)
+    block = pd.DataFrame({"id": np.arange(20_000), "vector": list(made.normal(size=(20_000, 4)))})
+    asked = block.iloc[-1000:]
+    tracemalloc.start()
+    found = dense._nearest_of_block(asked, block, 0.3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6  # all 20 million distances at once take 160 MB, and as much for each step
+    matrix = np.stack(block["vector"])
+    wanted = {}
+    for i in asked["id"]:
+        distance = np.linalg.norm(matrix[:i] - matrix[i], axis=1)
+        if distance.min() <= 0.3:
+            wanted[i] = int(distance.argmin())
+    assert len(wanted) > 100 and dict(zip(found["id"], found["match_id"])) == wanted
