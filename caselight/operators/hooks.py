@@ -71,7 +71,9 @@ def score_with(
     @F.pandas_udf("double")
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for asked, found in batches:
-            yield pd.Series(score_fn(asked.tolist(), found.str.slice(0, right_chars).tolist()), index=asked.index)
+            # Not by ``found.str``: a series and its accessor hold each other, so batches would pile up in the worker.
+            texts = [text[:right_chars] if isinstance(text, str) else text for text in found.tolist()]
+            yield pd.Series(score_fn(asked.tolist(), texts), index=asked.index)
 
     return pairs.withColumn(name, run(F.col(left), F.col(right)))
 

@@ -14,6 +14,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A hot key must be split even where that costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Batches handed to Python workers are cut by bytes, so that their memory follows neither texts nor rows of a task.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
 
 

@@ -121,6 +121,23 @@ def test_hooks_run_in_batches(spark):
     assert hooks.score_with(pairs, "q", "d", length, right_chars=512).first().score == 512.0
 
 
+def test_hooks_get_batches_cut_by_bytes(spark):
+    frame = spark.range(40, numPartitions=1).selectExpr("id", "repeat('x', 1000000) AS text")
+    sizes = hooks.classify_with(frame, "text", lambda texts: [str(len(texts))] * len(texts), "n").select("n").collect()
+    assert len(sizes) == 40 and max(int(r.n) for r in sizes) <= 20
+
+
+def test_scored_batches_do_not_pile_up_in_the_worker(spark):
+    frame = spark.range(4000, numPartitions=1).selectExpr("'q' AS q", "repeat(cast(id as string), 25000) AS d")
+
+    def resident(asked, found):
+        with open("/proc/self/statm") as file:
+            return [int(file.read().split()[1]) * 4096 / 1e6] * len(found)
+
+    used = [r.score for r in hooks.score_with(frame, "q", "d", resident).select("score").collect()]
+    assert max(used) < used[0] + 150  # 350 MB of texts pass through
+
+
 def test_folder_with_rejects_of_each_kind(spark, tmp_path):
     base = tmp_path / "kb (v1.0)+"
     (base / "faq").mkdir(parents=True)
