@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caselight.operators import word_training
+
 BATCH_ROWS = 64  # fixed value: texts handed to a model at once
 
 EmbedFn = Callable[[list[str]], np.ndarray]
@@ -79,12 +81,6 @@ def score_with(
 
 
 def word_vectors(rows: DataFrame, words: str, size: int = 10, window: int = 5, min_count: int = 1, seed: int = 7, partitions: int | None = None) -> DataFrame:
-    """(word, vector) trained on arrays of words."""
-    from pyspark.ml.feature import Word2Vec
-    from pyspark.ml.functions import vector_to_array
-
-    model = Word2Vec(
-        vectorSize=size, windowSize=window, minCount=min_count, seed=seed, inputCol=words, outputCol="v",
-        numPartitions=partitions or rows.sparkSession.sparkContext.defaultParallelism,
-    ).fit(rows)
-    return model.getVectors().select("word", vector_to_array("vector").alias("vector"))
+    """(word, vector) trained on arrays of words; words that come less than ``min_count`` times are left out."""
+    kept = word_training.frequent_words(rows, words, min_count) if min_count > 1 else rows
+    return word_training.train(kept, words, size, window, seed, partitions)
