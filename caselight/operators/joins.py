@@ -17,10 +17,12 @@ def spread_nulls(key: Column, *row_key: Column, buckets: int = 1024) -> Column:
     return F.coalesce(key, filler)
 
 
-def left_lookup(rows: DataFrame, lookup: DataFrame, key: str, row_key: str) -> DataFrame:
-    """Left join on a nullable string key that is unique in ``lookup``."""
-    keyed = rows.withColumn("_key", spread_nulls(F.col(key), F.col(row_key)))
-    return keyed.join(lookup.withColumnRenamed(key, "_key"), "_key", "left").drop("_key")
+def left_lookup(rows: DataFrame, lookup: DataFrame, key: str, row_key: str, *more: DataFrame) -> DataFrame:
+    """Left join on a nullable string key that is unique in ``lookup``; ``more`` lookups by it need no further exchange of rows."""
+    found = rows.withColumn("_key", spread_nulls(F.col(key), F.col(row_key)))
+    for each in (lookup, *more):
+        found = found.join(each.withColumnRenamed(key, "_key"), "_key", "left")
+    return found.drop("_key")
 
 
 def missing_parents(children: DataFrame, parents: DataFrame, child_key: str, parent_key: str) -> DataFrame:

@@ -11,7 +11,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from caselight.operators.ranking import STEP
 
@@ -118,6 +119,23 @@ def scan(vectors: DataFrame, asked: pa.Table, key: str, key_type: str, k: int |
     return vectors.mapInArrow(search, f"`{key}` {key_type}, {kinds}, score double")
 
 
+def known_words(tokens: Column, terms: list[str], spark: SparkSession) -> Column:
+    """The tokens that are among ``terms``, which travel to the tasks once."""
+    sent = spark.sparkContext.broadcast(frozenset(terms))
+
+    @F.arrow_udf("array<string>")
+    def keep(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for lists in batches:
+            coded = pc.dictionary_encode(lists.flatten())
+            held = np.array([w in sent.value for w in coded.dictionary.to_pylist()], dtype=bool)
+            kept = held[np.asarray(coded.indices)]
+            row = _rows_of(lists)[kept]
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(lists)))]).astype(np.int32)
+            yield pa.ListArray.from_arrays(pa.array(offsets), lists.flatten().filter(pa.array(kept)))
+
+    return keep(tokens)
+
+
 def _rows_of(lists: pa.Array) -> np.ndarray:
     lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
     return np.repeat(np.arange(len(lists)), lengths)

@@ -15,7 +15,8 @@ from caselight.operators.joins import left_lookup
 from caselight.operators.term_index import (
     CHUNK_KEY,
     TermIndex,
-    search_by_signature,
+    search_signatures,
+    with_signature,
 )
 
 # Wording of the drafted answers and of the issues a check can find.
@@ -66,14 +67,17 @@ def resolve_customer(classified: DataFrame) -> DataFrame:
     return classified.withColumn("customer_id", F.coalesce(given, F.col("extracted_customer_id")))
 
 
+def _found(accounts: DataFrame) -> DataFrame:
+    return accounts.withColumn("customer_context_found", F.lit(True))
+
+
+def _or_not_found(tickets: DataFrame) -> DataFrame:
+    return tickets.withColumn("customer_context_found", F.coalesce("customer_context_found", F.lit(False)))
+
+
 def join_customer(tickets: DataFrame, accounts: DataFrame) -> DataFrame:
     """Every ticket stays; ``customer_context_found`` tells whether an account matched."""
-    found = left_lookup(
-        tickets, accounts.withColumn("customer_context_found", F.lit(True)), "customer_id", "ticket_id"
-    )
-    return found.withColumn(
-        "customer_context_found", F.coalesce("customer_context_found", F.lit(False))
-    )
+    return _or_not_found(left_lookup(tickets, _found(accounts), "customer_id", "ticket_id"))
 
 
 def latest_order(orders: DataFrame) -> DataFrame:
@@ -83,24 +87,33 @@ def latest_order(orders: DataFrame) -> DataFrame:
     )
 
 
-def relevant_order_amount(tickets: DataFrame, orders: DataFrame) -> DataFrame:
-    """Adds ``order_amount``: the mentioned order if the customer owns it, else the latest, else 0."""
+def _with_mention(tickets: DataFrame, orders: DataFrame) -> DataFrame:
+    """Adds owner and amount of the order that a ticket mentions."""
     mentioned = orders.select(
         F.upper("order_id").alias("extracted_order_id"),
         F.col("customer_id").alias("_owner"),
         F.col("amount").alias("_mentioned"),
     )
-    with_mention = left_lookup(tickets, mentioned, "extracted_order_id", "ticket_id")
-    with_latest = left_lookup(with_mention, latest_order(orders), "customer_id", "ticket_id")
+    return left_lookup(tickets, mentioned, "extracted_order_id", "ticket_id")
+
+
+def _with_amount(tickets: DataFrame) -> DataFrame:
     owned = F.when(F.col("_owner") == F.col("customer_id"), F.col("_mentioned"))
-    return with_latest.withColumn(
+    return tickets.withColumn(
         "order_amount", F.coalesce(owned, "latest_amount", F.lit(0.0))
     ).drop("_owner", "_mentioned", "latest_amount")
 
 
-def knowledge_query(tickets: DataFrame) -> DataFrame:
-    return tickets.select(
-        F.col("ticket_id").alias("query_id"), F.concat_ws(" ", "issue_type", "summary").alias("text")
+def relevant_order_amount(tickets: DataFrame, orders: DataFrame) -> DataFrame:
+    """Adds ``order_amount``: the mentioned order if the customer owns it, else the latest, else 0."""
+    with_mention = _with_mention(tickets, orders)
+    return _with_amount(left_lookup(with_mention, latest_order(orders), "customer_id", "ticket_id"))
+
+
+def with_question(classified: DataFrame, index: TermIndex, stop_words: list[str] | None = None) -> DataFrame:
+    """Adds ``signature``: the known words of a ticket's knowledge query, null where it has none."""
+    return with_signature(
+        classified, "ticket_id", F.concat_ws(" ", "issue_type", "summary"), index, stop_words
     )
 
 
@@ -113,31 +126,38 @@ def attach_knowledge(
     internal_source: str | None = None,
     stop_words: list[str] | None = None,
 ) -> DataFrame:
-    """Adds ``hits``: up to k (rank, source, section, text, score), an empty array when none.
+    """Adds ``hits``: up to k (rank, source, section, text, score), an empty array when none, their labels as
+    ``kb_chunks_used`` and the ``policy`` sentence of the first, null when none.
 
-    ``asked`` holds the classified tickets before any join, so that the search does not repeat the
-    joins. Tickets are scored per distinct set of known words, and get their hits by that.
+    ``asked`` holds the tickets with their question before any join, so that the search does not repeat the joins.
+    Tickets are scored per distinct set of known words, and get by that what is worked out once per set.
     """
-    named, hits = search_by_signature(knowledge_query(asked), index, k, internal_source, stop_words)
+    hits = search_signatures(asked, index, k, internal_source, stop_words)
     detailed = hits.join(chunks.select(*CHUNK_KEY, "section", "text"), CHUNK_KEY)
     hit = F.struct(
         "rank", "source", "section", "text", F.round("score", 4).alias("relevance_score")
     )
-    per_signature = detailed.groupBy("signature").agg(F.array_sort(F.collect_list(hit)).alias("hits"))
-    keyed = named.withColumnRenamed("query_id", "ticket_id")
-    with_signature = tickets.join(keyed, "ticket_id", "left")
-    matched = left_lookup(with_signature, per_signature, "signature", "ticket_id").drop("signature")
-    none = F.array().cast(per_signature.schema["hits"].dataType)
-    return matched.withColumn("hits", F.coalesce("hits", none))
+    gathered = detailed.groupBy("signature").agg(F.array_sort(F.collect_list(hit)).alias("hits"))
+    best = F.get("hits", F.lit(0))
+    per_signature = gathered.withColumns(
+        {"kb_chunks_used": evidence_labels(F.col("hits")), "policy": policy_text(best["source"], best["text"])}
+    )
+    matched = left_lookup(tickets, per_signature, "signature", "ticket_id").drop("signature")
+    none = {c: F.array().cast(per_signature.schema[c].dataType) for c in ("hits", "kb_chunks_used")}
+    return matched.withColumns({c: F.coalesce(c, empty) for c, empty in none.items()})
 
 
-def draft_text(name: Column, mood: Column, source: Column, chunk_text: Column) -> Column:
-    """The answer by template; a null ``source`` means no chunk was found."""
-    first_name = F.coalesce(F.get(F.split(name, " "), F.lit(0)), F.lit("there"))
-    opener = F.when(mood.isin("angry", "frustrated"), OPENER_SORRY).otherwise(OPENER_THANKS)
+def policy_text(source: Column, chunk_text: Column) -> Column:
+    """The sentence that names a chunk's source and last line."""
     pretty = F.replace(F.replace(source, F.lit("_"), F.lit(" ")), F.lit(".md"), F.lit(""))
     last_line = F.trim(F.element_at(F.split(chunk_text, "\n"), -1))
-    policy = F.concat(F.lit(" Based on our policy ("), pretty, F.lit("): "), last_line)
+    return F.concat(F.lit(" Based on our policy ("), pretty, F.lit("): "), last_line)
+
+
+def draft_text(name: Column, mood: Column, policy: Column) -> Column:
+    """The answer by template; a null ``policy`` means no chunk was found."""
+    first_name = F.coalesce(F.get(F.split(name, " "), F.lit(0)), F.lit("there"))
+    opener = F.when(mood.isin("angry", "frustrated"), OPENER_SORRY).otherwise(OPENER_THANKS)
     return F.concat(
         F.lit("Hi "), first_name, F.lit(", "), opener, F.lit("."),
         F.coalesce(policy, F.lit(NO_POLICY_LINE)), F.lit(CLOSING_LINE),
@@ -187,8 +207,10 @@ def evidence_labels(hits: Column) -> Column:
 
 
 def with_account(classified: DataFrame, accounts: DataFrame, orders: DataFrame) -> DataFrame:
-    """Account and order amount of classified tickets."""
-    return relevant_order_amount(join_customer(resolve_customer(classified), accounts), orders)
+    """Account and order amount of classified tickets; one exchange by customer serves both."""
+    with_mention = _with_mention(resolve_customer(classified), orders)
+    found = left_lookup(with_mention, _found(accounts), "customer_id", "ticket_id", latest_order(orders))
+    return _with_amount(_or_not_found(found))
 
 
 def triage_core(tickets: DataFrame, accounts: DataFrame, orders: DataFrame) -> DataFrame:
@@ -206,18 +228,16 @@ def case_reports(
     internal_source: str | None = None,
     stop_words: list[str] | None = None,
 ) -> DataFrame:
-    """One report row per ticket, as one lazy plan."""
-    classified = classify(tickets)
-    core = with_account(classified, accounts, orders)
-    grounded = attach_knowledge(core, classified, chunks, index, k, internal_source, stop_words)
-    best = F.get("hits", F.lit(0))
+    """One report row per ticket. A ticket carries its set of known words through the joins with accounts and orders."""
+    asked = with_question(classify(tickets), index, stop_words)
+    core = with_account(asked, accounts, orders)
+    grounded = attach_knowledge(core, asked, chunks, index, k, internal_source, stop_words)
     drafted = grounded.withColumns(
         {
             "grounded": F.size("hits") > 0,
-            "draft": draft_text(F.col("name"), F.col("sentiment"), best["source"], best["text"]),
-            "kb_chunks_used": evidence_labels(F.col("hits")),
+            "draft": draft_text(F.col("name"), F.col("sentiment"), F.col("policy")),
         }
-    )
+    ).drop("policy")
     decided = decide(validate_draft(drafted))
     answer = F.when(F.col("resolution_path") == "auto_resolved", F.col("draft"))
     return decided.withColumn("final_response", answer).withColumn(

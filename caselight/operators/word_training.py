@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PART_WORDS = 300_000  # a task hands on its vectors when it holds more words than this
-STEP_TOKENS = 512  # tokens whose pairs are worked on at once
+STEP_TOKENS = 1024  # tokens whose pairs are worked on at once
 RATE, LEAST_RATE = 0.025, 0.0000025  # learning rate at the start and the end, as in Spark's Word2Vec
 NEGATIVES, SHARED = 5, 10  # samples that count per pair, and words drawn for all pairs of a step
 MOST_STEP = 0.25  # largest change of a number in one step, where a word stands in many pairs
