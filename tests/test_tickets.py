@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caselight.functions import rules
-from caselight.operators import joins, triage
+from caselight.operators import joins, term_index, triage
 from caselight.operators.chunking import md_sections
 from caselight.operators.term_index import build_term_index
 
@@ -110,6 +110,31 @@ def test_no_knowledge_fails_validation(spark, world):
     assert row.issues_found == [triage.ISSUE_NO_GROUNDING]
 
 
+def test_tickets_are_not_exchanged_by_id_or_twice_by_customer(spark, world):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = reports_of(spark, world, [s[:3] for s in SCENARIOS])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(ticket_id" not in plan
+    # Exchanges by key: tickets and lookup for the order, for the customer (tickets, accounts, orders) and for the words.
+    assert plan.count("hashpartitioning(_key") <= 6
+
+
+def test_known_words_in_the_row_and_by_exchange_are_the_same(spark, world, monkeypatch):
+    tickets = [s[:3] for s in SCENARIOS] + [("T002", "CUST003", "a parcel without news"), ("N", None, None), (None, None, "refund")]
+    shown = lambda: sorted(
+        (str(r.ticket_id), r.draft, [(h.rank, h.source, h.relevance_score) for h in r.hits])
+        for r in reports_of(spark, world, tickets).collect()
+    )
+    in_row = shown()
+    monkeypatch.setattr(term_index, "MOST_KNOWN", 1)
+    assert shown() == in_row and len(in_row) == len(tickets)
+    twice = [hits for ticket, _, hits in in_row if ticket == "T002"]
+    assert twice[0] == twice[1] and len(twice[0]) > 1  # one ticket id is one question, made of all its texts
+    assert [hits for ticket, _, hits in in_row if ticket == "None"] == [[]]
+
+
 # Inputs of the gates and what they decide.
 GATES = [
     ("fraud_suspected", "neutral", "high", 0.9, True, 0.0, "hard_category"),
