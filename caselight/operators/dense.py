@@ -7,6 +7,7 @@ all pairs. A query set of bounded size travels to the tasks; a larger one is sea
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +23,8 @@ MAX_SENT_QUERIES = 4096
 QUERY_BLOCK_ROWS = 2048
 BLOCK_ROWS = 32768
 PAIRS_AT_ONCE = 1 << 20  # scores or distances a task holds at a time, 8 bytes each
+BLOCK_NUMBERS = 1 << 20  # numbers in a packed block, 4 or 8 bytes each
+PIECE = (512, 256)  # distances of so many asked and stored vectors at a time stay in a core's cache
 HITS = "query_id string, id long, score double"
 
 
@@ -212,31 +215,92 @@ def rerank(candidates: DataFrame, second_score: Column, keep: int) -> DataFrame:
     return rank_hits(scored, keep)
 
 
+def _by_id(items: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    ids, order = items["id"].to_numpy(), np.argsort(items["id"].to_numpy(), kind="stable")
+    return ids[order], np.stack(items["vector"].to_numpy())[order].astype(np.float64, copy=False)
+
+
 def _nearest_of_block(asked: pd.DataFrame, block: pd.DataFrame, max_distance: float) -> pd.DataFrame:
-    """The nearest item of ``block`` with a smaller id for each item of ``asked``; the block is met piece by piece."""
+    """The nearest item of ``block`` with a smaller id for each item of ``asked``; both are met piece by piece.
+
+    One product gives the squared distances of a piece. Only the asked that come nearer by it than before are ranked.
+    """
     if len(asked) == 0 or len(block) == 0:
         return pd.DataFrame({"id": [], "match_id": [], "distance": []})
-    a, b = np.stack(asked["vector"].to_numpy()), np.stack(block["vector"].to_numpy())
-    ids, other = asked["id"].to_numpy(), block["id"].to_numpy()
-    order = np.argsort(other)
-    b, other = b[order], other[order]
-    a_squared, b_squared = (a * a).sum(axis=1), (b * b).sum(axis=1)
-    rows = np.arange(len(ids))
+    (ids, a), (other, b) = _by_id(asked), _by_id(block)
+    squares = lambda m: (m * m).sum(axis=1)[:, None]
+    left = np.hstack([-2 * a, squares(a), np.ones((len(a), 1))])
+    right = np.hstack([b, np.ones((len(b), 1)), squares(b)]).T
+    slack = 1 + 1e-9  # what is left out by squares must be farther by the ranked distance too
     least, match, near = np.full(len(ids), np.inf), np.zeros(len(ids), other.dtype), np.full(len(ids), np.inf)
-    step = max(1, PAIRS_AT_ONCE // len(ids))
-    for start in range(0, len(other), step):
-        piece = slice(start, start + step)
-        squared = a_squared[:, None] + b_squared[None, piece] - 2 * (a @ b[piece].T)
-        distance = np.sqrt(np.maximum(squared, 0))
-        key = np.where(other[None, piece] < ids[:, None], np.floor(distance * STEP + 0.5), np.inf)
-        best = key.argmin(axis=1)  # the first of equals has the smallest id
-        found = key[rows, best]
-        better = (found < least) | (np.isnan(found) & ~np.isnan(least))
-        least[better], match[better], near[better] = found[better], other[piece][best][better], distance[rows, best][better]
+    bound = np.full(len(ids), max_distance * max_distance * slack)
+    width, step = PIECE
+    for top in range(0, len(ids), width):
+        bottom = min(top + width, len(ids))
+        for start in range(0, len(other), step):
+            there = other[start : start + step]
+            first = top + np.searchsorted(ids[top:bottom], there[0], "right")  # those before have no smaller id here
+            if first == bottom:
+                break
+            squared = left[first:bottom] @ right[:, start : start + step]
+            if there[-1] >= ids[first]:
+                squared[there[None, :] >= ids[first:bottom, None]] = np.inf
+            rows = np.flatnonzero(squared.min(axis=1) <= bound[first:bottom])
+            distance = np.sqrt(np.maximum(squared[rows], 0))
+            key = np.floor(distance * STEP + 0.5)
+            best = key.argmin(axis=1)  # the first of equals has the smallest id
+            found, places = key[np.arange(len(rows)), best], first + rows
+            better = found < least[places]
+            at = places[better]
+            least[at], match[at] = found[better], there[best[better]]
+            near[at] = distance[better, best[better]]
+            bound[at] = near[at] * near[at] * slack
     ok = np.isfinite(least) & (near <= max_distance)
     return pd.DataFrame({"id": ids[ok], "match_id": match[ok], "distance": near[ok]})
 
 
+_BLOCK = {
+    "part": "int", "rows": "int", "single": "boolean", "low_id": "long", "high_id": "long",
+    "low_slab": "double", "high_slab": "double", "ids": "binary", "vectors": "binary",
+}
+
+
+def _pack(batches: Iterator[pd.DataFrame], block_rows: int) -> Iterator[pd.DataFrame]:
+    """Sorted rows (id, vector, slab, part) to blocks, one row each; numbers are in single precision where that loses nothing."""
+
+    def packed(rows: pd.DataFrame, vectors: np.ndarray) -> pd.DataFrame:
+        with np.errstate(over="ignore"):
+            short = vectors.astype(np.float32)
+        single = bool((short == vectors).all())
+        ids, slabs = rows["id"].to_numpy(np.int64), rows["slab"]
+        cells = [rows["part"].iat[0], len(ids), single, ids.min(), ids.max(), slabs.min(), slabs.max()]
+        return pd.DataFrame([[*cells, ids.tobytes(), (short if single else vectors).tobytes()]], columns=list(_BLOCK))
+
+    held = None
+    for batch in batches:
+        if len(batch) == 0:
+            continue
+        matrix = np.stack(batch["vector"].to_numpy()).astype(np.float64)
+        # A number that is null, NaN or infinite makes every distance so, and no distance counts then.
+        with np.errstate(over="ignore"):
+            known = np.isfinite((matrix * matrix).sum(axis=1))
+        rows, matrix = batch[["id", "slab", "part"]][known], matrix[known]
+        if held is not None:
+            rows, matrix = pd.concat([held[0], rows], ignore_index=True), np.concatenate([held[1], matrix])
+        most = max(1, min(block_rows, BLOCK_NUMBERS // max(1, matrix.shape[1])))
+        while len(rows) >= most:
+            yield packed(rows[:most], matrix[:most])
+            rows, matrix = rows[most:], matrix[most:]
+        held = rows, matrix
+    if held is not None and len(held[0]):
+        yield packed(*held)
+
+
+def _unpacked(rows: int, single: bool, ids: bytes, vectors: bytes) -> pd.DataFrame:
+    matrix = np.frombuffer(vectors, np.float32 if single else np.float64).reshape(rows, -1)
+    return pd.DataFrame({"id": np.frombuffer(ids, np.int64), "vector": list(matrix.astype(np.float64))})
+
+
 def nearest_earlier(
     items: DataFrame,
     max_distance: float,
@@ -247,37 +311,57 @@ def nearest_earlier(
 
     Copies of one vector are folded first: all but the first of them take the first at distance 0. The
     distinct vectors are cut into slabs along a fixed direction; two vectors within the distance lie in
-    the same or in neighbouring slabs, so no pair is lost. Slabs are split into blocks of bounded
-    size, and a task hands on one row per vector.
+    the same or in neighbouring slabs, so no pair is lost. Sorted by slab and id they are packed into
+    blocks of at most ``corpus_rows``, one row each. Blocks are exchanged once and a task reads those of
+    two parts, so what is written grows with the vectors and not with the pairs. Blocks of distant slabs
+    and blocks without a smaller id are not met; a block hands on one row per vector. There are as many
+    parts as keep the cores busy, not below ``query_rows`` nor above twice ``corpus_rows`` vectors each.
+    A vector that holds NaN or an infinite number is near to none.
     """
-    keyed = items.select("id", vx.as_double(F.col("vector")).alias("vector")).withColumn(
-        "_copy", F.sha2(F.array_join(F.transform("vector", lambda x: x.cast("string")), ","), 256)
+    copy = ["_copy0", "_copy1"]
+    keyed = items.filter(F.col("vector").isNotNull()).select(
+        "id", "vector", *[F.xxhash64(F.lit(i), "vector").alias(c) for i, c in enumerate(copy)]
     )
-    firsts = keyed.groupBy("_copy").agg(F.min("id").alias("id"), F.any_value("vector").alias("vector"))
+    firsts = keyed.groupBy(*copy).agg(F.min("id").alias("id"), F.any_value("vector").alias("vector"))
     copies = (
-        keyed.select("id", "_copy")
-        .join(firsts.select("_copy", F.col("id").alias("match_id")), "_copy")
+        keyed.select("id", *copy)
+        .join(firsts.select(*copy, F.col("id").alias("match_id")), copy)
         .filter(F.col("id") != F.col("match_id"))
         .select("id", "match_id", F.lit(0.0).alias("distance"))
     )
 
     # Direction of alternating sign and unit length; projections differ by no more than distances.
     signed = F.aggregate(
-        F.transform("vector", lambda x, i: F.when(i % 2 == 0, x).otherwise(-x)),
+        F.transform(vx.as_double(F.col("vector")), lambda x, i: F.when(i % 2 == 0, x).otherwise(-x)),
         F.lit(0.0),
         lambda total, x: total + x,
     ) / F.sqrt(F.size("vector"))
     stored = firsts.select("id", "vector", F.floor(signed / max_distance).alias("slab"))
-    near = F.explode(F.array(F.col("slab") - 1, F.col("slab"), F.col("slab") + 1))
-    asking = stored.select("id", "vector", near.alias("slab"))
 
-    def search(asked: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        return _nearest_of_block(asked, block, max_distance)
-
-    partial = meet_in_blocks(
-        asking, stored, "id", "id", "slab", search,
-        "id long, match_id long, distance double", query_rows, corpus_rows,
+    total, cores = items.count(), items.sparkSession.sparkContext.defaultParallelism
+    wanted = min(math.ceil(math.sqrt(8 * cores)), math.ceil(total / query_rows))
+    parts = max(1, wanted, math.ceil(total / (2 * corpus_rows)))
+    schema = ", ".join(f"{name} {kind} not null" for name, kind in _BLOCK.items())
+    blocks = (
+        stored.filter(F.col("id").isNotNull() & F.col("slab").isNotNull())
+        .repartitionByRange(parts, "slab", "id")
+        .sortWithinPartitions("slab", "id")
+        .withColumn("part", F.spark_partition_id())
+        .mapInPandas(lambda batches: _pack(batches, corpus_rows), schema)
+        .repartitionById(parts, F.col("part") % parts)
     )
+    # Both sides keep all columns, so that they are one exchange.
+    asked, met = [blocks.select(*[F.col(c).alias(f"{side}_{c}") for c in _BLOCK]) for side in ("asked", "met")]
+    near = (F.col("met_low_slab") <= F.col("asked_high_slab") + 1) & (F.col("met_high_slab") >= F.col("asked_low_slab") - 1)
+    pairs = asked.join(met.hint("shuffle_replicate_nl"), near & (F.col("met_low_id") < F.col("asked_high_id")))
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.to_dict("records"):
+                sides = [[row[f"{side}_{c}"] for c in ("rows", "single", "ids", "vectors")] for side in ("asked", "met")]
+                yield _nearest_of_block(*[_unpacked(*side) for side in sides], max_distance)
+
+    partial = pairs.mapInPandas(search, "id long, match_id long, distance double")
     best = partial.groupBy("id").agg(
         F.min_by(
             F.struct("match_id", "distance"), F.struct(rank_key(F.col("distance")), "match_id")

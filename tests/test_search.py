@@ -304,3 +304,58 @@ def test_a_full_block_is_met_piece_by_piece():
         if distance.min() <= 0.3:
             wanted[i] = int(distance.argmin())
     assert len(wanted) > 100 and dict(zip(found["id"], found["match_id"])) == wanted
+
+
+def records_exchanged(frame):
+    """Rows written by all exchanges of a plan that has run."""
+    found, todo = 0, [frame._jdf.queryExecution().executedPlan().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name.endswith("QueryStage"):
+            todo.append(node.plan())
+        elif name == "Exchange":
+            found += node.metrics().apply("shuffleRecordsWritten").value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_vectors_are_not_written_once_per_block(spark):
+    matrix = np.random.default_rng(4).normal(size=(600, 32))
+    corpus = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(matrix)], "id long, vector array<float>")
+    found = dense.nearest_earlier(corpus, 4.1, 20, 20)
+    wanted = [i for i in range(1, 600) if np.linalg.norm(matrix[:i] - matrix[i], axis=1).min() <= 4.1]
+    assert sorted(r.id for r in found.collect()) == wanted
+    assert 600 < records_exchanged(found) < 6 * 600  # 30 blocks: each of them got its own copy of every vector
+
+
+@pytest.mark.parametrize("rows", [1, 4096])
+def test_nearest_earlier_of_odd_rows(spark, rows):
+    nan, inf = float("nan"), float("inf")
+    items = [
+        (1, [0.0, 0.0, 0.0]), (2, [nan, 0.0, 0.0]), (3, [0.1, 0.0, 0.0]), (4, None), (5, [0.1, 0.0, 0.0]), (6, [inf, 0.0, 0.0]),
+        (7, [5.0, 5.0, 5.0]), (7, [5.0, 5.0, 5.3]), (8, [5.0, 5.0, 5.2]), (8, [5.0, 5.0, 5.2]), (9, [-0.0, 0.0, 0.0]),
+        (None, [0.2, 0.0, 0.0]), (10, [0.2, 0.0, 0.0]), (11, [9.0, 9.0, 9.0]),
+    ]
+    corpus = spark.createDataFrame(items, "id long, vector array<double>")
+    found = sorted((r.id, r.match_id, round(r.distance, 6)) for r in dense.nearest_earlier(corpus, 0.5, rows, rows).collect())
+    assert found == [(3, 1, 0.1), (5, 3, 0.0), (8, 7, 0.1), (9, 1, 0.0), (10, 3, 0.1)]
+    assert dense.nearest_earlier(corpus.filter("id < 0"), 0.5, rows, rows).collect() == []
+
+
+def test_blocks_hold_their_vectors_exactly():
+    import pandas as pd
+
+    matrix = np.random.default_rng(6).normal(size=(10, 4))
+    matrix[3, 1] = np.nan
+    kept = [i for i in range(10) if i != 3]
+    for numbers, single in ((matrix.astype(np.float32).astype(np.float64), True), (matrix, False)):
+        frame = pd.DataFrame({"id": np.arange(10), "vector": list(numbers), "slab": np.arange(10) // 5, "part": 2})
+        blocks = pd.concat(dense._pack(iter([frame[:7], frame[7:]]), 4), ignore_index=True)
+        assert list(blocks["rows"]) == [4, 4, 1] and set(blocks["single"]) == {single} and set(blocks["part"]) == {2}
+        assert list(blocks["low_id"]) == [0, 5, 9] and list(blocks["high_id"]) == [4, 8, 9]
+        assert list(blocks["low_slab"]) == [0, 1, 1] and list(blocks["high_slab"]) == [0, 1, 1]
+        back = pd.concat([dense._unpacked(*b) for b in blocks[["rows", "single", "ids", "vectors"]].itertuples(index=False)])
+        assert list(back["id"]) == kept and np.array_equal(np.stack(back["vector"]), numbers[kept])
+    wide = pd.DataFrame({"id": np.arange(5), "vector": list(np.ones((5, dense.BLOCK_NUMBERS // 2))), "slab": 0, "part": 0})
+    assert [b["rows"].iat[0] for b in dense._pack(iter([wide]), 4)] == [2, 2, 1]
