@@ -314,7 +314,7 @@ def nearest_earlier(
     the same or in neighbouring slabs, so no pair is lost. Sorted by slab and id they are packed into
     blocks of at most ``corpus_rows``, one row each. Blocks are exchanged once and a task reads those of
     two parts, so what is written grows with the vectors and not with the pairs. Blocks of distant slabs
-    and blocks without a smaller id are not met; a block hands on one row per vector. There are as many
+    and blocks without a smaller id are not met; a task hands on one row per vector. There are as many
     parts as keep the cores busy, not below ``query_rows`` nor above twice ``corpus_rows`` vectors each.
     A vector that holds NaN or an infinite number is near to none.
     """
@@ -356,10 +356,16 @@ def nearest_earlier(
     pairs = asked.join(met.hint("shuffle_replicate_nl"), near & (F.col("met_low_id") < F.col("asked_high_id")))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept = None
         for batch in batches:
             for row in batch.to_dict("records"):
                 sides = [[row[f"{side}_{c}"] for c in ("rows", "single", "ids", "vectors")] for side in ("asked", "met")]
-                yield _nearest_of_block(*[_unpacked(*side) for side in sides], max_distance)
+                hits = _nearest_of_block(*[_unpacked(*side) for side in sides], max_distance)
+                kept = hits if kept is None else pd.concat([kept, hits], ignore_index=True)
+                kept["_key"] = np.floor(kept["distance"] * STEP + 0.5)
+                kept = kept.sort_values(["id", "_key", "match_id"]).drop_duplicates("id").drop(columns="_key")
+        if kept is not None:
+            yield kept
 
     partial = pairs.mapInPandas(search, "id long, match_id long, distance double")
     best = partial.groupBy("id").agg(

@@ -329,6 +329,21 @@ def test_vectors_are_not_written_once_per_block(spark):
     assert 600 < records_exchanged(found) < 6 * 600  # 30 blocks: each of them got its own copy of every vector
 
 
+def test_a_task_hands_on_a_vector_once(spark):
+    matrix = np.random.default_rng(4).normal(size=(400, 6))
+    corpus = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(matrix)], "id long, vector array<float>")
+    found = dense.nearest_earlier(corpus, 9.0, 200, 100)  # two parts, each of two blocks or three
+    assert len(found.collect()) == 399
+    todo, handed = [found._jdf.queryExecution().executedPlan().executedPlan()], []
+    while todo:
+        node = todo.pop()
+        todo += [node.plan()] if node.nodeName().endswith("QueryStage") else []
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "MapInPandas" and "match_id" in node.simpleString(2000):
+            handed.append(node.metrics().apply("pythonNumRowsReceived").value())
+    assert len(handed) == 1 and 399 <= handed[0] <= 2 * 400
+
+
 @pytest.mark.parametrize("rows", [1, 4096])
 def test_nearest_earlier_of_odd_rows(spark, rows):
     nan, inf = float("nan"), float("inf")
